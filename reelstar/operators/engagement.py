@@ -37,6 +37,17 @@ def daily_engagement(fact: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     ).select(*[f.name for f in DAILY_ENGAGEMENT.fields])
 
 
+def facts_of_affected_days(fact: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """All fact rows of the event days that ``new_rows`` touch.
+
+    The distinct days of a batch are bounded by the calendar (a few rows), so
+    they are broadcast; on a fact partitioned by event_date the semi join
+    becomes a partition filter (dynamic partition pruning).
+    """
+    days = new_rows.select("event_date").distinct()
+    return fact.join(F.broadcast(days), "event_date", "left_semi")
+
+
 def event_mix(fact: DataFrame) -> DataFrame:
     """Per date: sessions and the count of each event type (+ other types)."""
     et = F.col("event_type")

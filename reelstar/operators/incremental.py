@@ -13,9 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def high_water_mark(target: DataFrame, ts_col: str = "source_ingestion_time"):
-    """max(ts_col) of the target, or None when the target is empty."""
-    return target.agg(F.max(F.col(ts_col))).first()[0]
+def high_water_mark(target: DataFrame, ts_col: str = "source_ingestion_time", floor=None):
+    """max(ts_col) of the target, or None when the target is empty.
+
+    ``floor`` is any known lower bound of the mark (e.g. the one recorded by
+    the previous run).  Only rows above it are aggregated - a literal filter
+    that Parquet row-group statistics turn into skipping all older files - so
+    the cost follows the newest data, not the table size.  A stale (too low)
+    floor only costs time, never correctness.
+    """
+    if floor is None:
+        return target.agg(F.max(F.col(ts_col))).first()[0]
+    above = target.filter(F.col(ts_col) > F.lit(floor)).agg(F.max(F.col(ts_col))).first()[0]
+    return floor if above is None else above
 
 
 def incremental(source: DataFrame, hwm, ts_col: str = "ingestion_time",

@@ -41,6 +41,7 @@ class Options:
     null_safe_changes: bool = True     # False: NULL <-> value changes are missed
     refresh_static_dims: bool = False  # True: add unseen content ids / device types on every run
     hwm_overlap: _dt.timedelta | None = None
+    daily_refresh: str = "affected_dates"  # or "full": recompute every date on every run
     stats: dict = field(default_factory=dict)
 
 
@@ -55,6 +56,15 @@ SILVER_TABLES = {
     "dim_device": schemas.DIM_DEVICE, "watch_sessions": schemas.WATCH_SESSIONS,
     "ratings": schemas.RATINGS,
 }
+# Partitioning of the growing tables: silver sessions by the day they were
+# processed (the gold increment reads only the newest days), the fact by
+# event day, the KPI table by its date (refreshed per affected day).
+PARTITIONS = {
+    "watch_sessions": ("processing_date",),
+    "ratings": (),
+    "fact_watch_sessions": ("event_date",),
+    "daily_engagement": ("date",),
+}
 GOLD_TABLES = {
     "fact_watch_sessions": schemas.FACT_WATCH,
     "daily_engagement": schemas.DAILY_ENGAGEMENT,
@@ -65,7 +75,23 @@ GOLD_TABLES = {
 def create_tables(store: TableStore, tables: dict) -> None:
     store.create_namespace()
     for name, schema in tables.items():
-        store.create(name, schema)
+        store.create(name, schema, PARTITIONS.get(name, ()))
+
+
+def _mark(col: str = "source_ingestion_time"):
+    return F.max(F.col(col)).alias("mark")
+
+
+def _hwm(store: TableStore, table: str):
+    """Exact mark, aggregated only above the recorded lower bound."""
+    return incremental.high_water_mark(store.read(table), floor=store.watermark(table))
+
+
+def _append_incremental(store: TableStore, table: str, df: DataFrame, hwm, extra: list | None = None) -> dict:
+    """Append new rows and record the new high-water mark from the same write."""
+    m = store.append(table, df, metrics=[row_count(), _mark(), *(extra or [])])
+    store.record_watermark(table, m.get("mark") or hwm)
+    return m
 
 
 def seed_bronze(layers: Layers, inputs: dict[str, DataFrame]) -> dict[str, bool]:
@@ -112,18 +138,18 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None)
 
     # 5. watch_sessions: incremental on the bronze ingestion clock
     target = s.read("watch_sessions")
-    hwm = incremental.high_water_mark(target)
+    hwm = _hwm(s, "watch_sessions")
     new_events = incremental.incremental(events, hwm, "ingestion_time", opts.hwm_overlap, target, "event_id")
     sessions = enrich.build_watch_sessions(new_events, s.read("dim_content"), as_of)
-    out["watch_sessions"] = s.append("watch_sessions", sessions,
-                                     metrics=[row_count(), count_if(F.col("is_late_arrival")).alias("late")])
+    out["watch_sessions"] = _append_incremental(s, "watch_sessions", sessions, hwm,
+                                                [count_if(F.col("is_late_arrival")).alias("late")])
 
     # 6. ratings: incremental
     target_r = s.read("ratings")
-    hwm_r = incremental.high_water_mark(target_r)
+    hwm_r = _hwm(s, "ratings")
     new_r = incremental.incremental(bronze["ratings_late"], hwm_r, "ingestion_time", opts.hwm_overlap,
                                     target_r, "rating_id")
-    out["ratings"] = s.append("ratings", enrich.build_ratings(new_r, as_of), metrics=[row_count()])
+    out["ratings"] = _append_incremental(s, "ratings", enrich.build_ratings(new_r, as_of), hwm_r)
     opts.stats["silver"] = out
     return out
 
@@ -137,16 +163,31 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
 
     # fact: incremental on the silver processing clock
     target = g.read("fact_watch_sessions")
-    hwm = incremental.high_water_mark(target)
-    new_sessions = incremental.incremental(s.read("watch_sessions"), hwm, "ingestion_time",
+    hwm = _hwm(g, "fact_watch_sessions")
+    silver_sessions = s.read("watch_sessions")
+    if hwm is not None:
+        # rows stamped after the mark were processed on or after its day:
+        # a partition filter, so old processing days are never listed
+        lower = hwm - opts.hwm_overlap if opts.hwm_overlap else hwm
+        silver_sessions = silver_sessions.filter(F.col("processing_date") >= F.lit(lower.date()))
+    new_sessions = incremental.incremental(silver_sessions, hwm, "ingestion_time",
                                            opts.hwm_overlap, target, "session_id")
-    out["fact"] = g.append("fact_watch_sessions",
-                           fact_ops.build_fact(new_sessions, dim_user_current, as_of),
-                           metrics=[row_count()])
+    out["fact"] = _append_incremental(g, "fact_watch_sessions",
+                                      fact_ops.build_fact(new_sessions, dim_user_current, as_of), hwm)
 
     fact = g.read("fact_watch_sessions")
-    out["daily_engagement"] = g.replace_all(
-        "daily_engagement", engagement.daily_engagement(fact, as_of), metrics=[row_count()])
+    if opts.daily_refresh == "full" or hwm is None or g.is_empty("daily_engagement"):
+        out["daily_engagement"] = g.replace_all(
+            "daily_engagement", engagement.daily_engagement(fact, as_of), metrics=[row_count()])
+    else:
+        # only the event days that received new facts are recomputed and
+        # overwritten; every other day keeps its row (same values as a full
+        # recomputation, without rescanning history)
+        new_rows = fact.filter(F.col("source_ingestion_time") > F.lit(hwm))
+        out["daily_engagement"] = g.overwrite_partitions(
+            "daily_engagement",
+            engagement.daily_engagement(engagement.facts_of_affected_days(fact, new_rows), as_of),
+            metrics=[row_count()])
     out["churn_features"] = g.replace_all(
         "churn_features", features.churn_features(fact, dim_user_current, s.read("dim_content"), as_of),
         metrics=[row_count()])

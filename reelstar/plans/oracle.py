@@ -254,7 +254,11 @@ FROM fact_o GROUP BY event_date""",
                        "CAST(count(DISTINCT content_id) AS BIGINT) AS total_titles FROM fact_o GROUP BY event_date"),
     "top_days": f"SELECT * FROM ({daily_sql('fact_o')}) d ORDER BY date LIMIT 5",
     "replace_all": daily_sql("fact_o", AS_OF, "event_date >= DATE '2024-01-03'"),
-    "two_day_daily": daily_sql("fact_o"),
+    # day 2 recomputes (and re-stamps) only the event days that received new facts
+    "two_day_daily": daily_sql(
+        "fact_o",
+        f"CASE WHEN event_date IN (SELECT DISTINCT CAST(event_time AS DATE) FROM watch_events "
+        f"WHERE ingestion_time >= {PREVIOUS_RUN}) THEN {AS_OF} ELSE {DAY1} END"),
 }
 
 _DU_USERS_D1 = "dim_user_init"

@@ -39,10 +39,11 @@ class TableStore:
     def name(self, table: str) -> str:
         return f"{self.namespace}.{table}"
 
-    def create(self, table: str, schema: T.StructType) -> None:
+    def create(self, table: str, schema: T.StructType, partitioned_by: tuple[str, ...] = ()) -> None:
         props = " TBLPROPERTIES ('format-version'='2')" if self.provider == "iceberg" else ""
+        part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl(schema)}) "
-                       f"USING {self.provider}{props}")
+                       f"USING {self.provider}{part}{props}")
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -90,6 +91,46 @@ class TableStore:
             df.write.insertInto(self.name(table), overwrite=True)
         return obs.get if obs is not None else {}
 
+    def overwrite_partitions(self, table: str, df: DataFrame, metrics: list | None = None) -> dict:
+        """Replace only the partitions that ``df`` has rows for (dynamic
+        partition overwrite); all other partitions stay as they are."""
+        df, obs = self._observed(self._aligned(table, df), metrics)
+        if self.provider in V2_PROVIDERS:
+            df.writeTo(self.name(table)).overwritePartitions()
+        else:
+            key = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, "dynamic")
+            try:
+                df.write.insertInto(self.name(table), overwrite=True)
+            finally:
+                self.spark.conf.set(key, before)
+        return obs.get if obs is not None else {}
+
+    # -- high-water marks ------------------------------------------------------
+    WATERMARKS = "_watermarks"
+
+    def record_watermark(self, table: str, value) -> None:
+        """Remember a lower bound of the table's high-water mark (one row)."""
+        if value is None:
+            return
+        if not self.exists(self.WATERMARKS):
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(self.WATERMARKS)} "
+                           f"(table_name STRING, mark TIMESTAMP_NTZ) USING {self.provider}")
+        row = self.spark.range(1).select(F.lit(table).alias("table_name"),
+                                         F.lit(value).cast("timestamp_ntz").alias("mark"))
+        row.write.insertInto(self.name(self.WATERMARKS))
+
+    def watermark(self, table: str):
+        """Largest recorded mark for ``table`` (None when nothing recorded).
+
+        The watermark table holds one tiny row per run, so this is cheap; it
+        is only ever used as a *lower bound* (see ``incremental``)."""
+        if not self.exists(self.WATERMARKS):
+            return None
+        return (self.read(self.WATERMARKS).filter(F.col("table_name") == table)
+                .agg(F.max("mark")).first()[0])
+
     @staticmethod
     def _observed(df: DataFrame, metrics: list | None):
         if not metrics:
