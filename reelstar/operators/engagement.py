@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import count_if, exact_avg_rounded
 from ..functions.scalar import EVENT_TYPES, as_of_ts, ratio_percent
 from ..schemas import DAILY_ENGAGEMENT
+from .joins import broadcast_if_bounded
 
 
 def daily_engagement(fact: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
@@ -40,12 +41,13 @@ def daily_engagement(fact: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
 def facts_of_affected_days(fact: DataFrame, new_rows: DataFrame) -> DataFrame:
     """All fact rows of the event days that ``new_rows`` touch.
 
-    The distinct days of a batch are bounded by the calendar (a few rows), so
-    they are broadcast; on a fact partitioned by event_date the semi join
-    becomes a partition filter (dynamic partition pruning).
+    The distinct days of a batch are few (one row per calendar day), so they
+    are broadcast once that bound is checked; on a fact partitioned by
+    event_date the semi join then becomes a partition filter (dynamic
+    partition pruning).
     """
     days = new_rows.select("event_date").distinct()
-    return fact.join(F.broadcast(days), "event_date", "left_semi")
+    return fact.join(broadcast_if_bounded(days), "event_date", "left_semi")
 
 
 def event_mix(fact: DataFrame) -> DataFrame:

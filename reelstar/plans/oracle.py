@@ -214,6 +214,7 @@ BODIES: dict[str, str] = {
     "stream_watch_ingest": f"SELECT {WATCH_OUT}, {AS_OF} AS ingestion_time FROM watch_events",
     "stream_ratings_ingest": f"SELECT {RATINGS_OUT}, {AS_OF} AS ingestion_time FROM ratings_late",
     "append_if_empty": "SELECT * FROM content_catalog",
+    "ddl_insert_select": "SELECT * FROM watch_events",
     "dq_report": DQ,
     "age_band": "SELECT user_id, age, age_band FROM users_banded",
     "scd2_initial": f"SELECT {DIM_USER_COLS} FROM dim_user_init",
@@ -261,6 +262,20 @@ FROM fact_o GROUP BY event_date""",
         f"WHERE ingestion_time >= {PREVIOUS_RUN}) THEN {AS_OF} ELSE {DAY1} END"),
 }
 
+# two-day run: rows ingested before PREVIOUS_RUN were loaded on day 1 (stamped
+# DAY1, key of the initial user version), the rest on day 2 (stamped AS_OF,
+# key of the version current after the SCD2 apply)
+_EARLY = f"s.source_ingestion_time < {PREVIOUS_RUN}"
+BODIES["pipeline_end_to_end"] = f"""
+SELECT s.session_id, CASE WHEN {_EARLY} THEN d1.user_key ELSE d2.user_key END AS user_key,
+       s.user_id, s.content_id, s.event_type, s.device_type, s.watch_duration_seconds,
+       s.completion_percent, s.is_late_arrival, CAST(s.event_time AS DATE) AS event_date, s.event_time,
+       CASE WHEN {_EARLY} THEN {DAY1} ELSE {AS_OF} END AS ingestion_time,
+       CASE WHEN {_EARLY} THEN {DAY1} ELSE {AS_OF} END AS source_ingestion_time
+FROM sessions_o s
+LEFT JOIN dim_user_init d1 ON s.user_id = d1.user_id
+LEFT JOIN (SELECT user_id, user_key FROM applied_o WHERE is_current) d2 ON s.user_id = d2.user_id"""
+
 _DU_USERS_D1 = "dim_user_init"
 FEATURE_BODIES: dict[str, tuple[str, str]] = {
     "preferred_device": (_DU_USERS_D1, "SELECT * FROM dev"),

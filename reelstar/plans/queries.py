@@ -126,6 +126,16 @@ def q_append_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("content_catalog")
 
 
+def q_ddl_insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL DDL/DML path: CREATE NAMESPACE / CREATE TABLE (NOT NULL key) /
+    INSERT INTO ... SELECT of the whole watch-event binding, then a scan."""
+    b = bind(spark, sf_dir)
+    store = _fresh_store(spark, "ddl")
+    store.create("watch_events", L.BRONZE_TABLES["watch_events"])
+    store.insert_select("watch_events", b.watch_events)
+    return store.read("watch_events")
+
+
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bind(spark, sf_dir)
     return quality.run_checks({"users": b.users, "content_catalog": b.content_catalog,
@@ -303,12 +313,19 @@ def q_two_day_churn(spark, sf_dir):
     return _two_day_run(spark, sf_dir).gold.read("churn_features")
 
 
+def q_pipeline_end_to_end(spark, sf_dir):
+    """The gold fact after both days: day-1 rows keep the key of the day-1
+    user version, day-2 rows get the key current after the SCD2 apply."""
+    return _two_day_run(spark, sf_dir).gold.read("fact_watch_sessions")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_parse_watch": q_json_parse("watch"),
     "json_parse_ratings": q_json_parse("ratings"),
     "stream_watch_ingest": q_stream_ingest("watch"),
     "stream_ratings_ingest": q_stream_ingest("ratings"),
     "append_if_empty": q_append_if_empty,
+    "ddl_insert_select": q_ddl_insert_select,
     "dq_report": q_dq_report,
     "age_band": q_age_band,
     "scd2_initial": q_scd2_initial,
@@ -340,4 +357,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replace_all": q_replace_all,
     "two_day_daily": q_two_day_daily,
     "two_day_churn": q_two_day_churn,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
 }

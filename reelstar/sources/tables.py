@@ -70,6 +70,28 @@ class TableStore:
             df.write.insertInto(self.name(table))
         return obs.get if obs is not None else {}
 
+    def insert_select(self, table: str, df: DataFrame) -> None:
+        """SQL load: ``INSERT INTO <table> SELECT <columns> FROM <view of df>``.
+
+        The same write as :meth:`append`, issued as SQL text (the path of
+        scripts that load tables with DDL/DML statements).  The view name is
+        unique per call, so concurrent loads never see each other's input.
+        """
+        import uuid
+
+        view = f"_load_{uuid.uuid4().hex[:12]}"
+        df.createOrReplaceTempView(view)
+        try:
+            cols = ", ".join(self.read(table).columns)
+            self.spark.sql(f"INSERT INTO {self.name(table)} SELECT {cols} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def insert_values(self, table: str, rows_sql: list[str]) -> None:
+        """``INSERT INTO <table> VALUES (...), (...)`` for a few literal rows
+        (connectivity / smoke checks; data loads use :meth:`insert_select`)."""
+        self.spark.sql(f"INSERT INTO {self.name(table)} VALUES {', '.join(rows_sql)}")
+
     def append_if_empty(self, table: str, df: DataFrame) -> bool:
         """Idempotent load: append only when the target has no row yet."""
         if not self.is_empty(table):

@@ -17,12 +17,24 @@ def test_ddl_and_insert_values(spark):
     s = _store(spark)
     s.create("connectivity_test", CONNECTIVITY_TEST)
     s.create("connectivity_test", CONNECTIVITY_TEST)  # IF NOT EXISTS
-    spark.sql(f"INSERT INTO {s.name('connectivity_test')} VALUES "
-              "(1, 'Spark works', TIMESTAMP_NTZ'2024-02-05 00:00:00'), "
-              "(2, 'storage works', TIMESTAMP_NTZ'2024-02-05 00:00:00')")
+    s.insert_values("connectivity_test", [
+        "(1, 'Spark works', TIMESTAMP_NTZ'2024-02-05 00:00:00')",
+        "(2, 'storage works', TIMESTAMP_NTZ'2024-02-05 00:00:00')"])
     assert s.read("connectivity_test").count() == 2
 
 
+def test_insert_select_aligns_columns_by_name(spark):
+    s = _store(spark)
+    s.create("connectivity_test", CONNECTIVITY_TEST)
+    # columns in a different order than the table: the load selects by name
+    df = spark.range(3).select(F.lit(None).cast("timestamp_ntz").alias("ts"),
+                               F.concat(F.lit("m"), F.col("id").cast("string")).alias("message"), "id")
+    s.insert_select("connectivity_test", df)
+    got = sorted((r.id, r.message) for r in s.read("connectivity_test").collect())
+    assert got == [(0, "m0"), (1, "m1"), (2, "m2")]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("_load_")]
+
+
 def test_append_if_empty_and_replace(spark):
     s = _store(spark)
     s.create("t", CONNECTIVITY_TEST)
