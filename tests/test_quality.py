@@ -30,3 +30,33 @@ def test_null_counts_as_one_distinct_value(spark):
     df = spark.createDataFrame([("a",), (None,), (None,)], "user_id string")
     rep = {r["check_name"]: r["violations"] for r in run_checks({"users": df}, expected={}).collect()}
     assert rep == {"not_null:user_id": 2, "unique:user_id": 1}
+
+
+def test_incremental_gate_in_pipeline(spark, sf_dir):
+    """The silver gate checks only the new increment of the event table, but a
+    bad new row fails the run, moves no mark and keeps failing on retry."""
+    import datetime as dt
+    import uuid
+
+    from reelstar.plans import layers as L
+    from reelstar.session import work_dir
+
+    b = bind(spark, sf_dir)
+    layers = L.Layers.under(spark, work_dir(spark, "t-gate"), prefix=f"rsg{uuid.uuid4().hex[:8]}")
+    L.seed_bronze(layers, {"users": b.users, "content_catalog": b.content_catalog,
+                           "watch_events": b.watch_events, "ratings_late": b.ratings_late})
+    day1 = L.run_silver(layers, dt.datetime(2024, 2, 4))
+    # day 1 checked the whole event table (no mark yet)
+    assert {r["check_name"]: r["total_rows"] for r in day1["dq"]
+            if r["table_name"] == "watch_events"}["not_null:event_id"] == b.watch_events.count()
+    sessions_before = layers.silver.read("watch_sessions").count()
+
+    late = b.watch_events.limit(1).select(
+        F.lit(None).cast("string").alias("event_id"),
+        *[c for c in b.watch_events.columns if c != "event_id"]
+    ).withColumn("ingestion_time", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    layers.bronze.append("watch_events", late)
+    for _ in range(2):
+        with pytest.raises(DataQualityError, match="watch_events.not_null:event_id: 1 of 1"):
+            L.run_silver(layers, dt.datetime(2024, 2, 5))
+    assert layers.silver.read("watch_sessions").count() == sessions_before
