@@ -60,6 +60,10 @@ SILVER_TABLES = {
 # processed (the gold increment reads only the newest days), the fact by
 # event day, the KPI table by its date (refreshed per affected day).
 PARTITIONS = {
+    # dim_user by the day a version ended: the current versions form the NULL
+    # partition, so an SCD2 run rewrites only that slice and today's expired
+    # slice - never the accumulated history
+    "dim_user": ("effective_to",),
     "watch_sessions": ("processing_date",),
     "ratings": (),
     "fact_watch_sessions": ("event_date",),
@@ -87,6 +91,12 @@ def _hwm(store: TableStore, table: str):
     return incremental.high_water_mark(store.read(table), floor=store.watermark(table))
 
 
+def _current_users(store: TableStore) -> DataFrame:
+    """Current user versions, read from the NULL ``effective_to`` partition
+    only (a partition filter; ``is_current`` holds exactly there)."""
+    return scd2.current_rows(store.read("dim_user").filter(F.col("effective_to").isNull()))
+
+
 def _since(source: DataFrame, hwm, overlap: _dt.timedelta | None = None,
            ts_col: str = "ingestion_time") -> DataFrame:
     """Rows at or after the start of the next increment (a superset of it
@@ -138,10 +148,19 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None)
         s.append("dim_user", scd2.scd2_initial(snapshot, as_of))
         out["dim_user"] = "initial"
     else:
+        # Only the current slice takes part: history rows never change.  The
+        # largest key ever handed out is always on a current row (a version
+        # is expired only together with the allocation of a larger key), so
+        # the key base comes from the same slice.  One dynamic partition
+        # overwrite replaces the current slice and today's expired slice
+        # (keeping versions an earlier run of the same day expired).
         dim = s.read("dim_user")
-        nxt = scd2.scd2_apply(dim, snapshot, as_of, insert_new=opts.insert_new_users,
+        today = F.lit(as_of.date())
+        nxt = scd2.scd2_apply(_current_users(s), snapshot, as_of, insert_new=opts.insert_new_users,
                               null_safe=opts.null_safe_changes)
-        out["dim_user"] = s.replace_all("dim_user", nxt, reads_self=True, metrics=[row_count()])
+        expired_today = dim.filter(F.col("effective_to") == today)
+        out["dim_user"] = s.overwrite_partitions("dim_user", nxt.unionByName(expired_today),
+                                                 reads_self=True, metrics=[row_count()])
 
     # 3. dim_content / dim_device: initial load (refresh adds unseen keys)
     content = bronze["content_catalog"]
@@ -179,7 +198,7 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
     s, g = layers.silver, layers.gold
     create_tables(g, GOLD_TABLES)
     out: dict = {}
-    dim_user_current = scd2.current_rows(s.read("dim_user"))
+    dim_user_current = _current_users(s)
 
     # fact: incremental on the silver processing clock
     target = g.read("fact_watch_sessions")

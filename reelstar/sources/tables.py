@@ -113,10 +113,16 @@ class TableStore:
             df.write.insertInto(self.name(table), overwrite=True)
         return obs.get if obs is not None else {}
 
-    def overwrite_partitions(self, table: str, df: DataFrame, metrics: list | None = None) -> dict:
+    def overwrite_partitions(self, table: str, df: DataFrame, metrics: list | None = None,
+                             reads_self: bool = False) -> dict:
         """Replace only the partitions that ``df`` has rows for (dynamic
-        partition overwrite); all other partitions stay as they are."""
-        df, obs = self._observed(self._aligned(table, df), metrics)
+        partition overwrite); all other partitions stay as they are.  With
+        ``reads_self`` the input is first cut from the table it reads."""
+        df = self._aligned(table, df)
+        if reads_self:
+            ensure_checkpoint_dir(self.spark)
+            df = df.checkpoint(eager=True)
+        df, obs = self._observed(df, metrics)
         if self.provider in V2_PROVIDERS:
             df.writeTo(self.name(table)).overwritePartitions()
         else:
