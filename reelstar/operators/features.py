@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import count_if, exact_avg_rounded, exact_sum, mode_of
 from ..functions.scalar import as_of_ts, churn_label, days_since, ratio_percent
-from ..schemas import CHURN_FEATURES
+from ..schemas import CHURN_FEATURES, DAILY_USER_BASE
 from .joins import broadcast_if_bounded
 
 DAY_KEYS = ["user_id", "event_date"]
@@ -70,25 +70,40 @@ def daily_measures(fact: DataFrame) -> DataFrame:
     )
 
 
-def daily_user(fact: DataFrame, dim_user_current: DataFrame, dim_content: DataFrame) -> DataFrame:
-    """Base features per user and day, with the user's current attributes."""
+def daily_user_base(fact: DataFrame, dim_content: DataFrame) -> DataFrame:
+    """Per user and event day: measures and both modes, without attributes.
+
+    Depends only on the fact rows of that (user, day), so a refresh can
+    recompute just the days that received new facts.
+    """
     f = fact.select("user_id", "event_date", "session_id", "content_id", "device_type",
                     "event_type", "watch_duration_seconds", "completion_percent", "is_late_arrival")
     per_day = (daily_measures(f)
                .join(preferred_device(f), DAY_KEYS, "left")
                .join(favorite_genre(f, dim_content), DAY_KEYS, "left"))
+    return per_day.select(F.col("event_date").alias("date"), *[
+        c for c in DAILY_USER_BASE.fieldNames() if c != "date"])
+
+
+def with_user_attrs(base: DataFrame, dim_user_current: DataFrame) -> DataFrame:
+    """Attach the user's current attributes and the derived day measures."""
     attrs = dim_user_current.select("user_id", *USER_ATTRS)
-    d = per_day.join(attrs, "user_id", "left")
+    d = base.join(attrs, "user_id", "left")
     return d.select(
-        F.col("event_date").alias("date"), "user_id", *USER_ATTRS,
+        "date", "user_id", *USER_ATTRS,
         "preferred_device", "favorite_genre", "sessions_count", "total_watch_hours",
         "avg_completion_rate", "play_count", "pause_count", "stop_count", "finish_count",
         "unique_content_watched", "late_arrival_count",
         ratio_percent("finish_count", "sessions_count").alias("finish_rate"),
-        days_since("event_date", "signup_date").alias("days_since_signup"),
+        days_since("date", "signup_date").alias("days_since_signup"),
     )
 
 
+def daily_user(fact: DataFrame, dim_user_current: DataFrame, dim_content: DataFrame) -> DataFrame:
+    """Base features per user and day, with the user's current attributes."""
+    return with_user_attrs(daily_user_base(fact, dim_content), dim_user_current)
+
+
 def rolling_sum(key: str, day: str, col: str, days: int, scale: int | None = None) -> Column:
     """Sum of ``col`` over the inclusive day frame [day - days, day] per key.
 
@@ -110,11 +125,22 @@ def with_rolling(daily: DataFrame) -> DataFrame:
     )
 
 
-def churn_features(fact: DataFrame, dim_user_current: DataFrame, dim_content: DataFrame,
-                   as_of: _dt.datetime | str) -> DataFrame:
-    d = with_rolling(daily_user(fact, dim_user_current, dim_content))
+def churn_from_daily(daily: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
+    d = with_rolling(daily)
     return d.select(
         "*",
         churn_label("finish_rate", "sessions_count", "days_since_signup").alias("churn_label"),
         as_of_ts(as_of).alias("ingestion_time"),
     ).select(*[f.name for f in CHURN_FEATURES.fields])
+
+
+def churn_features(fact: DataFrame, dim_user_current: DataFrame, dim_content: DataFrame,
+                   as_of: _dt.datetime | str) -> DataFrame:
+    return churn_from_daily(daily_user(fact, dim_user_current, dim_content), as_of)
+
+
+def churn_features_from_base(base: DataFrame, dim_user_current: DataFrame,
+                             as_of: _dt.datetime | str) -> DataFrame:
+    """Churn features rebuilt from the stored per user-day roll-up: the input
+    is one row per active user-day, not the events."""
+    return churn_from_daily(with_user_attrs(base, dim_user_current), as_of)

@@ -68,10 +68,12 @@ PARTITIONS = {
     "ratings": (),
     "fact_watch_sessions": ("event_date",),
     "daily_engagement": ("date",),
+    "daily_user_base": ("date",),
 }
 GOLD_TABLES = {
     "fact_watch_sessions": schemas.FACT_WATCH,
     "daily_engagement": schemas.DAILY_ENGAGEMENT,
+    "daily_user_base": schemas.DAILY_USER_BASE,
     "churn_features": schemas.CHURN_FEATURES,
 }
 
@@ -215,20 +217,33 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
                                       fact_ops.build_fact(new_sessions, dim_user_current, as_of), hwm)
 
     fact = g.read("fact_watch_sessions")
-    if opts.daily_refresh == "full" or hwm is None or g.is_empty("daily_engagement"):
+    dim_content = s.read("dim_content")
+    full = opts.daily_refresh == "full" or hwm is None
+    # facts of the event days that received new rows in this run: every
+    # per-day table below depends only on its day's facts, so only those
+    # days are recomputed and overwritten (same values as a full
+    # recomputation, without rescanning history)
+    affected = engagement.facts_of_affected_days(
+        fact, fact.filter(F.col("source_ingestion_time") > F.lit(hwm))) if hwm is not None else fact
+    if full or g.is_empty("daily_engagement"):
         out["daily_engagement"] = g.replace_all(
             "daily_engagement", engagement.daily_engagement(fact, as_of), metrics=[row_count()])
     else:
-        # only the event days that received new facts are recomputed and
-        # overwritten; every other day keeps its row (same values as a full
-        # recomputation, without rescanning history)
-        new_rows = fact.filter(F.col("source_ingestion_time") > F.lit(hwm))
         out["daily_engagement"] = g.overwrite_partitions(
-            "daily_engagement",
-            engagement.daily_engagement(engagement.facts_of_affected_days(fact, new_rows), as_of),
-            metrics=[row_count()])
+            "daily_engagement", engagement.daily_engagement(affected, as_of), metrics=[row_count()])
+    # the per user-day roll-up; a refreshed catalog can change the genre of
+    # old facts, so that mode rebuilds it whole
+    if full or opts.refresh_static_dims or g.is_empty("daily_user_base"):
+        out["daily_user_base"] = g.replace_all(
+            "daily_user_base", features.daily_user_base(fact, dim_content), metrics=[row_count()])
+    else:
+        out["daily_user_base"] = g.overwrite_partitions(
+            "daily_user_base", features.daily_user_base(affected, dim_content), metrics=[row_count()])
+    # churn features: current attributes hold for all history and the
+    # rolling frames span 31 days, so the table is rebuilt - from the
+    # roll-up (one row per active user-day), not from the events
     out["churn_features"] = g.replace_all(
-        "churn_features", features.churn_features(fact, dim_user_current, s.read("dim_content"), as_of),
+        "churn_features", features.churn_features_from_base(g.read("daily_user_base"), dim_user_current, as_of),
         metrics=[row_count()])
     opts.stats["gold"] = out
     return out

@@ -102,6 +102,15 @@ CHURN_FEATURES = _struct(
     ("late_arrival_count", L), ("churn_label", I), ("ingestion_time", TS),
 )
 
+# Per user and event day, before the user's attributes are attached: the
+# roll-up the churn features are rebuilt from (one row per active user-day).
+DAILY_USER_BASE = _struct(
+    ("date", DATE), ("user_id", S), ("preferred_device", S), ("favorite_genre", S),
+    ("sessions_count", L), ("total_watch_hours", D), ("avg_completion_rate", D),
+    ("play_count", L), ("pause_count", L), ("stop_count", L), ("finish_count", L),
+    ("unique_content_watched", L), ("late_arrival_count", L),
+)
+
 CONNECTIVITY_TEST = _struct(("id", L), ("message", S), ("ts", TS))
 
 # Expected bronze schemas used by the schema-validation check of the DQ gate.
