@@ -29,6 +29,39 @@ RECOMMENDED_CONF = {
 }
 
 
+# Sizing for a large cluster (tens of TB per run).  The initial shuffle
+# partition count is an upper bound that AQE coalesces down to the advisory
+# size from measured map outputs, so it is set for the largest shuffle of a
+# run (the partially aggregated fact at (user, day, x) grain); the skew
+# threshold splits a join partition that a hot user inflates.  Scan splits
+# match the advisory size.  These are applied only where the session has no
+# value of its own (see :func:`apply_defaults`).
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
+def apply_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> dict[str, str]:
+    """Set each key of ``conf`` (default :data:`CLUSTER_CONF`) that the
+    session has not set explicitly; returns what was set.  Values the
+    cluster operator configured always win."""
+    conf = CLUSTER_CONF if conf is None else conf
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    applied = {}
+    for k, v in conf.items():
+        if k in explicit:
+            continue
+        spark.conf.set(k, v)
+        applied[k] = v
+    return applied
+
+
 def local_session(
     app: str = "reelstar",
     cores: int | str = "*",

@@ -53,3 +53,16 @@ def test_schema_columns_follow_ddl(spark):
     s = _store(spark)
     s.create("daily", DAILY_ENGAGEMENT)
     assert s.read("daily").columns == [f.name for f in DAILY_ENGAGEMENT.fields]
+
+
+def test_apply_defaults_keeps_explicit_settings(spark):
+    from reelstar.session import apply_defaults
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    applied = apply_defaults(spark, {"spark.sql.shuffle.partitions": "8000",
+                                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"})
+    # the test session set shuffle partitions explicitly: kept
+    assert "spark.sql.shuffle.partitions" not in applied
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert applied == {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"}
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
