@@ -14,6 +14,8 @@ checkpoint folder.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,8 @@ from ..schemas import ddl
 from ..session import ensure_checkpoint_dir
 
 V2_PROVIDERS = {"iceberg", "delta"}
+_OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
+_OVERWRITE_MODE_LOCK = threading.Lock()
 
 
 class TableStore:
@@ -101,16 +105,16 @@ class TableStore:
 
     def replace_all(self, table: str, df: DataFrame, reads_self: bool = False,
                     metrics: list | None = None) -> dict:
-        """Replace the whole (unpartitioned) table with ``df``."""
+        """Replace the whole table (every partition) with ``df``."""
         df = self._aligned(table, df)
         if reads_self:
             ensure_checkpoint_dir(self.spark)
             df = df.checkpoint(eager=True)
         df, obs = self._observed(df, metrics)
         if self.provider in V2_PROVIDERS:
-            df.writeTo(self.name(table)).overwritePartitions()
+            df.writeTo(self.name(table)).overwrite(F.lit(True))
         else:
-            df.write.insertInto(self.name(table), overwrite=True)
+            self._insert_overwrite(table, df, "static")
         return obs.get if obs is not None else {}
 
     def overwrite_partitions(self, table: str, df: DataFrame, metrics: list | None = None,
@@ -126,14 +130,22 @@ class TableStore:
         if self.provider in V2_PROVIDERS:
             df.writeTo(self.name(table)).overwritePartitions()
         else:
-            key = "spark.sql.sources.partitionOverwriteMode"
-            before = self.spark.conf.get(key)
-            self.spark.conf.set(key, "dynamic")
+            self._insert_overwrite(table, df, "dynamic")
+        return obs.get if obs is not None else {}
+
+    def _insert_overwrite(self, table: str, df: DataFrame, mode: str) -> None:
+        """``INSERT OVERWRITE`` on a v1 table with an explicit partition
+        overwrite mode.  ``insertInto`` ignores a per-write option, so the
+        session setting is switched for the write - under one process-wide
+        lock, so concurrent library writes on the same session (a refresh
+        next to a stream's batches) never see each other's mode."""
+        with _OVERWRITE_MODE_LOCK:
+            before = self.spark.conf.get(_OVERWRITE_MODE_KEY)
+            self.spark.conf.set(_OVERWRITE_MODE_KEY, mode)
             try:
                 df.write.insertInto(self.name(table), overwrite=True)
             finally:
-                self.spark.conf.set(key, before)
-        return obs.get if obs is not None else {}
+                self.spark.conf.set(_OVERWRITE_MODE_KEY, before)
 
     # -- high-water marks ------------------------------------------------------
     WATERMARKS = "_watermarks"

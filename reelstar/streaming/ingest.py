@@ -84,8 +84,10 @@ class BatchWriter:
             return
         stamped = to_bronze(batch_df, self.clock())
         stamped = stamped.withColumn("accepted", F.col(self.key).isNotNull())
-        (stamped.write.mode("overwrite").partitionBy("accepted")
-         .parquet(f"{self.out_dir}/batch_id={batch_id}"))
+        # static: a replayed batch replaces its whole folder, whatever the
+        # session's partition overwrite mode is at that moment
+        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("accepted").parquet(f"{self.out_dir}/batch_id={batch_id}"))
 
 
 def start_ingest(raw: DataFrame, schema: T.StructType, key: str, out_dir: str, checkpoint: str,

@@ -66,3 +66,26 @@ def test_apply_defaults_keeps_explicit_settings(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert applied == {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"}
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_overwrite_modes_do_not_depend_on_the_session_setting(spark):
+    from pyspark.sql import types as T
+
+    s = _store(spark)
+    schema = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("p", T.IntegerType())])
+    s.create("t", schema, ("p",))
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "dynamic")
+        s.append("t", rows((1, 1), (2, 2)))
+        s.replace_all("t", rows((3, 3)))           # whole table, even under a dynamic session
+        assert sorted(map(tuple, s.read("t").collect())) == [(3, 3)]
+        spark.conf.set(key, "static")
+        s.append("t", rows((4, 4)))
+        s.overwrite_partitions("t", rows((30, 3)))  # only p=3, even under a static session
+        assert sorted(map(tuple, s.read("t").collect())) == [(4, 4), (30, 3)]
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, before)
