@@ -151,21 +151,31 @@ class TableStore:
     WATERMARKS = "_watermarks"
 
     def record_watermark(self, table: str, value) -> None:
-        """Remember a lower bound of the table's high-water mark (one row)."""
+        """Remember a lower bound of the table's high-water mark.
+
+        The marks table is partitioned by table name and each record replaces
+        that table's partition with one row (the larger of the old and the new
+        mark), so it stays one small file per table however many runs there
+        are.  A mark is only ever a lower bound: a lost or older one costs
+        time, never correctness.
+        """
         if value is None:
             return
         if not self.exists(self.WATERMARKS):
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(self.WATERMARKS)} "
-                           f"(table_name STRING, mark TIMESTAMP_NTZ) USING {self.provider}")
-        row = self.spark.range(1).select(F.lit(table).alias("table_name"),
-                                         F.lit(value).cast("timestamp_ntz").alias("mark"))
-        row.write.insertInto(self.name(self.WATERMARKS))
+                           f"(mark TIMESTAMP_NTZ, table_name STRING) USING {self.provider} "
+                           f"PARTITIONED BY (table_name)")
+        old = self.watermark(table)
+        if old is not None and old >= value:
+            return
+        row = self.spark.range(1).select(F.lit(value).cast("timestamp_ntz").alias("mark"),
+                                         F.lit(table).alias("table_name"))
+        self.overwrite_partitions(self.WATERMARKS, row)
 
     def watermark(self, table: str):
-        """Largest recorded mark for ``table`` (None when nothing recorded).
-
-        The watermark table holds one tiny row per run, so this is cheap; it
-        is only ever used as a *lower bound* (see ``incremental``)."""
+        """Recorded mark for ``table`` (None when nothing recorded); a
+        partition-pruned read of one row, only ever used as a lower bound
+        (see ``incremental.high_water_mark``)."""
         if not self.exists(self.WATERMARKS):
             return None
         return (self.read(self.WATERMARKS).filter(F.col("table_name") == table)

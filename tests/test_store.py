@@ -89,3 +89,16 @@ def test_overwrite_modes_do_not_depend_on_the_session_setting(spark):
         assert spark.conf.get(key) == "static"
     finally:
         spark.conf.set(key, before)
+
+
+def test_watermarks_keep_one_row_per_table(spark):
+    import datetime as dt
+
+    s = _store(spark)
+    t0 = dt.datetime(2024, 1, 1)
+    for d in (3, 1, 5, 5):  # an older mark never replaces a newer one
+        s.record_watermark("a", t0 + dt.timedelta(days=d))
+    s.record_watermark("b", t0)
+    assert s.watermark("a") == t0 + dt.timedelta(days=5)
+    assert s.watermark("b") == t0 and s.watermark("c") is None
+    assert s.read(s.WATERMARKS).count() == 2
