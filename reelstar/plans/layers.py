@@ -228,9 +228,14 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
     # facts of the event days that received new rows in this run: every
     # per-day table below depends only on its day's facts, so only those
     # days are recomputed and overwritten (same values as a full
-    # recomputation, without rescanning history)
-    affected = engagement.facts_of_affected_days(
-        fact, fact.filter(F.col("source_ingestion_time") > F.lit(hwm))) if hwm is not None else fact
+    # recomputation, without rescanning history).  New rows are found from
+    # the same lower bound as the increment (with an overlap, rows that
+    # committed behind the mark are new too); an extra day only costs time.
+    affected = fact
+    if hwm is not None:
+        lower = hwm - opts.hwm_overlap if opts.hwm_overlap else hwm
+        affected = engagement.facts_of_affected_days(
+            fact, fact.filter(F.col("source_ingestion_time") > F.lit(lower)))
     if full or g.is_empty("daily_engagement"):
         out["daily_engagement"] = g.replace_all(
             "daily_engagement", engagement.daily_engagement(fact, as_of), metrics=[row_count()])
