@@ -177,13 +177,18 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
     elif opts.refresh_static_dims:
         s.append("dim_content", dims.dim_content_unseen(content, s.read("dim_content"), as_of))
     events = bronze["watch_events"]
+    # only events of this increment can bring a date or device the dimension
+    # lacks (earlier ones were added by earlier runs): the refreshes scan the
+    # increment, not the event history; an empty dimension reads everything
+    new_since_mark = _since(events, hwm, opts.hwm_overlap)
     if s.is_empty("dim_device"):
         s.append("dim_device", dims.dim_device(events, as_of))
     elif opts.refresh_static_dims:
-        s.append("dim_device", dims.dim_device(events, as_of, existing=s.read("dim_device")))
+        s.append("dim_device", dims.dim_device(new_since_mark, as_of, existing=s.read("dim_device")))
 
     # 4. dim_time: incremental
-    s.append("dim_time", dims.dim_time_increment(events, s.read("dim_time"), as_of))
+    time_src = events if s.is_empty("dim_time") else new_since_mark
+    s.append("dim_time", dims.dim_time_increment(time_src, s.read("dim_time"), as_of))
 
     # 5. watch_sessions: incremental on the bronze ingestion clock
     target = s.read("watch_sessions")

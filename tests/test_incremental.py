@@ -87,6 +87,10 @@ def test_sliced_pipeline_gold_equals_one_shot(spark, sf_dir):
     assert rows(g.read("daily_user_base")) == rows(features.daily_user_base(fact, content))
     assert rows(g.read("daily_engagement"), ["ingestion_time"]) == \
         rows(engagement.daily_engagement(fact, AS_OF), ["ingestion_time"])
+    # dim_time grew from the increments only and still holds every event day once
+    days = s.read("dim_time").select("date_key")
+    assert days.count() == days.distinct().count() == \
+        b.watch_events.select(F.to_date("event_time")).distinct().count()
     assert rows(g.read("churn_features"), ["ingestion_time"]) == \
         rows(features.churn_features(fact, users, content, AS_OF), ["ingestion_time"])
 
