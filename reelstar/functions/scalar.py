@@ -123,11 +123,24 @@ def parse_event_time(text: Column | str) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def ntz_lit(value: _dt.datetime | str) -> Column:
+    """A TIMESTAMP_NTZ literal of a UTC wall-clock datetime.
+
+    Built from ISO text: ``F.lit(datetime)`` goes through the Python
+    process's local zone and the session zone, so a driver whose OS zone
+    differs from the session would shift every mark and stamp.  An aware
+    datetime is first converted to UTC.
+    """
+    if isinstance(value, str):
+        value = _dt.datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def as_of_ts(as_of: _dt.datetime | str) -> Column:
     """The injected clock as a TIMESTAMP_NTZ literal (one clock per run)."""
-    if isinstance(as_of, str):
-        as_of = _dt.datetime.fromisoformat(as_of)
-    return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+    return ntz_lit(as_of)
 
 
 def as_of_date(as_of: _dt.datetime | str) -> Column:

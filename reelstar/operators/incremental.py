@@ -12,6 +12,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import ntz_lit
+
 
 def high_water_mark(target: DataFrame, ts_col: str = "source_ingestion_time", floor=None):
     """max(ts_col) of the target, or None when the target is empty.
@@ -24,7 +26,7 @@ def high_water_mark(target: DataFrame, ts_col: str = "source_ingestion_time", fl
     """
     if floor is None:
         return target.agg(F.max(F.col(ts_col))).first()[0]
-    above = target.filter(F.col(ts_col) > F.lit(floor)).agg(F.max(F.col(ts_col))).first()[0]
+    above = target.filter(F.col(ts_col) > ntz_lit(floor)).agg(F.max(F.col(ts_col))).first()[0]
     return floor if above is None else above
 
 
@@ -41,10 +43,10 @@ def incremental(source: DataFrame, hwm, ts_col: str = "ingestion_time",
     if hwm is None:
         return source
     if overlap is None:
-        return source.filter(F.col(ts_col) > F.lit(hwm))
+        return source.filter(F.col(ts_col) > ntz_lit(hwm))
     lower = hwm - overlap
-    slice_new = source.filter(F.col(ts_col) > F.lit(lower))
+    slice_new = source.filter(F.col(ts_col) > ntz_lit(lower))
     if target is None or key is None:
         raise ValueError("overlap needs the target and a key to de-duplicate")
-    seen = target.filter(F.col(target_ts_col) > F.lit(lower)).select(key)
+    seen = target.filter(F.col(target_ts_col) > ntz_lit(lower)).select(key)
     return slice_new.join(seen, key, "left_anti")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.aggregates import count_if
+from ..functions.scalar import ntz_lit
 from ..operators import dims, engagement, enrich, fact as fact_ops, features, incremental, quality, scd2
 from ..sources.tables import TableStore, row_count
 
@@ -106,7 +107,7 @@ def _since(source: DataFrame, hwm, overlap: _dt.timedelta | None = None,
     if hwm is None:
         return source
     lower = hwm - overlap if overlap else hwm
-    return source.filter(F.col(ts_col) > F.lit(lower))
+    return source.filter(F.col(ts_col) > ntz_lit(lower))
 
 
 def _append_incremental(store: TableStore, table: str, df: DataFrame, hwm, extra: list | None = None) -> dict:
@@ -240,7 +241,7 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
     if hwm is not None:
         lower = hwm - opts.hwm_overlap if opts.hwm_overlap else hwm
         affected = engagement.facts_of_affected_days(
-            fact, fact.filter(F.col("source_ingestion_time") > F.lit(lower)))
+            fact, fact.filter(F.col("source_ingestion_time") > ntz_lit(lower)))
     if full or g.is_empty("daily_engagement"):
         out["daily_engagement"] = g.replace_all(
             "daily_engagement", engagement.daily_engagement(fact, as_of), metrics=[row_count()])

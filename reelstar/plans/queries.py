@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import as_of_ts, delay_seconds
+from ..functions.scalar import as_of_ts, delay_seconds, ntz_lit
 from ..operators import dims, engagement, enrich, fact as fact_ops, features, incremental, quality, scd2
 from ..schemas import CHURN_FEATURES, RATINGS_JSON, WATCH_JSON
 from ..session import work_dir
@@ -96,7 +96,7 @@ def q_stream_ingest(kind: str):
                                   else (b.ratings_late, RATINGS_JSON, "rating_id", RATINGS_COLS))
         root = work_dir(spark, f"stream-{kind}")
         inbox, out, ckpt = f"{root}/in", f"{root}/bronze", f"{root}/checkpoint"
-        early = F.col("ingestion_time") < F.lit(PREVIOUS_RUN)
+        early = F.col("ingestion_time") < ntz_lit(PREVIOUS_RUN)
         ingest.to_json_lines(src.filter(early), cols).write.mode("append").text(inbox)
         # a malformed line and a line without its key: both go to the rejects
         bad = spark.range(1).select(F.explode(F.array(
@@ -175,7 +175,7 @@ def q_dim_time_full(spark, sf_dir):
 
 def q_dim_time_incremental(spark, sf_dir):
     ev = bind(spark, sf_dir).watch_events
-    existing = dims.dim_time_increment(ev.filter(F.col("event_time") < F.lit(DIM_TIME_EXISTING_BEFORE)),
+    existing = dims.dim_time_increment(ev.filter(F.col("event_time") < ntz_lit(DIM_TIME_EXISTING_BEFORE)),
                                        None, DAY1)
     return dims.dim_time_increment(ev, existing, AS_OF)
 
@@ -185,7 +185,7 @@ def q_dim_device(spark, sf_dir):
 
 
 def _previous_target(b: Bindings) -> DataFrame:
-    prev = b.watch_events.filter(F.col("ingestion_time") < F.lit(PREVIOUS_RUN))
+    prev = b.watch_events.filter(F.col("ingestion_time") < ntz_lit(PREVIOUS_RUN))
     return enrich.build_watch_sessions(prev, _dim_content(b, DAY1), DAY1)
 
 
@@ -292,7 +292,7 @@ def _two_day_run(spark: SparkSession, sf_dir: str) -> L.Layers:
     (incremental fact, SCD2 apply, full replace of the gold aggregates)."""
     b = bind(spark, sf_dir)
     layers = L.Layers.under(spark, work_dir(spark, "two-day"), prefix=f"rs{uuid.uuid4().hex[:8]}")
-    before = F.col("ingestion_time") < F.lit(PREVIOUS_RUN)
+    before = F.col("ingestion_time") < ntz_lit(PREVIOUS_RUN)
     L.seed_bronze(layers, {
         "users": b.users, "content_catalog": b.content_catalog,
         "watch_events": b.watch_events.filter(before), "ratings_late": b.ratings_late.filter(before),

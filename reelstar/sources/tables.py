@@ -18,6 +18,8 @@ import threading
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+
+from ..functions.scalar import ntz_lit
 from pyspark.sql import types as T
 
 from ..schemas import ddl
@@ -168,7 +170,7 @@ class TableStore:
         old = self.watermark(table)
         if old is not None and old >= value:
             return
-        row = self.spark.range(1).select(F.lit(value).cast("timestamp_ntz").alias("mark"),
+        row = self.spark.range(1).select(ntz_lit(value).alias("mark"),
                                          F.lit(table).alias("table_name"))
         self.overwrite_partitions(self.WATERMARKS, row)
 

@@ -93,3 +93,33 @@ def test_days_since_bad_text_is_null(spark):
     df = spark.createDataFrame([(dt.date(2024, 2, 1), "2024-01-01"), (dt.date(2024, 2, 1), "n/a")],
                                "d date, s string")
     assert [r[0] for r in df.select(S.days_since("d", "s")).collect()] == [31, None]
+
+
+def test_marks_and_stamps_ignore_process_and_session_zones(spark):
+    import datetime as dt
+    import os
+    import time
+
+    from reelstar.functions.scalar import as_of_ts, ntz_lit
+    from reelstar.operators import incremental
+
+    key = "spark.sql.session.timeZone"
+    before_session, before_tz = spark.conf.get(key), os.environ.get("TZ")
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0),), (dt.datetime(2024, 1, 1, 3, 0),)],
+                               "ts timestamp_ntz")
+    try:
+        os.environ["TZ"] = "America/New_York"
+        time.tzset()
+        spark.conf.set(key, "Asia/Tokyo")
+        r = spark.range(1).select(as_of_ts(dt.datetime(2024, 2, 5)).alias("a"),
+                                  ntz_lit("2024-01-01T01:30:00").alias("b")).first()
+        assert (r.a, r.b) == (dt.datetime(2024, 2, 5), dt.datetime(2024, 1, 1, 1, 30))
+        got = incremental.incremental(df, dt.datetime(2024, 1, 1, 1, 0), "ts").collect()
+        assert [x.ts for x in got] == [dt.datetime(2024, 1, 1, 3, 0)]
+    finally:
+        spark.conf.set(key, before_session)
+        if before_tz is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = before_tz
+        time.tzset()
