@@ -46,10 +46,17 @@ def test_replayed_batch_overwrites_its_output(spark, sf_dir):
     raw = ingest.to_json_lines(ev, COLS)
     batch = ingest.parse_json_values(raw, WATCH_JSON)
     writer(batch, 0)
-    writer(batch, 0)  # replay of batch 0 after a failure
+    first = sorted(map(tuple, ingest.read_bronze(spark, f"{root}/out").collect()))
+    # replay of batch 0 after a failure, later on the clock: same rows, same stamp
+    ingest.BatchWriter(f"{root}/out", "event_id", clock=lambda: CLOCK + dt.timedelta(hours=1))(batch, 0)
     writer(batch.limit(0), 1)  # empty batch: skipped
-    assert ingest.read_bronze(spark, f"{root}/out").count() == 50
+    assert sorted(map(tuple, ingest.read_bronze(spark, f"{root}/out").collect())) == first
+    assert len(first) == 50
     assert not os.path.exists(local_path(f"{root}/out/batch_id=1"))
+    # a new batch takes the clock
+    ingest.BatchWriter(f"{root}/out", "event_id", clock=lambda: CLOCK + dt.timedelta(hours=2))(batch, 2)
+    stamps = ingest.read_bronze(spark, f"{root}/out").groupBy("ingestion_time").count().collect()
+    assert sorted((r[0], r[1]) for r in stamps) == [(CLOCK, 50), (CLOCK + dt.timedelta(hours=2), 50)]
 
 
 def test_two_streams_side_by_side(spark, sf_dir):
