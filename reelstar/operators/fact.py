@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import as_of_ts
 from ..schemas import FACT_WATCH
-from .joins import broadcast_if_bounded
+from .joins import lookup_for
 
 
 def build_fact(sessions: DataFrame, dim_user_current: DataFrame,
@@ -18,10 +18,13 @@ def build_fact(sessions: DataFrame, dim_user_current: DataFrame,
 
     The key is bound at load time and never restated; an unknown user gets a
     NULL key.  ``dim_user`` grows with the user base, so it is broadcast only
-    below the checked bound; above it the join is a sort-merge join whose
-    skewed (hot-user) partitions AQE splits.
+    below the checked bound; above it, the current rows of the increment's
+    users are picked by a map-only semi join and broadcast once their count
+    is proven small (``lookup_for``), so an increment never shuffles the
+    whole user dimension; otherwise a sort-merge join whose skewed
+    (hot-user) partitions AQE splits.
     """
-    keys = broadcast_if_bounded(dim_user_current.select("user_id", "user_key"))
+    keys = lookup_for(sessions, dim_user_current.select("user_id", "user_key"), "user_id")
     return sessions.join(keys, "user_id", "left").select(
         "session_id", "user_key", "user_id", "content_id", "event_type", "device_type",
         "watch_duration_seconds", "completion_percent", "is_late_arrival",
