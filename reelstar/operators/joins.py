@@ -14,10 +14,12 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(n + 1).count()`` stops reading after n + 1 rows, so the check
-    costs at most one small read whatever the size of ``df``.
+    A plain distributed count: every task counts its rows and only one
+    number per task reaches the final aggregate.  (``limit(n + 1).count()``
+    would instead move up to n + 1 rows from *every* partition into a single
+    task before counting - the whole side, for a large one.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
