@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from reelstar.functions.aggregates import exact_avg_rounded, mode_of
+from reelstar.functions.aggregates import exact_avg_rounded
 from reelstar.operators.features import mode_per_group, rolling_sum
 
 

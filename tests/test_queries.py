@@ -1,7 +1,6 @@
 """Every registered query against its SQL oracle (DuckDB) on sf0.001."""
 
 import math
-import os
 
 import duckdb
 import pytest
