@@ -26,6 +26,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # reliable checkpoints (lineage cuts, key layouts) are deleted once their
+    # DataFrame is unreferenced, so a long-running refresh app does not fill
+    # the shared checkpoint folder (a startup setting: builder / submit only)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,7 +41,7 @@ RECOMMENDED_CONF = {
 # match the advisory size.  These are applied only where the session has no
 # value of its own (see :func:`apply_defaults`).
 CLUSTER_CONF = {
-    **RECOMMENDED_CONF,
+    **{k: v for k, v in RECOMMENDED_CONF.items() if k.startswith("spark.sql.")},
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
