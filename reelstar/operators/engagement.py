@@ -47,7 +47,12 @@ def facts_of_affected_days(fact: DataFrame, new_rows: DataFrame) -> DataFrame:
     partition pruning).
     """
     days = new_rows.select("event_date").distinct()
-    return fact.join(broadcast_if_bounded(days), "event_date", "left_semi")
+    dated = fact.join(broadcast_if_bounded(days), "event_date", "left_semi")
+    # facts without a parsable event time form their own (NULL) day in the
+    # KPIs; that one partition is always recomputed (a static partition
+    # filter - a null-safe join would lose the dynamic pruning above)
+    undated = fact.filter(F.col("event_date").isNull())
+    return dated.unionByName(undated)
 
 
 def event_mix(fact: DataFrame) -> DataFrame:

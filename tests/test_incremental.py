@@ -147,3 +147,37 @@ def test_overlap_pipeline_picks_up_rows_committed_behind_the_mark(spark, sf_dir)
     assert rows(g.read("daily_user_base")) == rows(features.daily_user_base(fact, content))
     assert rows(g.read("daily_engagement"), ["ingestion_time"]) == \
         rows(engagement.daily_engagement(fact, AS_OF), ["ingestion_time"])
+
+
+def test_undated_facts_arriving_later_refresh_their_kpi_group(spark, sf_dir):
+    """Events whose event time did not parse (NULL) form their own KPI day;
+    when more of them arrive, the affected-day refresh updates that group."""
+    import uuid
+
+    from reelstar.operators import engagement, features
+    from reelstar.plans import layers as L
+    from reelstar.session import work_dir
+
+    b = bind(spark, sf_dir)
+    undated = F.col("event_id").cast("long") % 5 == 0
+    ev = b.watch_events.withColumn("event_time", F.when(undated, F.lit(None)).otherwise(F.col("event_time")))
+    cut = dt.datetime(2024, 1, 15)
+    layers = L.Layers.under(spark, work_dir(spark, "t-undated"), prefix=f"rsu{uuid.uuid4().hex[:8]}")
+    L.seed_bronze(layers, {"users": b.users, "content_catalog": b.content_catalog,
+                           "watch_events": ev.filter(F.col("ingestion_time") < F.lit(cut)),
+                           "ratings_late": b.ratings_late.limit(0)})
+    L.run_all(layers, dt.datetime(2024, 2, 4))
+    layers.bronze.append("watch_events", ev.filter(F.col("ingestion_time") >= F.lit(cut)))
+    L.run_all(layers, dt.datetime(2024, 2, 5))
+
+    g = layers.gold
+    fact = g.read("fact_watch_sessions")
+    assert fact.filter(F.col("event_date").isNull()).count() == ev.filter(undated).count() > 0
+
+    def rows(df, drop=()):
+        cols = sorted(c for c in df.columns if c not in drop)
+        return sorted(map(tuple, df.select(*cols).collect()), key=repr)
+
+    assert rows(g.read("daily_engagement"), ["ingestion_time"]) == \
+        rows(engagement.daily_engagement(fact, AS_OF), ["ingestion_time"])
+    assert rows(g.read("daily_user_base")) == rows(features.daily_user_base(fact, layers.silver.read("dim_content")))
