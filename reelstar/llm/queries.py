@@ -3,10 +3,14 @@ production parameters to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import line_dedup
+from .packing import pack, word_tokenizer
+from .quality_rules import quality_rules, trusted_rows_of
+from .secret_scan import secret_scan
 from .simhash_dedup import simhash_groups
 
 
@@ -14,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = word_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -23,9 +36,17 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = trusted_rows_of(table(spark, sf_dir, "labels"))
+    return quality_rules(table(spark, sf_dir, "documents"), trusted, keep=["doc_id"])
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_secret_scan": op2_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLE_SQL = {
