@@ -10,7 +10,6 @@ that setting is absent (tests on a laptop).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -103,6 +102,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="reelstar-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -127,9 +128,8 @@ def local_path(path: str) -> str:
     return path
 
 
-def is_local_fs(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def makedirs_local(path: str) -> None:
-    os.makedirs(local_path(path), exist_ok=True)
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder on whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
