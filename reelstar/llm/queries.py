@@ -12,6 +12,7 @@ from .packing import pack, word_tokenizer
 from .quality_rules import quality_rules, trusted_rows_of
 from .secret_scan import secret_scan
 from .simhash_dedup import simhash_groups
+from .url_filter import url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +42,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), trusted, keep=["doc_id"])
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages")).drop("component")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL = {
@@ -70,4 +76,38 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    # The given pages hold no canonical link and no redirect, so every address
+    # is a component of its own; a page's aliases are its other spellings.
+    "op10_url_filter": r"""
+        WITH rules(verdict, rhost, rpath) AS (
+            VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                   ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+        rests AS (
+            SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id,
+                   translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+            FROM rests),
+        spots AS (
+            SELECT DISTINCT host, path,
+                   CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') ||
+                       regexp_replace(regexp_replace(path, '(\.html?|/)$', ''), '/(index)?$', '') END AS node
+            FROM parts),
+        fits AS (
+            SELECT s.host, s.path, s.node, r.verdict, r.rhost || r.rpath AS rule,
+                   row_number() OVER (PARTITION BY s.host, s.path ORDER BY length(r.rhost || r.rpath) DESC) AS nth
+            FROM spots s JOIN rules r
+              ON (s.host = r.rhost OR s.host LIKE '%.' || r.rhost) AND starts_with(s.path, r.rpath)),
+        best AS (SELECT host, path, node, verdict, rule FROM fits WHERE nth = 1),
+        spread AS (SELECT node, bool_or(verdict = 'allow') AS allowed FROM best GROUP BY node)
+        SELECT p.page_id, p.host, p.path, b.rule,
+               coalesce(b.verdict, CASE WHEN a.allowed THEN 'allow' WHEN NOT a.allowed THEN 'block' END, 'allow') AS verdict
+        FROM parts p
+        LEFT JOIN best b ON p.host = b.host AND p.path = b.path
+        LEFT JOIN spots s ON p.host = s.host AND p.path = s.path
+        LEFT JOIN spread a ON s.node = a.node
+    """,
 }
