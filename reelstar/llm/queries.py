@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .embedding_dedup import embedding_dedup
 from .line_dedup import line_dedup
 from .packing import pack, word_tokenizer
 from .quality_rules import quality_rules, trusted_rows_of
@@ -42,6 +43,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), trusted, keep=["doc_id"])
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).drop("component")
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
