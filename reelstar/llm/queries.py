@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .embedding_dedup import embedding_dedup
+from .license_scan import TEMPLATES, THRESHOLD, license_scan
 from .line_dedup import line_dedup
 from .packing import pack, word_tokenizer
 from .quality_rules import quality_rules, trusted_rows_of
@@ -38,6 +39,14 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is a file ``source/lang/<doc_id by hundreds>/<doc_id>``."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"),
+                       F.col("doc_id").cast("string"))
+    return license_scan(docs.select("doc_id", "text", path.alias("path")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = trusted_rows_of(table(spark, sf_dir, "labels"))
     return quality_rules(table(spark, sf_dir, "documents"), trusted, keep=["doc_id"])
@@ -56,12 +65,70 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_license_scan": op6_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
+def _license_sql() -> str:
+    given = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = "regexp_extract_all(" + low + r", '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"
+    return f"""
+        WITH given(template, license, body) AS (VALUES {given}),
+        terms AS (
+            SELECT template, license, term, 1 + ln(count(*)) AS tf
+            FROM (SELECT template, license, unnest({words.format('body')}) AS term FROM given)
+            GROUP BY ALL),
+        docs AS (
+            SELECT doc_id, concat_ws('/', source, lang, doc_id // 100, doc_id) AS path,
+                   concat_ws('/', source, lang, doc_id // 100) AS folder, coalesce(text, '') AS body
+            FROM documents),
+        held AS (SELECT DISTINCT doc_id, unnest({words.format('body')}) AS term FROM docs),
+        idf AS (
+            SELECT term, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(doc_id))) + 1 AS idf
+            FROM (SELECT DISTINCT term FROM terms) LEFT JOIN held USING (term) GROUP BY term),
+        raw AS (SELECT template, license, term, tf * idf AS w FROM terms JOIN idf USING (term)),
+        weights AS (
+            SELECT template, license, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS weight FROM raw),
+        units AS (
+            SELECT doc_id, unit, body FROM (
+                SELECT doc_id, generate_subscripts(string_split(body, chr(10)), 1) AS unit,
+                       unnest(string_split(body, chr(10))) AS body FROM docs)
+            UNION ALL SELECT doc_id, -1, body FROM docs),
+        vectors AS (
+            SELECT doc_id, unit, term, (1 + ln(count(*))) * any_value(idf) AS w
+            FROM (SELECT doc_id, unit, unnest({words.format('body')}) AS term FROM units) JOIN idf USING (term)
+            GROUP BY doc_id, unit, term),
+        norms AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY ALL),
+        scored AS (
+            SELECT v.doc_id, v.unit, license, round(sum(w * weight) / any_value(norm), 6) AS score
+            FROM vectors v JOIN weights USING (term) JOIN norms n ON v.doc_id = n.doc_id AND v.unit = n.unit
+            GROUP BY v.doc_id, v.unit, template, license),
+        good AS (SELECT * FROM scored WHERE score >= {THRESHOLD}),
+        own AS (
+            SELECT doc_id, count(DISTINCT unit) FILTER (unit >= 0) AS n_notices,
+                   min((-score, license)) AS best, min((-score, license)) FILTER (unit < 0) AS file
+            FROM good GROUP BY doc_id),
+        licensed AS (
+            SELECT folder AS at, min(file)[2] AS license FROM own JOIN docs USING (doc_id)
+            WHERE file IS NOT NULL GROUP BY folder),
+        near AS (
+            SELECT d.folder, max((length(l.at), l.at, l.license)) AS near
+            FROM (SELECT DISTINCT folder FROM docs) d
+            JOIN licensed l ON d.folder = l.at OR starts_with(d.folder, l.at || '/')
+            GROUP BY d.folder)
+        SELECT d.doc_id, d.path, coalesce(n_notices, 0) AS n_notices, best[2] AS own_license,
+               -best[1] AS own_score, file IS NOT NULL AS is_license_file,
+               coalesce(best[2], near[3]) AS license,
+               CASE WHEN best IS NULL THEN near[2] END AS inherited_from
+        FROM docs d LEFT JOIN own o ON d.doc_id = o.doc_id LEFT JOIN near n ON d.folder = n.folder
+    """
+
+
 ORACLE_SQL = {
+    "op6_license_scan": _license_sql(),
     "op4_line_dedup": """
         WITH docs AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
