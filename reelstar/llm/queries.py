@@ -13,7 +13,9 @@ from .line_dedup import line_dedup
 from .packing import pack, word_tokenizer
 from .quality_rules import quality_rules, trusted_rows_of
 from .secret_scan import secret_scan
+from .sentencepiece_codec import encode_texts, model_bytes
 from .simhash_dedup import simhash_groups
+from .token_counts import token_counts
 from .url_filter import url_filter
 
 
@@ -30,6 +32,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+    return encode_texts(table(spark, sf_dir, "documents"), model, keep=["doc_id"])
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(table(spark, sf_dir, "documents"), model, keep=["doc_id"])
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -63,9 +75,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_license_scan": op6_license_scan,
+    "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filter": op10_url_filter,
