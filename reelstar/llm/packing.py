@@ -20,72 +20,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, slices, texts_of
+from .common import quoted, texts_of
+from .word_ids import WordIds
 
 WINDOW = 2048
 END_ID = 1
 #: Leftovers that are placed together (a few words of memory each).
 BLOCK = 100_000
-#: Distinct words whose ids a worker remembers.
-MEMO = 300_000
 _PART_SHIFT = 40
 
 
-class WordIds:
-    """Token ids of whole texts through the tokenizers library.
-
-    For tokenizers that drop white space, a text's ids are those of its words
-    one after another, so every distinct word is encoded once and remembered.
-    """
-
-    def __init__(self, path: str, memo: int = MEMO):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.most = Tokenizer.from_file(path), memo
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids = np.empty(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 14, dtype=np.int64)  # ends[k + 1]: end of word k in ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        made = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        ids = [x.ids for x in made]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.number)
-        start = int(self.ends[at])
-        need = start + int(lengths.sum())
-        while need > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-        while at + len(words) + 1 > len(self.ends):
-            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        self.ids[start:need] = np.fromiter((i for x in ids for i in x), np.uint32, need - start)
-        self.ends[at + 1: at + 1 + len(words)] = start + np.cumsum(lengths)
-        self.number.update(zip(words, range(at, at + len(words)), strict=True))
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        parts = [self._slice(p) for p in slices(text or b"")]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
-
-    def _slice(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        if len(self.number) > self.most:
-            self._clear()
-        if new := set(words).difference(self.number):
-            self._learn(sorted(new))
-        if not words:
-            return np.empty(0, dtype=np.uint32)
-        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        start, end = self.ends[which], self.ends[which + 1]
-        length = end - start
-        shift = np.repeat(start - np.concatenate(([0], np.cumsum(length)[:-1])), length)
-        return self.ids[shift + np.arange(len(shift))]
-
-
 class OpenWindows:
     """Open windows by remaining room, with a segment tree over 0..``window``
     whose leaves tell whether some window has exactly that room."""
@@ -145,7 +89,7 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> tuple[list[
 
 def pack(
     docs: DataFrame,
-    tokenizer: Callable[[], Callable[[bytes | None], np.ndarray]],
+    tokenizer: Callable[[], Callable[[list[bytes | None]], list[np.ndarray]]],
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = WINDOW,
@@ -157,8 +101,8 @@ def pack(
     doc_tokens, sequence_id, offset, padded_length`` and, if asked for, the
     piece's token ids ``ids``.
 
-    A document's ids (by ``tokenizer()``, made once per task, then ``end_id``)
-    are cut into full windows from the front; the rest is placed by best-fit
+    A document's ids (by ``tokenizer()``, made once per task, a function from
+    texts to id arrays; then ``end_id``) are cut into full windows from the front; the rest is placed by best-fit
     decreasing.  ``offset`` is gapless from 0 in each sequence.  A sequence is
     padded to ``padded_length``: the window, or the tokens it holds if that is
     a power of two.  ``ids_crc32``: over the ids as little-endian 32-bit.
@@ -209,8 +153,10 @@ def pack(
         for batch in batches:
             kind = batch.schema.field(0).type
             full: list[tuple] = []
-            for i, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                ids = np.append(encode(text), np.uint32(end_id)).astype("<u4")
+            texts = texts_of(batch.column(1))
+            made = (x for k in range(0, len(texts), 256) for x in encode(texts[k: k + 256]))
+            for i, found in zip(batch.column(0).to_pylist(), made, strict=True):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start: start + window]
                     piece = (i, start, len(part), zlib.crc32(part.tobytes()), len(ids), part if with_ids else None)
@@ -240,5 +186,6 @@ def _own(full: list[tuple], first: int, window: int) -> tuple[list[int], list[in
     return seqs, [0] * len(full), dict.fromkeys(seqs, window)
 
 
-def word_tokenizer(path: str) -> Callable[[], WordIds]:
-    return lambda: WordIds(path)
+def word_tokenizer(path: str) -> Callable[[], Callable[[list[bytes | None]], list[np.ndarray]]]:
+    """Ids by the tokenizer file at ``path`` (which every executor can read)."""
+    return lambda: WordIds(path).encode
