@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, quoted
+from .common import BLANKS, quoted, settled
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Second hash of a key: the same function after another leading value.
@@ -70,7 +70,9 @@ def line_dedup(
                 F.xxhash64(F.lit(_SECOND), "__key").alias("__g"))
     )
     held = lines.select("__h", "__g", "__id").distinct()
-    shared = (
+    # Written down: the join below then exchanges both its sides anew, so that
+    # adaptive execution can split the rows of a line that is everywhere.
+    shared = settled(
         held.groupBy("__h", "__g")
         .agg(F.count(F.lit(1)).alias("__n"), F.max("__id").alias("__keeper"))
         .filter(F.col("__n") >= min_docs)
