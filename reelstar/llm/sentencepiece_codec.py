@@ -21,6 +21,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,7 @@ class Model:
     def unk_id(self) -> int:
         return next(k for k, p in enumerate(self.pieces) if p[2] == UNKNOWN)
 
-    @property
+    @cached_property
     def by_segments(self) -> bool:
         """Whether segments can be encoded one by one."""
         inner = re.compile(f"[^{MARK}]{MARK}")
@@ -193,7 +194,7 @@ class Codec:
         cut = [[segments(p) for p in parts_of(t)] for t in texts]
         if len(self.memo) > self.most:
             self.memo.clear()
-        new = sorted(set().union(*(words for parts in cut for words in parts)).difference(self.memo, [b""]))
+        new = list(set().union(*(words for parts in cut for words in parts)).difference(self.memo, [b""]))
         # the normaliser puts back the space that segments() took off
         made = self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
         self.memo.update((s, array("I", x.ids).tobytes()) for s, x in zip(new, made, strict=True))
@@ -204,6 +205,8 @@ class Codec:
 
     def spells(self, ids: np.ndarray, text: bytes) -> bool:
         """Whether the ids' pieces, byte by byte, are the text."""
+        if len(ids) > 1 << 20:
+            return self.decode([ids])[0].encode() == text
         made = b"".join(map(self.bytes.__getitem__, ids.tolist()))
         return made[1 if self.model.dummy_prefix and made[:1] == b" " else 0:] == text
 
@@ -267,7 +270,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
                 if native is None:
                     out["parity"] += [None] * len(ids)
                 else:
-                    want = native.encode([t.decode() for t in group], num_threads=threads)
+                    want = native.encode([t.decode() for t in group], num_threads=1)
                     out["parity"] += [x.tolist() == y for x, y in zip(ids, want, strict=True)]
                 if with_ids:
                     out["ids"] += [x.astype(np.int64) for x in ids]
