@@ -21,33 +21,43 @@ from reelstar.llm.simhash_dedup import keep_one_per_group
 from reelstar.session import drop_path, work_dir
 
 
-def _columns(made: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with ``n_chars`` counted again."""
-    if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return made.select(docs.columns)
+def _plain(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with the plain column names c0, c1, ..., so that no column can
+    clash with one an operator makes; the names of its id and text."""
+    at = docs.columns.index
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]), f"c{at('doc_id')}", f"c{at('text')}"
+
+
+def _columns(made: DataFrame, docs: DataFrame, changed: bool = False) -> DataFrame:
+    """The columns of ``docs`` again, with ``n_chars`` counted anew where the
+    text has changed."""
+    plain = made.select(*[f"c{k}" for k in range(len(docs.columns))])
+    if changed and "n_chars" in docs.columns:
+        n, text = docs.columns.index("n_chars"), docs.columns.index("text")
+        plain = plain.withColumn(f"c{n}", F.char_length(f"c{text}").cast(docs.schema["n_chars"].dataType))
+    return plain.toDF(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality_rules(docs, trusted_rows_of(labels))
-    return judged.filter("kept").select(docs.columns)
+    plain, key, text = _plain(docs)
+    trusted = trusted_rows_of(spark.read.parquet(f"{sf_dir}/labels.parquet")).toDF(key)
+    return _columns(quality_rules(plain, trusted, key, text).filter("kept"), docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them only."""
-    return _columns(line_dedup(docs), docs)
+    return _columns(line_dedup(*_plain(docs)), docs, changed=True)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return keep_one_per_group(docs).select(docs.columns)
+    return _columns(keep_one_per_group(*_plain(docs)), docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    return _columns(secret_scan(docs, redact=True), docs)
+    return _columns(secret_scan(*_plain(docs), redact=True), docs, changed=True)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,19 +64,22 @@ def map_texts(
     """
     names = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    schema = T.StructType([df.schema[c] for c in kept] + fields)
-    wanted = list(dict.fromkeys([*kept, text_col, *(c for c in (keep or []) if c in df.columns)]))
+    # plain names inside: mapInArrow cannot take every name a column may have
+    inner = [f"__kept{k}" for k in range(len(kept))]
+    given = [F.col(quoted(c)).alias(n) for c, n in zip(kept, inner, strict=True)]
+    schema = T.StructType([T.StructField(n, df.schema[c].dataType) for c, n in zip(kept, inner, strict=True)] + fields)
     out_schema = to_arrow_schema(T.StructType(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            made = fn(texts_of(batch.column(text_col)), batch)
-            arrays = [batch.column(c) for c in kept]
+            made = fn(texts_of(batch.column("__text")), batch)
+            arrays = [batch.column(n) for n in inner]
             arrays += [pa.array(made[f.name], type=f.type) for f in out_schema]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *out_schema.names])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*inner, *out_schema.names])
 
-    return df.select(*[F.col(quoted(c)) for c in wanted]).mapInArrow(run, schema)
+    out = df.select(*given, F.col(quoted(text_col)).alias("__text")).mapInArrow(run, schema)
+    return out.toDF(*kept, *out_schema.names)
 
 
 def quoted(name: str) -> str:

@@ -26,9 +26,10 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, map_texts
+from .common import SLICE_BYTES, map_texts, quoted
 
 MARK = "▁"
 #: Distinct segments whose ids a worker remembers.
@@ -287,15 +288,19 @@ def decode_ids(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: st
     """``rows`` with the text of ``ids_col`` in ``text_col``; null ids give
     null, no ids the empty text."""
     kept = [c for c in rows.columns if c != text_col]
-    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(text_col, T.StringType())])
+    inner = [f"c{k}" for k in range(len(kept))]
+    schema = T.StructType([T.StructField(n, rows.schema[c].dataType) for c, n in zip(kept, inner, strict=True)]
+                          + [T.StructField("text", T.StringType())])
+    at = f"c{kept.index(ids_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model, threads)
         for batch in batches:
-            given = batch.column(ids_col).to_pylist()
+            given = batch.column(at).to_pylist()
             texts = codec.decode([np.array(x or [], dtype=np.uint32) for x in given])
             texts = [None if x is None else t for x, t in zip(given, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, type=pa.string())],
-                                             names=[*kept, text_col])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(texts, type=pa.string())],
+                                             names=[*inner, "text"])
 
-    return rows.select(*kept).mapInArrow(run, schema)
+    plain = rows.select(*[F.col(quoted(c)).alias(n) for c, n in zip(kept, inner, strict=True)])
+    return plain.mapInArrow(run, schema).toDF(*kept, text_col)
