@@ -119,8 +119,10 @@ def parse_event_time(text: Column | str) -> Column:
 
     Malformed text gives NULL (``try_to_timestamp``), never a failed batch.
     """
-    instant = F.try_to_timestamp(_c(text))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    # the instant's microseconds, counted from the epoch on the UTC wall clock:
+    # the session's local time, ambiguous when clocks go back, takes no part
+    micros = F.unix_micros(F.try_to_timestamp(_c(text)))
+    return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
 
 
 def ntz_lit(value: _dt.datetime | str) -> Column:

@@ -26,7 +26,8 @@ def dim_content_unseen(content: DataFrame, existing: DataFrame, as_of) -> DataFr
 def event_dates(events: DataFrame, ts_col: str = "event_time") -> DataFrame:
     # distinct runs as a partial aggregate on every task first: only the
     # distinct dates of each task are shuffled
-    return events.select(F.to_date(F.col(ts_col)).alias("date_key")).distinct()
+    # (an event without a parsable time has no calendar day: no dimension row)
+    return events.select(F.to_date(F.col(ts_col)).alias("date_key")).filter("date_key IS NOT NULL").distinct()
 
 
 def dim_time_increment(events: DataFrame, existing: DataFrame | None, as_of) -> DataFrame:
@@ -41,9 +42,9 @@ def dim_time_increment(events: DataFrame, existing: DataFrame | None, as_of) ->
 
 
 def dim_device(events: DataFrame, as_of, existing: DataFrame | None = None) -> DataFrame:
-    """Distinct device types with their category (unseen ones only when
-    ``existing`` is given)."""
-    devices = events.select("device_type").distinct()
+    """Distinct device types, NULL excluded, with their category (unseen ones
+    only when ``existing`` is given)."""
+    devices = events.select("device_type").filter("device_type IS NOT NULL").distinct()
     if existing is not None:
         devices = devices.join(broadcast_if_bounded(existing.select("device_type")), "device_type", "left_anti")
     return devices.select(

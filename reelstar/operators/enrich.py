@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (as_of_date, as_of_ts, completion_percent, delay_seconds,
                                 is_late_arrival, is_within_48h)
 from ..schemas import RATINGS, WATCH_SESSIONS
-from .joins import lookup_for
 
 
 def late_arrival(events: DataFrame) -> DataFrame:
@@ -23,9 +22,9 @@ def late_arrival(events: DataFrame) -> DataFrame:
 
 
 def with_duration(events: DataFrame, dim_content: DataFrame) -> DataFrame:
-    """Left join of the title duration.  The catalog side is broadcast when
-    bounded, or reduced to the titles of this increment (``lookup_for``)."""
-    durations = lookup_for(events, dim_content.select("content_id", "duration_minutes"), "content_id")
+    """Left join of the title duration (the planner picks the join from byte
+    statistics; AQE splits a hot title)."""
+    durations = dim_content.select("content_id", "duration_minutes")
     return events.join(durations, "content_id", "left")
 
 

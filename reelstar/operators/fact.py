@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import as_of_ts
-from ..schemas import FACT_WATCH
-from .joins import lookup_for
 
 
 def build_fact(sessions: DataFrame, dim_user_current: DataFrame,
@@ -17,18 +15,15 @@ def build_fact(sessions: DataFrame, dim_user_current: DataFrame,
     """Sessions with the surrogate key of the user's current version.
 
     The key is bound at load time and never restated; an unknown user gets a
-    NULL key.  ``dim_user`` grows with the user base, so it is broadcast only
-    below the checked bound; above it, the current rows of the increment's
-    users are picked by a map-only semi join and broadcast once their count
-    is proven small (``lookup_for``), so an increment never shuffles the
-    whole user dimension; otherwise a sort-merge join whose skewed
-    (hot-user) partitions AQE splits.
+    NULL key.  ``event_id`` identifies the row.  How the join runs is left to
+    the planner: byte statistics decide on a broadcast, else a sort-merge join
+    whose skewed (hot-user) partitions AQE splits.
     """
-    keys = lookup_for(sessions, dim_user_current.select("user_id", "user_key"), "user_id")
+    keys = dim_user_current.select("user_id", "user_key")
     return sessions.join(keys, "user_id", "left").select(
         "session_id", "user_key", "user_id", "content_id", "event_type", "device_type",
         "watch_duration_seconds", "completion_percent", "is_late_arrival",
         F.to_date("event_time").alias("event_date"), "event_time",
         as_of_ts(as_of).alias("ingestion_time"),
-        F.col("ingestion_time").alias("source_ingestion_time"),
-    ).select(*[f.name for f in FACT_WATCH.fields])
+        F.col("ingestion_time").alias("source_ingestion_time"), "event_id",
+    )

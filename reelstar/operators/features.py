@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import count_if, exact_avg_rounded, exact_sum, mode_of
 from ..functions.scalar import as_of_ts, churn_label, days_since, ratio_percent
 from ..schemas import CHURN_FEATURES, DAILY_USER_BASE
-from .joins import broadcast_if_bounded
 
 DAY_KEYS = ["user_id", "event_date"]
 USER_ATTRS = ["age_band", "subscription_tier", "country", "signup_date"]
@@ -48,7 +47,7 @@ def preferred_device(fact: DataFrame) -> DataFrame:
 
 
 def with_genre(fact: DataFrame, dim_content: DataFrame) -> DataFrame:
-    return fact.join(broadcast_if_bounded(dim_content.select("content_id", "genre")), "content_id", "left")
+    return fact.join(dim_content.select("content_id", "genre"), "content_id", "left")
 
 
 def favorite_genre(fact: DataFrame, dim_content: DataFrame) -> DataFrame:

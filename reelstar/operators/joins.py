@@ -27,26 +27,3 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_RO
     choice to the planner (sort-merge join, AQE may still switch at runtime
     from measured shuffle sizes and split skewed partitions)."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def lookup_for(probe: DataFrame, dim: DataFrame, key: str,
-               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """The dimension side of ``probe LEFT JOIN dim USING (key)``, for a probe
-    that is an increment (few keys) and a dimension that may be huge.
-
-    1. dim proven small -> broadcast it;
-    2. else, if the probe's distinct keys are proven few, keep only the dim
-       rows of those keys (a map-only broadcast semi join, no shuffle of the
-       dimension) and broadcast that, once its own size is proven;
-    3. else the dimension as is (sort-merge join; AQE handles skew).
-
-    Rows of the result are the same in every case; only the plan differs.
-    """
-    if has_at_most(dim, max_rows):
-        return F.broadcast(dim)
-    wanted = probe.select(key).distinct()
-    if has_at_most(wanted, max_rows):
-        reduced = dim.join(F.broadcast(wanted), key, "left_semi")
-        if has_at_most(reduced, max_rows):
-            return F.broadcast(reduced)
-    return dim

@@ -242,6 +242,9 @@ BODIES: dict[str, str] = {
                     "ingestion_time AS source_ingestion_time FROM ratings_late"),
     "fact_watch_sessions": "SELECT * FROM fact_o",
     "daily_engagement": daily_sql("fact_o"),
+    # however the runs were cut or repeated, the KPIs are those of all events
+    "same_clock_rerun": daily_sql("fact_o"),
+    "reload_after_truncate": daily_sql("fact_o"),
     "event_mix": """
 SELECT event_date AS date, CAST(count(session_id) AS BIGINT) AS total_sessions,
        CAST(count(CASE WHEN event_type = 'play' THEN 1 END) AS BIGINT) AS play_events,

@@ -220,7 +220,7 @@ def q_ratings_48h(spark, sf_dir):
 
 
 def q_fact(spark, sf_dir):
-    return _fact(bind(spark, sf_dir))
+    return _fact(bind(spark, sf_dir)).drop("event_id")
 
 
 def q_daily_engagement(spark, sf_dir):
@@ -316,7 +316,38 @@ def q_two_day_churn(spark, sf_dir):
 def q_pipeline_end_to_end(spark, sf_dir):
     """The gold fact after both days: day-1 rows keep the key of the day-1
     user version, day-2 rows get the key current after the SCD2 apply."""
-    return _two_day_run(spark, sf_dir).gold.read("fact_watch_sessions")
+    return _two_day_run(spark, sf_dir).gold.read("fact_watch_sessions").drop("event_id")
+
+
+def _seeded(spark: SparkSession, b: Bindings, purpose: str, events: DataFrame) -> L.Layers:
+    layers = L.Layers.under(spark, work_dir(spark, purpose), prefix=f"rs{uuid.uuid4().hex[:8]}")
+    L.seed_bronze(layers, {"users": b.users, "content_catalog": b.content_catalog,
+                           "watch_events": events, "ratings_late": b.ratings_late})
+    return layers
+
+
+def q_same_clock_rerun(spark, sf_dir):
+    """Two runs with one clock, the second after more events arrived: the KPIs
+    are those of all events."""
+    b = bind(spark, sf_dir)
+    before = F.col("ingestion_time") < ntz_lit(PREVIOUS_RUN)
+    layers = _seeded(spark, b, "same-clock", b.watch_events.filter(before))
+    L.run_all(layers, AS_OF)
+    layers.bronze.append("watch_events", b.watch_events.filter(~before))
+    L.run_all(layers, AS_OF)
+    return layers.gold.read("daily_engagement")
+
+
+def q_reload_after_truncate(spark, sf_dir):
+    """The sessions and facts are emptied after a run; the next run loads them
+    again, whatever marks were recorded."""
+    b = bind(spark, sf_dir)
+    layers = _seeded(spark, b, "reload", b.watch_events)
+    L.run_all(layers, AS_OF)
+    for store, name in ((layers.silver, "watch_sessions"), (layers.gold, "fact_watch_sessions")):
+        store.replace_all(name, store.read(name).filter("false"))
+    L.run_all(layers, AS_OF)
+    return layers.gold.read("daily_engagement")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -358,4 +389,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_day_daily": q_two_day_daily,
     "two_day_churn": q_two_day_churn,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    "same_clock_rerun": q_same_clock_rerun,
+    "reload_after_truncate": q_reload_after_truncate,
 }

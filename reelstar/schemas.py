@@ -85,7 +85,7 @@ FACT_WATCH = _struct(
     ("session_id", S), ("user_key", L), ("user_id", S), ("content_id", S),
     ("event_type", S), ("device_type", S), ("watch_duration_seconds", I),
     ("completion_percent", D), ("is_late_arrival", B), ("event_date", DATE),
-    ("event_time", TS), ("ingestion_time", TS), ("source_ingestion_time", TS),
+    ("event_time", TS), ("ingestion_time", TS), ("source_ingestion_time", TS), ("event_id", S),
 )
 DAILY_ENGAGEMENT = _struct(
     ("date", DATE), ("total_users", L), ("total_sessions", L), ("total_watch_hours", D),

@@ -64,10 +64,12 @@ class Bindings:
 
     @cached_property
     def content_catalog(self) -> DataFrame:
-        p = self.table("part").filter(F.col("p_partkey") % 10 != 3)
+        """The whole part table; every tenth title has an id no event refers
+        to, so its events are orphans of the catalog."""
+        p = self.table("part")
         key = F.col("p_partkey")
         return p.select(
-            F.concat(F.lit("content_"), key.cast("string")).alias("content_id"),
+            F.concat(F.when(key % 10 == 3, "unseen_").otherwise("content_"), key.cast("string")).alias("content_id"),
             F.col("p_name").alias("title"),
             F.col("p_type").alias("genre"),
             F.date_add(F.lit("2010-01-01").cast("date"), (key % 3650).cast("int")).cast("string").alias("release_date"),
@@ -81,9 +83,10 @@ class Bindings:
         nation = F.broadcast(self.table("nation").select("n_nationkey", "n_name"))
         return self.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
 
-    def _users_from(self, c: DataFrame, country: Column, tier: Column, loaded: str) -> DataFrame:
+    def _users_from(self, c: DataFrame, country: Column, tier: Column, loaded: str,
+                    prefix: Column | None = None) -> DataFrame:
         key = F.col("c_custkey")
-        uid = F.concat(F.lit("user_"), key.cast("string"))
+        uid = F.concat(F.lit("user_") if prefix is None else prefix, key.cast("string"))
         return c.select(
             uid.alias("user_id"),
             F.concat(uid, F.lit("_name")).alias("username"),
@@ -97,9 +100,10 @@ class Bindings:
 
     @cached_property
     def users(self) -> DataFrame:
-        """Day-1 snapshot: 1 in 29 customers not yet signed up."""
-        c = self._customers().filter(F.col("c_custkey") % 29 != 0)
-        return self._users_from(c, F.col("n_name"), F.col("c_mktsegment"), BRONZE_USERS_LOADED)
+        """Day-1 snapshot of every customer; 1 in 29 still has a trial id and
+        appears under the user id only on day 2."""
+        prefix = F.when(F.col("c_custkey") % 29 == 0, "trial_").otherwise("user_")
+        return self._users_from(self._customers(), F.col("n_name"), F.col("c_mktsegment"), BRONZE_USERS_LOADED, prefix)
 
     @cached_property
     def users_v2(self) -> DataFrame:
@@ -143,24 +147,25 @@ watch_events AS (
          ts + to_seconds(CAST((event_id * 7919) % 259200 AS INTEGER)) AS ingestion_time
   FROM events),
 content_catalog AS (
-  SELECT 'content_' || CAST(p_partkey AS VARCHAR) AS content_id, p_name AS title, p_type AS genre,
+  SELECT CASE WHEN p_partkey % 10 = 3 THEN 'unseen_' ELSE 'content_' END || CAST(p_partkey AS VARCHAR) AS content_id, p_name AS title, p_type AS genre,
          CAST(DATE '2010-01-01' + CAST(p_partkey % 3650 AS INTEGER) AS VARCHAR) AS release_date,
          p_size AS duration_minutes,
          CASE p_partkey % 6 WHEN 0 THEN 'EN' WHEN 1 THEN 'ES' WHEN 2 THEN 'FR'
               WHEN 3 THEN 'DE' WHEN 4 THEN 'HE' WHEN 5 THEN 'PT' END AS language,
          TIMESTAMP '2023-12-31 00:00:00' AS ingestion_time
-  FROM part WHERE p_partkey % 10 <> 3),
+  FROM part),
 customers_n AS (
   SELECT c.*, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
 users AS (
-  SELECT 'user_' || CAST(c_custkey AS VARCHAR) AS user_id,
-         'user_' || CAST(c_custkey AS VARCHAR) || '_name' AS username,
-         'user_' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
+  SELECT uid AS user_id,
+         uid || '_name' AS username,
+         uid || '@example.com' AS email,
          CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(16 + c_custkey % 45 AS INTEGER) END AS age,
          n_name AS country, c_mktsegment AS subscription_tier,
          CAST(DATE '2023-06-01' + CAST((c_custkey * 37) % 240 AS INTEGER) AS VARCHAR) AS signup_date,
          TIMESTAMP '2024-01-01 00:00:00' AS ingestion_time
-  FROM customers_n WHERE c_custkey % 29 <> 0),
+  FROM (SELECT *, CASE WHEN c_custkey % 29 = 0 THEN 'trial_' ELSE 'user_' END || CAST(c_custkey AS VARCHAR) AS uid
+        FROM customers_n)),
 users_v2 AS (
   SELECT 'user_' || CAST(c_custkey AS VARCHAR) AS user_id,
          'user_' || CAST(c_custkey AS VARCHAR) || '_name' AS username,

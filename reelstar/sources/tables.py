@@ -36,6 +36,7 @@ class TableStore:
         self.spark, self.provider = spark, provider
         self.namespace = f"{catalog}.{namespace}" if catalog else namespace
         self.location = location.rstrip("/") if location else None
+        self._partitions: dict[str, tuple[str, ...]] = {}
 
     # -- DDL ------------------------------------------------------------------
     def create_namespace(self) -> None:
@@ -47,6 +48,7 @@ class TableStore:
 
     def create(self, table: str, schema: T.StructType, partitioned_by: tuple[str, ...] = ()) -> None:
         props = " TBLPROPERTIES ('format-version'='2')" if self.provider == "iceberg" else ""
+        self._partitions[table] = tuple(partitioned_by)
         part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl(schema)}) "
                        f"USING {self.provider}{part}{props}")
@@ -63,8 +65,12 @@ class TableStore:
 
     # -- writes ----------------------------------------------------------------
     def _aligned(self, table: str, df: DataFrame) -> DataFrame:
-        cols = self.read(table).columns
-        return df.select(*cols)
+        """The table's columns in order; for a partitioned table dealt by its
+        partition columns, so that a day is a few files and not one per input
+        task (AQE splits a large day and merges small ones)."""
+        df = df.select(*self.read(table).columns)
+        by = self._partitions.get(table)
+        return df.hint("rebalance", *by) if by else df
 
     def append(self, table: str, df: DataFrame, metrics: list | None = None) -> dict:
         """Append ``df``; ``metrics`` are aggregate Columns observed during the
@@ -107,9 +113,14 @@ class TableStore:
 
     def replace_all(self, table: str, df: DataFrame, reads_self: bool = False,
                     metrics: list | None = None) -> dict:
-        """Replace the whole table (every partition) with ``df``."""
+        """Replace the whole table (every partition) with ``df``.
+
+        The rows are computed into the shared checkpoint folder first: an input
+        that fails leaves the table as it was, and the time in which a reader
+        of a path-based provider can see it empty is that of the file copy.
+        """
         df = self._aligned(table, df)
-        if reads_self:
+        if reads_self or self.provider not in V2_PROVIDERS:
             ensure_checkpoint_dir(self.spark)
             df = df.checkpoint(eager=True)
         df, obs = self._observed(df, metrics)
@@ -174,6 +185,13 @@ class TableStore:
                                          F.lit(table).alias("table_name"))
         self.overwrite_partitions(self.WATERMARKS, row)
 
+    def clear_watermark(self, table: str) -> None:
+        """Forget the table's mark: its next refresh starts from nothing."""
+        if self.exists(self.WATERMARKS):
+            row = self.spark.range(1).select(F.lit(None).cast("timestamp_ntz").alias("mark"),
+                                             F.lit(table).alias("table_name"))
+            self.overwrite_partitions(self.WATERMARKS, row)
+
     def watermark(self, table: str):
         """Recorded mark for ``table`` (None when nothing recorded); a
         partition-pruned read of one row, only ever used as a lower bound

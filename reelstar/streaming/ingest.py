@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalar import as_of_ts, now_utc, parse_event_time
-from ..schemas import RATINGS_JSON, WATCH_JSON
+from ..schemas import BRONZE, RATINGS_JSON, WATCH_JSON
 
 WATCH = ("watch_events", WATCH_JSON, "event_id")
 RATINGS = ("ratings_late", RATINGS_JSON, "rating_id")
@@ -37,8 +37,14 @@ ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
-                 starting_offsets: str = "latest", fail_on_data_loss: bool = False) -> DataFrame:
-    return (spark.readStream.format("kafka")
+                 starting_offsets: str = "latest", fail_on_data_loss: bool = False,
+                 max_offsets_per_trigger: int | None = 5_000_000) -> DataFrame:
+    """The topic's ``value``; a batch takes at most ``max_offsets_per_trigger``
+    records (the first one after a long stop would else be all of them)."""
+    reader = spark.readStream.format("kafka")
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return (reader
             .option("kafka.bootstrap.servers", bootstrap)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
@@ -116,10 +122,49 @@ def start_ingest(raw: DataFrame, schema: T.StructType, key: str, out_dir: str, c
     return w.start()
 
 
-def read_bronze(spark: SparkSession, out_dir: str, rejects: bool = False) -> DataFrame:
-    """Accepted (or rejected) rows of every committed batch."""
-    df = spark.read.parquet(out_dir)
-    return df.filter(F.col("accepted") == (not rejects)).drop("accepted", "batch_id")
+def read_bronze(spark: SparkSession, out_dir: str, rejects: bool = False,
+                schema: T.StructType | None = None) -> DataFrame:
+    """Accepted (or rejected) rows of every committed batch.
+
+    Only batch folders with the writer's commit marker are read; one that is
+    half written is not there yet.  ``schema`` is that of the bronze table; by
+    default the one named by the folder (``watch_events`` or ``ratings_late``),
+    else that of the first committed batch.  A stream without a committed
+    batch has no rows.
+    """
+    root = out_dir.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/batch_id=*/_SUCCESS")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    batches = sorted(f.getPath().getParent().toString() for f in files or [])
+    schema = schema or BRONZE.get(root.rsplit("/", 1)[-1])
+    if schema is None:
+        if not batches:
+            raise ValueError(f"no committed batch below {root}; give the schema of the table")
+        schema = T.StructType([f for f in spark.read.parquet(batches[0]).schema if f.name != "accepted"])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    if not batches:
+        return spark.createDataFrame([], schema)
+    whole = T.StructType([*schema, T.StructField("accepted", T.BooleanType())])
+    df = spark.read.schema(whole).option("basePath", root).parquet(*batches)
+    return df.filter(F.col("accepted") == (not rejects)).select(*schema.names)
+
+
+def run_until_any_ends(queries: list[StreamingQuery]) -> None:
+    """Block until one of the streams ends, then stop the others; an error of
+    the one that ended is raised."""
+    import time
+
+    try:
+        while queries and all(q.isActive for q in queries):
+            time.sleep(0.2)
+        for q in queries:
+            if not q.isActive:
+                q.awaitTermination()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
 
 
 def start_bronze_streams(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
@@ -129,7 +174,7 @@ def start_bronze_streams(spark: SparkSession, sources: dict[str, DataFrame], out
 
     ``sources`` maps "watch_events" / "ratings_late" to a raw stream with a
     ``value`` column.  Each query has its own checkpoint.  Callers usually
-    block on ``spark.streams.awaitAnyTermination()``.
+    block in :func:`run_until_any_ends`.
     """
     queries = []
     for name, schema, key in (WATCH, RATINGS):

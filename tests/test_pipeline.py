@@ -84,18 +84,16 @@ def test_hot_user_is_pre_aggregated_and_exact(spark, sf_dir):
     assert churn.agg(F.sum("sessions_count")).first()[0] == len(hot)
 
 
-def test_lookup_reduces_a_large_dimension_to_the_increments_keys(spark):
-    from reelstar.operators.joins import lookup_for
-
-    dim = spark.range(1000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id"),
-                                   F.col("id").alias("user_key"))
-    probe = spark.createDataFrame([("u1",), ("u1",), ("u7",), ("zz",)], "user_id string")
-    side = lookup_for(probe, dim, "user_id", max_rows=10)   # dim too large, probe keys few
-    plan = side._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftSemi" in plan and "broadcast" in plan.lower()
-    assert sorted(r.user_key for r in side.collect()) == [1, 7]
-    got = sorted(map(tuple, probe.join(side, "user_id", "left").collect()), key=repr)
-    want = sorted(map(tuple, probe.join(dim, "user_id", "left").collect()), key=repr)
-    assert got == want
-    # too many probe keys: the dimension is returned unhinted (sort-merge join)
-    assert lookup_for(dim, dim, "user_id", max_rows=10) is dim
+def test_building_a_plan_runs_no_job(spark):
+    from reelstar.operators import enrich, fact
+    from reelstar.sources.fixtures import bind
+
+    b = bind(spark, "/root/testdata/sf0.001")
+    users = b.users.select("user_id", F.lit(1).cast("long").alias("user_key")).withColumn("is_current", F.lit(True))
+    content, events = b.content_catalog, b.watch_events  # reading the schemas of the files may run a job
+    spark.sparkContext.setJobGroup("plan-only", "no job")
+    try:
+        fact.build_fact(enrich.build_watch_sessions(events, content, DAY2), users, DAY2)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
