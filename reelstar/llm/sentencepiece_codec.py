@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, map_texts, quoted
+from .common import SLICE_BYTES, map_texts, quoted, worker_store
 
 MARK = "▁"
 #: Distinct segments whose ids a worker remembers.
@@ -216,6 +216,16 @@ class Codec:
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
 
 
+def worker_codec(data: bytes, threads: int = THREADS) -> Codec:
+    """The worker's codec of a model; with its memo it serves all its tasks."""
+    kept = worker_store().setdefault("codecs", {})
+    key = (data, threads)
+    if key not in kept:
+        kept.clear()  # one model at a time
+        kept[key] = Codec(data, threads)
+    return kept[key]
+
+
 def model_bytes(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -254,7 +264,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     column are replaced.
     """
     def make() -> Callable:
-        codec = Codec(model, threads)
+        codec = worker_codec(model, threads)
         native = None
         if verify:
             import sentencepiece
@@ -294,7 +304,7 @@ def decode_ids(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: st
     at = f"c{kept.index(ids_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, threads)
+        codec = worker_codec(model, threads)
         for batch in batches:
             given = batch.column(at).to_pylist()
             texts = codec.decode([np.array(x or [], dtype=np.uint32) for x in given])
