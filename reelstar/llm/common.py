@@ -82,16 +82,6 @@ def map_texts(
     return out.toDF(*kept, *out_schema.names)
 
 
-def worker_store() -> dict:
-    """What a Python worker process keeps from task to task (Spark reuses its
-    workers): for things that are slow to build and never change results."""
-    import sys
-    import types
-
-    name = "reelstar_worker_store"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
