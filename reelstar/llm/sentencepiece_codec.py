@@ -25,6 +25,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +35,6 @@ from .common import SLICE_BYTES, map_texts, quoted
 MARK = "▁"
 #: Distinct segments whose ids a worker remembers.
 MEMO = 700_000
-THREADS = 2
 # Fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -177,7 +177,7 @@ def parts_of(text: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
 class Codec:
     """Encoder and decoder of one task."""
 
-    def __init__(self, data: bytes, threads: int = THREADS, memo: int = MEMO):
+    def __init__(self, data: bytes, threads: int = 1, memo: int = MEMO):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -241,11 +241,13 @@ FIELDS = [
 
 
 def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None,
-                 with_ids: bool = False, verify: bool = True, threads: int = THREADS) -> DataFrame:
+                 with_ids: bool = False, verify: bool = True, threads: int | None = None) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default) with ``n_tokens``,
     ``ids_crc32`` (ids as little-endian 32-bit), ``round_trip`` (decoding the ids
     gives the text back), ``parity`` (the sentencepiece library gives the same
-    ids; null without ``verify``) and, if asked for, ``ids``.
+    ids; null without ``verify``) and, if asked for, ``ids``.  Batches are
+    encoded by ``threads`` threads: as many as the cores Spark gives a task
+    (``spark.task.cpus``) unless said otherwise.
 
     Each text is encoded whole.  Null text stays null with null results; an
     empty text has no ids.  A model that normalises texts gives ``round_trip``
@@ -254,7 +256,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     column are replaced.
     """
     def make() -> Callable:
-        codec = Codec(model, threads)
+        codec = Codec(model, threads or TaskContext.get().cpus())
         native = None
         if verify:
             import sentencepiece
@@ -284,7 +286,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
 
 
 def decode_ids(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "text",
-               threads: int = THREADS) -> DataFrame:
+               threads: int | None = None) -> DataFrame:
     """``rows`` with the text of ``ids_col`` in ``text_col``; null ids give
     null, no ids the empty text."""
     kept = [c for c in rows.columns if c != text_col]
@@ -294,7 +296,7 @@ def decode_ids(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: st
     at = f"c{kept.index(ids_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, threads)
+        codec = Codec(model, threads or TaskContext.get().cpus())
         for batch in batches:
             given = batch.column(at).to_pylist()
             texts = codec.decode([np.array(x or [], dtype=np.uint32) for x in given])

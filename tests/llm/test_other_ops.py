@@ -77,7 +77,7 @@ def test_codec_parity_and_round_trip(spark, piece_model, texts):
 
 
 def test_codec_query_and_decode(spark, odd_docs, no_docs, piece_model):
-    got = C.encode_texts(odd_docs, piece_model, with_ids=True)
+    got = C.encode_texts(odd_docs, piece_model, with_ids=True, threads=4)
     rows = got.collect()
     assert len(rows) == 14 and all(r.parity in (True, None) for r in rows)
     assert all(r.n_tokens is None and r.parity is None for r in rows if r.text is None)
