@@ -78,6 +78,16 @@ def scd2_changes(snapshot: DataFrame, current: DataFrame, tracked=TRACKED,
     return j.filter(_changed(tracked, null_safe)).select(*cols)
 
 
+def scd2_has_work(current: DataFrame, snapshot: DataFrame, tracked=TRACKED, insert_new: bool = True,
+                  null_safe: bool = True) -> bool:
+    """Whether applying ``snapshot`` would write anything: a changed user, or
+    (with ``insert_new``) an unknown one.  Stops at the first such row."""
+    j = snapshot.alias("n").join(current.alias("o"), F.col("o.user_id") == F.col("n.user_id"), "left")
+    known = F.col("o.user_id").isNotNull()
+    work = known & _changed(tracked, null_safe)
+    return not j.filter(work | ~known if insert_new else work).isEmpty()
+
+
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, as_of: _dt.datetime | str,
                tracked=TRACKED, insert_new: bool = True, null_safe: bool = True,
                max_key: int | None = None) -> DataFrame:

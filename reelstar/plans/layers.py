@@ -168,6 +168,9 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
     if s.is_empty("dim_user"):
         s.append("dim_user", scd2.scd2_initial(snapshot, as_of))
         out["dim_user"] = "initial"
+    elif not scd2.scd2_has_work(_current_users(s), snapshot, insert_new=opts.insert_new_users,
+                                null_safe=opts.null_safe_changes):
+        out["dim_user"] = "unchanged"  # the files stay as they are
     else:
         # Only the current slice takes part: history rows never change.  The
         # largest key ever handed out is always on a current row (a version

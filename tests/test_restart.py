@@ -145,3 +145,14 @@ def test_rows_without_an_ingestion_time_are_loaded_once(spark, sf_dir):
     for _ in range(2):
         L.run_silver(layers, DAY2)
     assert layers.silver.read("watch_sessions").count() == b.watch_events.count() + 2
+
+
+def test_unchanged_users_keep_their_files(spark, sf_dir):
+    b = bind(spark, sf_dir)
+    layers = seeded(spark, b, b.watch_events.limit(50))
+    L.run_silver(layers, DAY1)
+    files = sorted(layers.silver.read("dim_user").inputFiles())
+    assert L.run_silver(layers, DAY2)["dim_user"] == "unchanged"
+    assert sorted(layers.silver.read("dim_user").inputFiles()) == files
+    layers.bronze.replace_all("users", b.users_v2)
+    assert L.run_silver(layers, DAY2)["dim_user"] != "unchanged"
