@@ -366,3 +366,46 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     for r in got:
         assert tuple(r[c] for c in BASE) == brute_quality(r.text)
     assert Q.quality_rules(no_docs, nobody).count() == 0
+
+
+def junk_kind(text):
+    words = text.split()
+    if text.count("|") > 0.2 * len(words):
+        return "table"
+    letters = [c for c in text if c.isalpha()]
+    if sum(c.isupper() for c in letters) > 0.5 * len(letters) and "!!" in text:
+        return "capitals"
+    return "symbols" if len(re.findall("[#*$%&<>]", text)) > 0.1 * len(words) else "other"
+
+
+def test_quality_threshold_rejects_every_kind_of_junk(spark):
+    """Half of the good labels train: the other half is kept, and the ratio alone
+    rejects most of the words with glued symbols, not the tables only."""
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    good = Q.trusted_rows_of(labels).filter("doc_id % 2 = 0")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    judged = Q.quality_rules(docs, good, keep=["doc_id", "text"]).filter("n_words >= 20")
+    rows = judged.join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    assert all(r.kept or r.base_failed for r in rows if r.quality == 1)
+    passed, kept = Counter(), Counter()
+    for r in rows:
+        if r.quality == 0:
+            k = junk_kind(r.text)
+            passed[k, "all"] += 1
+            passed[k] += not r.base_failed
+            kept[k] += r.kept
+    print("junk: all, after the base rule, kept", passed, kept)
+    assert passed["table"] > 50 and kept["table"] == 0
+    assert passed["symbols"] > 50 and kept["symbols"] <= 0.1 * passed["symbols"]
+    assert passed["capitals", "all"] > 50 and kept["capitals"] == 0
+
+
+def test_quality_threshold_needs_enough_trusted(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    few = Q.trusted_halves(Q.trusted_rows_of(spark.read.parquet(f"{SF}/labels.parquet")))
+    flat = (np.zeros(Q.BUCKETS), np.zeros(Q.BUCKETS))
+    assert 0 < len(few[0] | few[1]) < Q.MIN_HELD
+    assert set(Q.held_out_threshold(docs, few, flat)) == {Q.THRESHOLD}
+    every = [r[0] for r in docs.select("doc_id").collect()]
+    assert set(Q.held_out_threshold(docs, (frozenset(every[::2]), frozenset(every[1::2])), flat)) == {0.0}
