@@ -217,6 +217,15 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.mapInArrow(_compare(radius), "a long, b long")
 
 
+def _linked(classes: DataFrame, radius: int) -> DataFrame:
+    """One row per fingerprint ``fp``, with the fingerprint ``__part`` that
+    names its component."""
+    classes = settled(classes)
+    parts = connected_components(near_links(classes, radius))
+    return classes.join(parts, classes.fp == parts.node, "left").select(
+        *classes.columns, F.coalesce("component", "fp").alias("__part"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``(id, fingerprint, component_id)`` for every row of ``docs``.
@@ -235,10 +244,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     made = settled(fingerprints(docs, id_col, text_col, width))
     made = made.select(F.col(quoted(id_col)).alias("__id"), F.col("fp"))
-    classes = settled(made.groupBy("fp").agg(F.min("__id").alias("__low")))
-    parts = connected_components(near_links(classes, radius))
-    linked = classes.join(parts, classes.fp == parts.node, "left").select(
-        "fp", "__low", F.coalesce("component", "fp").alias("__part"))
+    linked = _linked(made.groupBy("fp").agg(F.min("__id").alias("__low")), radius)
     lowest = linked.groupBy("__part").agg(F.min("__low").alias("component_id"))
     of_fp = linked.join(lowest, "__part").select("fp", "component_id")
     return made.join(of_fp, "fp", "left").select(
@@ -250,11 +256,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group (all columns
-    as they are).  Rows with the same id count as one document, of which one
-    row stays; rows with a null id stay."""
-    key = F.col(quoted(id_col))
-    groups = simhash_groups(docs, id_col, text_col, width, radius)
-    keep = groups.filter(key == F.col("component_id")).select(F.col("component_id").alias("__keep"))
-    known = docs.join(keep, key == F.col("__keep"), "left_semi").dropDuplicates([id_col])
-    return known.unionByName(docs.filter(key.isNull()))
+    """One row of ``docs`` for each group of near copies (all columns as they
+    are): the one with the smallest id, then the smallest hash of the text, then
+    of the whole row, so the choice does not depend on the order of the rows.
+    Rows with the same id and texts of different groups belong to their own
+    groups each.  Rows with a null id stay.
+    """
+    key, text = F.col(quoted(id_col)), F.col(quoted(text_col))
+    whole = [quoted(c) for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
+    marks = {"__h": F.xxhash64(text), "__w": F.xxhash64(*whole)}
+    known = docs.filter(key.isNotNull())
+    given = known.select(key.alias("__id"), text.alias("__text"), *[v.alias(k) for k, v in marks.items()])
+
+    def make():
+        return lambda texts, _: {"fp": [fingerprint(t, width) for t in texts]}
+
+    made = settled(map_texts(given, make, [T.StructField("fp", T.LongType())], "__text", ["__id", *marks]))
+    row = F.struct("__id", *marks)
+    linked = _linked(made.groupBy("fp").agg(F.min(row).alias("__row")), radius)
+    keep = linked.groupBy("__part").agg(F.min("__row").alias("__row")).select("__row.*")
+    on = [key == F.col("__id"), *[v == F.col(k) for k, v in marks.items()]]
+    # rows that are equal in all of it have the same hashes
+    first = known.join(keep, on, "left_semi").withColumns(marks).dropDuplicates([id_col, *marks])
+    return first.drop(*marks).unionByName(docs.filter(key.isNull()))

@@ -224,6 +224,22 @@ def test_simhash_odd_rows(odd_docs, no_docs, monkeypatch):
     assert H.fingerprint(text) == whole
 
 
+def test_keep_one_per_group_with_an_id_of_several_texts(spark):
+    """Id 6 names a unique text and a copy of id 4: the unique one stays,
+    whatever the order of the rows."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(3)]
+    rows = [(4, texts[0], "a"), (6, texts[1], "b"), (6, texts[0], "c"), (7, texts[1], "d"), (8, texts[2], "y"),
+            (8, texts[2], "x"), (9, texts[2], "z"), (None, texts[0], "n")]
+    kept = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, extra string").repartition(3)
+        kept.add(tuple(sorted((r.doc_id or 0, r.text, r.extra) for r in H.keep_one_per_group(df).collect())))
+    assert len(kept) == 1
+    got = kept.pop()
+    assert [g[:2] for g in got] == [(0, texts[0]), (4, texts[0]), (6, texts[1]), (8, texts[2])]
+
+
 # --- secrets ---------------------------------------------------------------
 
 def brute_spans(text):
