@@ -309,6 +309,26 @@ def test_field_held_out_and_widening(spark, field):
         assert S.scan(clean.encode(), field) == []
 
 
+@pytest.mark.parametrize("text", [
+    "ther pwd=5aaa9ac60bfe74b24b;token=abcdefgh12 thon", "the token=abcdefgh12&auth=5aaa9ac60bfe74b24b onst",
+    'x {"token":"abcdefgh12","pwd":"5aaa9ac60bfe74b24b"} y', "a " + "padding," * 80 + "pwd=5aaa9ac60bfe74b24b b",
+])
+def test_secrets_beside_a_pattern_hit_and_late_in_a_run(field, text):
+    found = S.scan(text.encode(), field)
+    assert "5aaa9ac60bfe74b24b" in [text[s:e] for s, k, e in found if S.KINDS[k] == "crf"]
+    left = S.redacted(text.encode(), found)
+    assert "5aaa9ac60bfe74b24b" not in left and "abcdefgh12" not in left and "padding," not in text or "padding," in left
+
+
+def test_field_spans_without_the_pattern_spans():
+    spans = [(2, 0, 4), (3, 2, 6), (8, 1, 9), (20, 0, 30)]
+    assert list(S.uncovered(0, 12, spans)) == [(0, 2), (6, 8), (9, 12)]
+    assert list(S.uncovered(2, 6, spans)) == [] and list(S.uncovered(10, 15, spans)) == [(10, 15)]
+    long = "x1" * 1000
+    (chain,) = S.chains(long)
+    assert [(s, e) for s, e, _ in chain] == [(k, k + S.PART) for k in range(0, 2000, S.PART)]
+
+
 def test_secret_scan_odd_rows(odd_docs, no_docs):
     out = S.secret_scan(odd_docs, redact=True)
     got = out.collect()
