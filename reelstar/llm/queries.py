@@ -7,14 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contamination
 from .embedding_dedup import embedding_dedup
 from .license_scan import TEMPLATES, THRESHOLD, license_scan
 from .line_dedup import line_dedup
 from .packing import pack, word_tokenizer
+from .periodic_runs import periodic_runs
 from .quality_rules import quality_rules, trusted_rows_of
 from .secret_scan import secret_scan
 from .sentencepiece_codec import encode_texts, model_bytes
 from .simhash_dedup import simhash_groups
+from .spelling_variants import spelling_variants
 from .token_counts import token_counts
 from .url_filter import url_filter
 
@@ -72,6 +75,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).drop("component")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near_items")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), keep=["doc_id"], tail_id="doc_id").drop("runs")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -83,8 +100,12 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_decontamination": op11_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+
 def _license_sql() -> str:
     given = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -197,4 +218,48 @@ ORACLE_SQL = {
         LEFT JOIN spots s ON p.host = s.host AND p.path = s.path
         LEFT JOIN spread a ON s.node = a.node
     """,
+    # Windows start from their word that is rarest in the table; every other word
+    # must stand in its place, or for the proximity matches within two of it.
+    "op11_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        at AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS p FROM docs),
+        items AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark),
+        cut AS (
+            SELECT DISTINCT item, list_slice(words, k + 1, k + 10) AS ws
+            FROM (SELECT item, words, unnest(range(greatest(len(words) - 10, 0) + 1)) AS k
+                  FROM items WHERE len(words) > 0)),
+        windows AS (SELECT row_number() OVER () AS win, item, ws, len(ws) AS n FROM cut),
+        terms AS (SELECT win, item, n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM windows),
+        df AS (SELECT w, count(*) AS c FROM at GROUP BY w),
+        anchors AS (
+            SELECT win, arg_min(w, (c, i)) AS w, arg_min(i, (c, i)) AS i
+            FROM terms JOIN df USING (w) GROUP BY win HAVING count(*) = any_value(n)),
+        starts AS (
+            SELECT DISTINCT a.win, at.r, at.p - a.i + s.s AS p0
+            FROM anchors a JOIN at ON at.w = a.w, (SELECT unnest(range(-2, 3)) AS s) s),
+        found AS (
+            SELECT s.win, t.item, t.n, s.r, s.p0, count(DISTINCT t.i) FILTER (at.p = s.p0 + t.i) = t.n AS exact
+            FROM starts s JOIN terms t ON s.win = t.win
+            JOIN at ON at.r = s.r AND at.w = t.w AND at.p BETWEEN s.p0 + t.i - 2 AND s.p0 + t.i + 2
+            GROUP BY s.win, t.item, t.n, s.r, s.p0 HAVING count(DISTINCT t.i) = t.n),
+        hit AS (
+            SELECT r, count(DISTINCT p) AS n_hit
+            FROM (SELECT r, unnest(range(p0, p0 + n)) AS p FROM found WHERE exact) GROUP BY r),
+        by_item AS (
+            SELECT r, count(*) AS n_near_items, count(*) FILTER (exact) AS n_items,
+                   sha256(coalesce(string_agg(item, ',' ORDER BY item) FILTER (exact), '')) AS items_sha256
+            FROM (SELECT r, item, bool_or(exact) AS exact FROM found GROUP BY r, item) GROUP BY r)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+        FROM docs LEFT JOIN hit USING (r) LEFT JOIN by_item USING (r)
+    """,
 }
