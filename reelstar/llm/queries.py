@@ -221,12 +221,12 @@ ORACLE_SQL = {
     # Windows start from their word that is rarest in the table; every other word
     # must stand in its place, or for the proximity matches within two of it.
     "op11_decontamination": r"""
-        WITH docs AS (
+        WITH docs AS MATERIALIZED (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
             FROM documents),
-        at AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS p FROM docs),
+        stands AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS p FROM docs),
         items AS (
             SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -238,17 +238,17 @@ ORACLE_SQL = {
                   FROM items WHERE len(words) > 0)),
         windows AS (SELECT row_number() OVER () AS win, item, ws, len(ws) AS n FROM cut),
         terms AS (SELECT win, item, n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM windows),
-        df AS (SELECT w, count(*) AS c FROM at GROUP BY w),
+        df AS (SELECT w, count(*) AS c FROM stands GROUP BY w),
         anchors AS (
             SELECT win, arg_min(w, (c, i)) AS w, arg_min(i, (c, i)) AS i
             FROM terms JOIN df USING (w) GROUP BY win HAVING count(*) = any_value(n)),
         starts AS (
-            SELECT DISTINCT a.win, at.r, at.p - a.i + s.s AS p0
-            FROM anchors a JOIN at ON at.w = a.w, (SELECT unnest(range(-2, 3)) AS s) s),
+            SELECT DISTINCT a.win, stands.r, stands.p - a.i + s.s AS p0
+            FROM anchors a JOIN stands ON stands.w = a.w, (SELECT unnest(range(-2, 3)) AS s) s),
         found AS (
-            SELECT s.win, t.item, t.n, s.r, s.p0, count(DISTINCT t.i) FILTER (at.p = s.p0 + t.i) = t.n AS exact
+            SELECT s.win, t.item, t.n, s.r, s.p0, count(DISTINCT t.i) FILTER (stands.p = s.p0 + t.i) = t.n AS exact
             FROM starts s JOIN terms t ON s.win = t.win
-            JOIN at ON at.r = s.r AND at.w = t.w AND at.p BETWEEN s.p0 + t.i - 2 AND s.p0 + t.i + 2
+            JOIN stands ON stands.r = s.r AND stands.w = t.w AND stands.p BETWEEN s.p0 + t.i - 2 AND s.p0 + t.i + 2
             GROUP BY s.win, t.item, t.n, s.r, s.p0 HAVING count(DISTINCT t.i) = t.n),
         hit AS (
             SELECT r, count(DISTINCT p) AS n_hit
