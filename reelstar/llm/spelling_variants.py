@@ -41,7 +41,7 @@ LETTER_GROUPS = tuple(
     for k in range(N_GROUPS)
 )
 #: Words that a cell, and a block of a larger one, holds at most (blocks: about).
-CELL_WORDS = 20_000
+CELL_WORDS = 8_000
 #: One in so many pairs of document and run loses a code point.
 DELETE_ONE_IN = 97
 #: Distinct words, and bytes of them, that a task counts before it passes them on.
@@ -304,7 +304,10 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
         found = search_cell(homes, queries)
         return pa.table([list(found), *([row[k] for row in found.values()] for k in range(3))], schema=out)
 
-    partial = homes.unionByName(asked).groupBy("cell", "home", "asker").applyInArrow(search, schema)
+    # one struct as the key: a plan that already deals by cell alone would keep a
+    # cell's blocks in one task
+    dealt = homes.unionByName(asked).withColumn("deal", F.struct("cell", "home", "asker")).drop("cell", "home", "asker")
+    partial = dealt.groupBy("deal").applyInArrow(search, schema)
     return partial.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct("neg", "best")).alias("b")).select(
         "word", "n_near", (-F.col("b.neg")).alias("best_n"), F.col("b.best").alias("best"))
 
