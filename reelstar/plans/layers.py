@@ -17,6 +17,7 @@ from .. import schemas
 from ..functions.aggregates import count_if
 from ..functions.scalar import ntz_lit
 from ..operators import dims, engagement, enrich, fact as fact_ops, features, incremental, quality, scd2
+from ..sources.ledger import LOAD, LOAD_DATE, Loads, among, days_of
 from ..sources.tables import TableStore, row_count
 
 
@@ -41,9 +42,12 @@ class Options:
     insert_new_users: bool = True      # False: users first seen after the initial load are ignored
     null_safe_changes: bool = True     # False: NULL <-> value changes are missed
     refresh_static_dims: bool = False  # True: add unseen content ids / device types on every run
-    hwm_overlap: _dt.timedelta | None = None
+    increments: str = "loads"  # or "time": rows of the bronze tables by ingestion time, above the target's mark
+    hwm_overlap: _dt.timedelta | None = None  # by time only: start so much below the mark, drop known keys
     daily_refresh: str = "affected_dates"  # or "full": recompute every date on every run
-    gate: str = "whole"  # or "increment": check event and rating rows from the mark on only
+    # "auto": event and rating rows of loads are checked in the run that loads them, tables without load
+    # numbers whole; "whole": all rows on every run; "increment": rows of the increment only
+    gate: str = "auto"
     stats: dict = field(default_factory=dict)
 
 
@@ -67,11 +71,13 @@ PARTITIONS = {
     # slice - never the accumulated history
     "dim_user": ("effective_to",),
     "watch_sessions": ("processing_date",),
-    "ratings": (),
     "fact_watch_sessions": ("event_date",),
-    "daily_engagement": ("date",),
     "daily_user_base": ("date",),
 }
+# Tables that only grow: every row carries the number of the load that brought
+# it, so the next layer reads loads, not time stamps.  Those without a day of
+# their own are partitioned by the day of the load.
+LOGGED = {"watch_events", "ratings_late", "watch_sessions", "ratings", "fact_watch_sessions"}
 GOLD_TABLES = {
     "fact_watch_sessions": schemas.FACT_WATCH,
     "daily_engagement": schemas.DAILY_ENGAGEMENT,
@@ -83,7 +89,7 @@ GOLD_TABLES = {
 def create_tables(store: TableStore, tables: dict) -> None:
     store.create_namespace()
     for name, schema in tables.items():
-        store.create(name, schema, PARTITIONS.get(name, ()))
+        store.create(name, schema, PARTITIONS.get(name, ()), logged=name in LOGGED)
 
 
 def _mark(col: str = "source_ingestion_time"):
@@ -111,19 +117,35 @@ def _since(source: DataFrame, hwm, overlap: _dt.timedelta | None = None,
     return source.filter(F.col(ts_col) >= ntz_lit(lower))
 
 
-def _refuse_earlier_clock(sessions: DataFrame, as_of: _dt.datetime) -> None:
-    """Gold takes silver rows by their processing stamp, so a run must not be
-    stamped before an earlier one (the newest days alone are read)."""
-    later = sessions.filter((F.col("processing_date") >= F.lit(as_of.date())) &
-                            (F.col("ingestion_time") > ntz_lit(as_of)))
-    if not later.isEmpty():
-        raise ValueError(f"as_of {as_of} lies before the stamp of an earlier run")
+def _increment(source: DataFrame | Loads, target: TableStore, table: str, name: str, key: str,
+               opts: Options) -> tuple[DataFrame, DataFrame, dict | None]:
+    """The rows of a bronze table that ``table`` does not hold, those the gate
+    and the dimensions look at, and what the next run goes on from.
+
+    By load number the increment is what was committed since, whatever its
+    stamps and keys.  Without load numbers it is read by ingestion time: at or
+    after the mark, rows with a known key dropped.
+    """
+    if isinstance(source, Loads) and opts.increments == "loads":
+        # a target that holds nothing (new or emptied) is loaded from the start
+        after = None if target.is_empty(table) else target.ledger.position(table, name)
+        rows = source.since(after).drop(LOAD, LOAD_DATE)
+        return rows, rows, {name: source.latest}
+    rows = _rows(source)
+    hwm = _hwm(target, table)
+    overlap = opts.hwm_overlap or _dt.timedelta(0)
+    new = incremental.incremental(rows, hwm, "ingestion_time", overlap, target.read(table), key)
+    return new, _since(rows, hwm, opts.hwm_overlap), None
+
+
+def _rows(source: DataFrame | Loads) -> DataFrame:
+    return source.whole().drop(LOAD, LOAD_DATE) if isinstance(source, Loads) else source
 
 
-def _append_incremental(store: TableStore, table: str, df: DataFrame, hwm, extra: list | None = None) -> dict:
-    """Append new rows and record the new high-water mark from the same write."""
-    m = store.append(table, df, metrics=[row_count(), _mark(), *(extra or [])])
-    store.record_watermark(table, m.get("mark") or hwm)
+def _append_sessions(store: TableStore, table: str, df: DataFrame, upto: dict | None, extra: list | None = None) -> dict:
+    m = store.append(table, df, metrics=[row_count(), _mark(), *(extra or [])], upto=upto, sole_writer=True)
+    if upto is None:
+        store.record_watermark(table, m.get("mark"))
     return m
 
 
@@ -134,33 +156,38 @@ def seed_bronze(layers: Layers, inputs: dict[str, DataFrame]) -> dict[str, bool]
 
 
 def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
-               bronze_inputs: dict[str, DataFrame] | None = None) -> dict:
+               bronze_inputs: dict[str, DataFrame | Loads] | None = None) -> dict:
     """Bronze -> silver.  ``bronze_inputs`` replaces bronze tables by other
     sources with the same columns - typically the streaming ingest output,
-    ``{"watch_events": ingest.read_bronze(spark, dir), ...}``; the increments
-    then follow the batches' ingestion stamps like any bronze table."""
+    ``{"watch_events": ingest.bronze_loads(spark, dir), ...}``.  Rows are taken by
+    load number, so any order of arrival, repeated ids and a clock before that of
+    an earlier run give what one run over everything gives.  Plain DataFrames
+    have no load numbers and are read by ingestion time."""
     opts = opts or Options()
     b, s = layers.bronze, layers.silver
     create_tables(s, SILVER_TABLES)
-    _refuse_earlier_clock(s.read("watch_sessions"), as_of)
-    overlap = opts.hwm_overlap or _dt.timedelta(0)
     out: dict = {}
 
+    source: dict = {name: b.loads(name) if name in LOGGED else b.read(name) for name in BRONZE_TABLES}
+    source.update(bronze_inputs or {})
+    bronze = {name: _rows(df) for name, df in source.items()}
+    new_events, seen_events, upto = _increment(source["watch_events"], s, "watch_sessions", "watch_events",
+                                               "event_id", opts)
+    new_ratings, seen_ratings, upto_r = _increment(source["ratings_late"], s, "ratings", "ratings_late",
+                                                   "rating_id", opts)
+
     # 1. quality gate over bronze (one pass per table, partial aggregates on
-    # every task).  All rows are checked, also those committed behind a mark.
-    # With gate="increment" the append-only event and rating tables are checked
-    # from their high-water marks on only: its cost then follows the new data.
-    # A failed run does not move a mark, so a bad row fails every run.
-    bronze = {name: b.read(name) for name in BRONZE_TABLES}
-    bronze.update(bronze_inputs or {})
-    hwm = _hwm(s, "watch_sessions")
-    hwm_r = _hwm(s, "ratings")
-    part = opts.gate == "increment"
+    # every task).  The checks of the event and rating tables look at single
+    # rows, so a row is checked in the run that loads it; a failed run does not
+    # move the position, so a bad row fails every run.
+    def gated(name: str, part: DataFrame, moves: dict | None) -> DataFrame:
+        return part if opts.gate == "increment" or opts.gate == "auto" and moves else bronze[name]
+
     out["dq"] = [r.asDict() for r in quality.assert_passed(quality.run_checks({
         "users": bronze["users"],
         "content_catalog": bronze["content_catalog"],
-        "watch_events": _since(bronze["watch_events"], hwm if part else None, opts.hwm_overlap),
-        "ratings_late": _since(bronze["ratings_late"], hwm_r if part else None, opts.hwm_overlap),
+        "watch_events": gated("watch_events", seen_events, upto),
+        "ratings_late": gated("ratings_late", seen_ratings, upto_r),
     }))]
 
     # 2. dim_user, SCD2
@@ -196,87 +223,78 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
     # only events of this increment can bring a date or device the dimension
     # lacks (earlier ones were added by earlier runs): the refreshes scan the
     # increment, not the event history; an empty dimension reads everything
-    new_since_mark = _since(events, hwm, opts.hwm_overlap)
     if s.is_empty("dim_device"):
         s.append("dim_device", dims.dim_device(events, as_of))
     elif opts.refresh_static_dims:
-        s.append("dim_device", dims.dim_device(new_since_mark, as_of, existing=s.read("dim_device")))
+        s.append("dim_device", dims.dim_device(seen_events, as_of, existing=s.read("dim_device")))
 
     # 4. dim_time: incremental
-    time_src = events if s.is_empty("dim_time") else new_since_mark
+    time_src = events if s.is_empty("dim_time") else seen_events
     s.append("dim_time", dims.dim_time_increment(time_src, s.read("dim_time"), as_of))
 
-    # 5. watch_sessions: incremental on the bronze ingestion clock
-    target = s.read("watch_sessions")
-    new_events = incremental.incremental(events, hwm, "ingestion_time", overlap, target, "event_id")
+    # 5. watch_sessions and 6. ratings: incremental
     sessions = enrich.build_watch_sessions(new_events, s.read("dim_content"), as_of)
-    out["watch_sessions"] = _append_incremental(s, "watch_sessions", sessions, hwm,
-                                                [count_if(F.col("is_late_arrival")).alias("late")])
-
-    # 6. ratings: incremental
-    target_r = s.read("ratings")
-    new_r = incremental.incremental(bronze["ratings_late"], hwm_r, "ingestion_time", overlap,
-                                    target_r, "rating_id")
-    out["ratings"] = _append_incremental(s, "ratings", enrich.build_ratings(new_r, as_of), hwm_r)
+    out["watch_sessions"] = _append_sessions(s, "watch_sessions", sessions, upto,
+                                             [count_if(F.col("is_late_arrival")).alias("late")])
+    out["ratings"] = _append_sessions(s, "ratings", enrich.build_ratings(new_ratings, as_of), upto_r)
     opts.stats["silver"] = out
     return out
 
 
 def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -> dict:
+    """Silver -> gold, by load numbers throughout: the fact takes the silver
+    loads it lacks, the tables by day recompute the days of the fact loads they
+    lack.  A run that is cut off leaves the positions of what it did not finish."""
     opts = opts or Options()
     s, g = layers.silver, layers.gold
     create_tables(g, GOLD_TABLES)
     out: dict = {}
     dim_user_current = _current_users(s)
 
-    # fact: incremental on the silver processing clock, each event once
-    target = g.read("fact_watch_sessions")
-    hwm = _hwm(g, "fact_watch_sessions")
-    silver_sessions = s.read("watch_sessions")
-    if hwm is not None:
-        # rows stamped at or after the mark were processed on or after its day:
-        # a partition filter, so old processing days are never listed
-        lower = hwm - opts.hwm_overlap if opts.hwm_overlap else hwm
-        silver_sessions = silver_sessions.filter(F.col("processing_date") >= F.lit(lower.date()))
-    new_sessions = incremental.incremental(silver_sessions, hwm, "ingestion_time",
-                                           opts.hwm_overlap or _dt.timedelta(0), target, "event_id")
-    # Every per-day table has its own mark, moved after its own write: the
-    # fact rows above it are what the table does not reflect yet, whichever
-    # run appended them and wherever that run ended.  Rows about to be added
-    # at or behind a mark make it worthless; it is forgotten before they come.
-    per_day = ("daily_engagement", "daily_user_base")
-    marks = {t: g.watermark(t) for t in per_day}
-    known = [m for m in marks.values() if m is not None]
-    if known and not new_sessions.filter(F.col("ingestion_time") <= ntz_lit(max(known))).isEmpty():
-        for t in per_day:
-            g.clear_watermark(t)
-        marks = dict.fromkeys(per_day)
-    out["fact"] = _append_incremental(g, "fact_watch_sessions",
-                                      fact_ops.build_fact(new_sessions, dim_user_current, as_of), hwm)
-
+    sessions = s.loads("watch_sessions")
+    after = None if g.is_empty("fact_watch_sessions") else g.ledger.position("fact_watch_sessions", "watch_sessions")
+    if after is not None and after >= sessions.latest:
+        out["fact"] = {"rows": 0}
+    else:
+        new = fact_ops.build_fact(sessions.since(after), dim_user_current, as_of)
+        out["fact"] = g.append("fact_watch_sessions", new, metrics=[row_count()], sole_writer=True,
+                               upto={"watch_sessions": sessions.latest})
     fact = g.read("fact_watch_sessions")
-    fact_mark = out["fact"].get("mark") or hwm
+    loads = g.loads("fact_watch_sessions")
     dim_content = s.read("dim_content")
+    upto = {"fact_watch_sessions": loads.latest}
+
+    def affected(table: str, whole: bool = False) -> list | None:
+        """Event days with facts the table lacks; None for all days.  Each day
+        depends on its own facts only, so both give the same rows."""
+        position = g.ledger.position(table, "fact_watch_sessions")
+        if whole or opts.daily_refresh == "full" or position is None or g.is_empty(table):
+            return None
+        new = loads.entries(position)
+        return None if any(e["op"] != "append" for e in new) else days_of(new)
+
+    # one row per day: the table is small, so days are replaced by replacing it
+    days = affected("daily_engagement")
+    if days is None:
+        kpis = engagement.daily_engagement(fact, as_of)
+    elif days:
+        kpis = engagement.daily_engagement(fact.filter(among(F.col("event_date"), days)), as_of).unionByName(
+            g.read("daily_engagement").filter(~F.coalesce(among(F.col("date"), days), F.lit(False))))
+    out["daily_engagement"] = {"rows": 0} if days == [] else g.replace_all(
+        "daily_engagement", kpis, reads_self=True, metrics=[row_count()], upto=upto, sole_writer=True)
 
-    def refresh(table: str, build, whole: bool = False) -> dict:
-        """Recompute the event days with facts the table lacks, or all days;
-        each day depends on its own facts only, so both give the same rows."""
-        mark = marks[table]
-        if (whole or opts.daily_refresh == "full" or mark is None or fact_mark is None or mark > fact_mark
-                or g.is_empty(table)):
-            done = g.replace_all(table, build(fact), metrics=[row_count()])
-        else:
-            days = engagement.facts_of_affected_days(
-                fact, fact.filter(F.col("source_ingestion_time") > ntz_lit(mark)))
-            done = g.overwrite_partitions(table, build(days), metrics=[row_count()])
-        g.record_watermark(table, fact_mark)
-        return done
-
-    out["daily_engagement"] = refresh("daily_engagement", lambda f: engagement.daily_engagement(f, as_of))
     # the per user-day roll-up; a refreshed catalog can change the genre of
     # old facts, so that mode rebuilds it whole
-    out["daily_user_base"] = refresh("daily_user_base", lambda f: features.daily_user_base(f, dim_content),
-                                     whole=opts.refresh_static_dims)
+    days = affected("daily_user_base", whole=opts.refresh_static_dims)
+    if days == []:
+        out["daily_user_base"] = {"rows": 0}
+    elif days is None:
+        out["daily_user_base"] = g.replace_all("daily_user_base", features.daily_user_base(fact, dim_content),
+                                               metrics=[row_count()], upto=upto, sole_writer=True)
+    else:
+        some = features.daily_user_base(fact.filter(among(F.col("event_date"), days)), dim_content)
+        out["daily_user_base"] = g.overwrite_partitions("daily_user_base", some, metrics=[row_count()], upto=upto,
+                                                        sole_writer=True)
     # churn features: current attributes hold for all history and the
     # rolling frames span 31 days, so the table is rebuilt - from the
     # roll-up (one row per active user-day), not from the events
@@ -288,7 +306,7 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
 
 
 def run_all(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
-            bronze_inputs: dict[str, DataFrame] | None = None) -> dict:
+            bronze_inputs: dict[str, DataFrame | Loads] | None = None) -> dict:
     """Silver then gold, as the scheduled refresh does."""
     opts = opts or Options()
     return {"silver": run_silver(layers, as_of, opts, bronze_inputs), "gold": run_gold(layers, as_of, opts)}

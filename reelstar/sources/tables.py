@@ -5,29 +5,34 @@ provider.  ``parquet`` is the default (what this environment has);
 ``iceberg`` / ``delta`` work by configuration where their jars and catalog
 are set up - the code only uses catalog SQL and the DataFrame writers.
 
-Writes are plain Spark writes: ``INSERT INTO`` for appends and
-``INSERT OVERWRITE`` (or ``overwritePartitions`` on a v2 provider) for a
-full replace.  A replace whose input reads the table it overwrites is first
-cut from its lineage with a reliable ``checkpoint()`` in the shared
-checkpoint folder.
+Appends are ``INSERT INTO``.  A replace never touches the files that readers
+see: on a path-based provider the new rows are written to a folder of their own
+and the catalog's pointer is moved there - one ``ALTER TABLE ... SET LOCATION``
+for a table without partitions, one per partition else.  A reader finds the old
+or the new rows, never none, and a write that dies before the pointer moves
+changes nothing.  The old files stay until the next replace of the table.
+
+Logged tables (``create(..., logged=True)``) keep a load number on every row;
+see :mod:`.ledger`.
 """
 
 from __future__ import annotations
 
-import threading
+import json
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-
-from ..functions.scalar import ntz_lit
 from pyspark.sql import types as T
 
+from ..functions.scalar import ntz_lit, now_utc
 from ..schemas import ddl
-from ..session import ensure_checkpoint_dir
+from ..session import drop_path, ensure_checkpoint_dir
+from .ledger import LOAD, LOAD_DATE, Ledger, Loads
 
 V2_PROVIDERS = {"iceberg", "delta"}
-_OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
-_OVERWRITE_MODE_LOCK = threading.Lock()
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class TableStore:
@@ -37,6 +42,7 @@ class TableStore:
         self.namespace = f"{catalog}.{namespace}" if catalog else namespace
         self.location = location.rstrip("/") if location else None
         self._partitions: dict[str, tuple[str, ...]] = {}
+        self._ledger: Ledger | None = None
 
     # -- DDL ------------------------------------------------------------------
     def create_namespace(self) -> None:
@@ -46,7 +52,29 @@ class TableStore:
     def name(self, table: str) -> str:
         return f"{self.namespace}.{table}"
 
-    def create(self, table: str, schema: T.StructType, partitioned_by: tuple[str, ...] = ()) -> None:
+    @property
+    def root(self) -> str:
+        """The folder of the namespace."""
+        if self.location is None:
+            said = {r[0]: r[1] for r in self.spark.sql(f"DESCRIBE NAMESPACE {self.namespace}").collect()}
+            self.location = said["Location"].rstrip("/")
+        return self.location
+
+    @property
+    def ledger(self) -> Ledger:
+        if self._ledger is None:
+            self._ledger = Ledger(self.spark, f"{self.root}/_ledger")
+        return self._ledger
+
+    def create(self, table: str, schema: T.StructType, partitioned_by: tuple[str, ...] = (),
+               logged: bool = False) -> None:
+        """Create the table unless it is there.  A logged table without
+        partitions of its own is partitioned by the day of the load."""
+        if logged:
+            schema = T.StructType([*schema.fields, T.StructField(LOAD, T.LongType())])
+            if not partitioned_by:
+                schema = T.StructType([*schema.fields, T.StructField(LOAD_DATE, T.DateType())])
+                partitioned_by = (LOAD_DATE,)
         props = " TBLPROPERTIES ('format-version'='2')" if self.provider == "iceberg" else ""
         self._partitions[table] = tuple(partitioned_by)
         part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
@@ -56,31 +84,87 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
+    def partitions(self, table: str) -> tuple[str, ...]:
+        """The partition columns (from the catalog for a table of another run)."""
+        if table not in self._partitions:
+            cols = self.spark.catalog.listColumns(self.name(table))
+            self._partitions[table] = tuple(c.name for c in cols if c.isPartition)
+        return self._partitions[table]
+
     # -- reads -----------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        """The table's own columns; of a logged table the rows of committed loads."""
+        rows = self.spark.table(self.name(table))
+        if LOAD not in rows.columns:
+            return rows
+        dead = self.ledger.loads(table)[1]
+        if dead:
+            rows = rows.filter(~F.col(LOAD).isin(dead))
+        return rows.drop(LOAD, LOAD_DATE)
+
+    def loads(self, table: str) -> Loads:
+        """A logged table as a source of increments by load number."""
+        rows = self.spark.table(self.name(table))
+        done, dead = self.ledger.settled_loads(table)
+        by = self.partitions(table)
+        dated = by and rows.schema[by[0]].dataType == T.DateType()
+        return Loads(rows, done, lambda after: self.ledger.entries(table, after, done),
+                     by[0] if dated else None, dead)
 
     def is_empty(self, table: str) -> bool:
         return self.read(table).isEmpty()
 
     # -- writes ----------------------------------------------------------------
-    def _aligned(self, table: str, df: DataFrame) -> DataFrame:
-        """The table's columns in order; for a partitioned table dealt by its
-        partition columns, so that a day is a few files and not one per input
-        task (AQE splits a large day and merges small ones)."""
-        df = df.select(*self.read(table).columns)
-        by = self._partitions.get(table)
+    def _dealt(self, table: str, df: DataFrame) -> DataFrame:
+        """For a partitioned table, rows dealt by its partition columns, so that a
+        day is a few files and not one per input task (AQE splits a large day
+        and merges small ones)."""
+        by = self.partitions(table)
         return df.hint("rebalance", *by) if by else df
 
-    def append(self, table: str, df: DataFrame, metrics: list | None = None) -> dict:
+    def _write(self, table: str, df: DataFrame, metrics: list | None, write, op: str, upto: dict | None,
+               sole_writer: bool) -> dict:
+        """Run ``write`` on the table's columns of ``df`` and the observed
+        ``metrics``; for a logged table, or where ``upto`` says which loads of
+        its sources it holds now, as a load."""
+        cols = self.spark.table(self.name(table)).columns
+        logged = LOAD in cols
+        if not logged and upto is None:
+            df, obs = self._observed(self._dealt(table, df.select(*cols)), metrics)
+            write(df)
+            return obs.get if obs is not None else {}
+        load = self.ledger.begin(table, sole_writer)
+        days = []
+        if logged:
+            df = df.drop(LOAD, LOAD_DATE).withColumn(LOAD, F.lit(load).cast("long"))
+            if LOAD_DATE in cols:
+                df = df.withColumn(LOAD_DATE, F.lit(now_utc().date()))
+            by = self.partitions(table)
+            day = by[0] if by and df.schema[by[0]].dataType == T.DateType() else None
+            if day:
+                days = [F.collect_set(F.col(day).cast("string")).alias("__days"),
+                        F.max(F.col(day).isNull()).alias("__undated")]
+        df, obs = self._observed(self._dealt(table, df.select(*cols)), [*(metrics or []), *days, row_count("__rows")])
+        write(df)
+        said = obs.get
+        entry = {"op": op, "upto": upto, "rows": said["__rows"]}
+        if days:
+            entry["days"] = sorted(said["__days"] or []) + ([None] if said["__undated"] else [])
+        self.ledger.commit(table, load, entry)
+        return {k: v for k, v in said.items() if not k.startswith("__")}
+
+    def append(self, table: str, df: DataFrame, metrics: list | None = None, upto: dict | None = None,
+               sole_writer: bool = False) -> dict:
         """Append ``df``; ``metrics`` are aggregate Columns observed during the
-        write (no second pass over the data)."""
-        df, obs = self._observed(self._aligned(table, df), metrics)
-        if self.provider in V2_PROVIDERS:
-            df.writeTo(self.name(table)).append()
-        else:
-            df.write.insertInto(self.name(table))
-        return obs.get if obs is not None else {}
+        write (no second pass over the data).  ``upto``: the last load of each
+        source that the table holds afterwards."""
+        def write(rows: DataFrame) -> None:
+            if self.provider in V2_PROVIDERS:
+                rows.writeTo(self.name(table)).append()
+            else:
+                rows.write.insertInto(self.name(table))
+
+        return self._write(table, df, metrics, write, "append", upto, sole_writer)
 
     def insert_select(self, table: str, df: DataFrame) -> None:
         """SQL load: ``INSERT INTO <table> SELECT <columns> FROM <view of df>``.
@@ -89,15 +173,15 @@ class TableStore:
         scripts that load tables with DDL/DML statements).  The view name is
         unique per call, so concurrent loads never see each other's input.
         """
-        import uuid
+        def write(rows: DataFrame) -> None:
+            view = f"_load_{uuid.uuid4().hex[:12]}"
+            rows.createOrReplaceTempView(view)
+            try:
+                self.spark.sql(f"INSERT INTO {self.name(table)} SELECT {', '.join(rows.columns)} FROM {view}")
+            finally:
+                self.spark.catalog.dropTempView(view)
 
-        view = f"_load_{uuid.uuid4().hex[:12]}"
-        df.createOrReplaceTempView(view)
-        try:
-            cols = ", ".join(self.read(table).columns)
-            self.spark.sql(f"INSERT INTO {self.name(table)} SELECT {cols} FROM {view}")
-        finally:
-            self.spark.catalog.dropTempView(view)
+        self._write(table, df, None, write, "append", None, False)
 
     def insert_values(self, table: str, rows_sql: list[str]) -> None:
         """``INSERT INTO <table> VALUES (...), (...)`` for a few literal rows
@@ -112,53 +196,112 @@ class TableStore:
         return True
 
     def replace_all(self, table: str, df: DataFrame, reads_self: bool = False,
-                    metrics: list | None = None) -> dict:
-        """Replace the whole table (every partition) with ``df``.
-
-        The rows are computed into the shared checkpoint folder first: an input
-        that fails leaves the table as it was, and the time in which a reader
-        of a path-based provider can see it empty is that of the file copy.
-        """
-        df = self._aligned(table, df)
-        if reads_self or self.provider not in V2_PROVIDERS:
-            ensure_checkpoint_dir(self.spark)
-            df = df.checkpoint(eager=True)
-        df, obs = self._observed(df, metrics)
-        if self.provider in V2_PROVIDERS:
-            df.writeTo(self.name(table)).overwrite(F.lit(True))
-        else:
-            self._insert_overwrite(table, df, "static")
-        return obs.get if obs is not None else {}
+                    metrics: list | None = None, upto: dict | None = None, sole_writer: bool = False) -> dict:
+        """Replace the whole table (every partition) with ``df``, which may read
+        the table.  Readers see the old rows until the pointer moves; an input
+        that fails leaves the table as it was."""
+        def write(rows: DataFrame) -> None:
+            if self.provider in V2_PROVIDERS:
+                self._cut(rows, reads_self).writeTo(self.name(table)).overwrite(F.lit(True))
+            else:
+                self._swap(table, rows, whole=True)
+
+        return self._write(table, df, metrics, write, "replace", upto, sole_writer)
 
     def overwrite_partitions(self, table: str, df: DataFrame, metrics: list | None = None,
-                             reads_self: bool = False) -> dict:
-        """Replace only the partitions that ``df`` has rows for (dynamic
-        partition overwrite); all other partitions stay as they are.  With
-        ``reads_self`` the input is first cut from the table it reads."""
-        df = self._aligned(table, df)
-        if reads_self:
-            ensure_checkpoint_dir(self.spark)
-            df = df.checkpoint(eager=True)
-        df, obs = self._observed(df, metrics)
-        if self.provider in V2_PROVIDERS:
-            df.writeTo(self.name(table)).overwritePartitions()
+                             reads_self: bool = False, upto: dict | None = None, sole_writer: bool = False) -> dict:
+        """Replace only the partitions that ``df`` has rows for; all other
+        partitions stay as they are.  ``df`` may read the table."""
+        def write(rows: DataFrame) -> None:
+            if self.provider in V2_PROVIDERS:
+                self._cut(rows, reads_self).writeTo(self.name(table)).overwritePartitions()
+            else:
+                self._swap(table, rows, whole=False)
+
+        return self._write(table, df, metrics, write, "replace", upto, sole_writer)
+
+    def _cut(self, df: DataFrame, reads_self: bool) -> DataFrame:
+        if not reads_self:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
+    # -- versions of path-based tables -------------------------------------------
+    def _swap(self, table: str, df: DataFrame, whole: bool) -> None:
+        """Write ``df`` to a fresh folder, then point the table (or each of the
+        partitions written; with ``whole`` the others are dropped) to it."""
+        by = self.partitions(table)
+        version = f"{self.root}/_versions/{table}/{uuid.uuid4().hex}"
+        name, sql = self.name(table), self.spark.sql
+        writer = df.write.partitionBy(*by) if by else df.write
+        writer.format(self.provider).save(version)
+        if not by:
+            retired = [self._location(name)]
+            sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
         else:
-            self._insert_overwrite(table, df, "dynamic")
-        return obs.get if obs is not None else {}
-
-    def _insert_overwrite(self, table: str, df: DataFrame, mode: str) -> None:
-        """``INSERT OVERWRITE`` on a v1 table with an explicit partition
-        overwrite mode.  ``insertInto`` ignores a per-write option, so the
-        session setting is switched for the write - under one process-wide
-        lock, so concurrent library writes on the same session (a refresh
-        next to a stream's batches) never see each other's mode."""
-        with _OVERWRITE_MODE_LOCK:
-            before = self.spark.conf.get(_OVERWRITE_MODE_KEY)
-            self.spark.conf.set(_OVERWRITE_MODE_KEY, mode)
-            try:
-                df.write.insertInto(self.name(table), overwrite=True)
-            finally:
-                self.spark.conf.set(_OVERWRITE_MODE_KEY, before)
+            known = {r[0] for r in sql(f"SHOW PARTITIONS {name}").collect()}
+            made = self._folders(version, len(by))
+            moved = [p for p in made if p in known]
+            gone = sorted(known - set(made)) if whole else []
+            retired = [self._location(f"{name} PARTITION ({self._spec(table, p)})") for p in [*moved, *gone]]
+            fresh = [p for p in made if p not in known]
+            if fresh:
+                sql(f"ALTER TABLE {name} ADD " + " ".join(
+                    f"PARTITION ({self._spec(table, p)}) LOCATION '{version}/{p}'" for p in fresh))
+            for p in moved:
+                sql(f"ALTER TABLE {name} PARTITION ({self._spec(table, p)}) SET LOCATION '{version}/{p}'")
+            if gone:
+                sql(f"ALTER TABLE {name} DROP " + ", ".join(f"PARTITION ({self._spec(table, p)})" for p in gone))
+        self._retire(table, version, retired)
+
+    def _location(self, what: str) -> str:
+        """Where the catalog says a table or partition lies."""
+        return next(r[1] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect() if r[0] == "Location")
+
+    def _fs_path(self, path: str):
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+
+    def _folders(self, path: str, depth: int, below: str = "") -> list[str]:
+        """Partition folders ``depth`` levels below ``path``, relative to it."""
+        if not depth:
+            return [below]
+        fs, where = self._fs_path(f"{path}/{below}" if below else path)
+        names = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
+        return sorted(p for n in names if "=" in n
+                      for p in self._folders(path, depth - 1, f"{below}/{n}" if below else n))
+
+    def _spec(self, table: str, folder: str) -> str:
+        """``d=2024-01-01/k=3`` as a partition specification."""
+        schema = self.spark.table(self.name(table)).schema
+        out = []
+        for col, value in (part.split("=", 1) for part in folder.split("/")):
+            kind = schema[col].dataType
+            quoted = "'" + unquote(value).replace("'", "\\'") + "'"
+            out.append(f"{col}=" + ("NULL" if value == _NULL_PARTITION else f"DATE{quoted}"
+                                    if kind == T.DateType() else quoted if kind == T.StringType() else value))
+        return ", ".join(out)
+
+    def _retire(self, table: str, version: str, paths: list[str]) -> None:
+        """Delete the files that the table's previous replace left behind, and
+        note those this one leaves: a reader has until the next replace."""
+        fs, folder = self._fs_path(version.rsplit("/", 1)[0])
+        for s in fs.listStatus(folder):
+            note = s.getPath()
+            if note.getName().endswith(".retired"):
+                stream = fs.open(note)
+                try:
+                    old = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+                finally:
+                    stream.close()
+                for path in old:
+                    drop_path(self.spark, path)
+                fs.delete(note, False)
+        out = fs.create(self._fs_path(f"{version}.retired")[1], True)
+        try:
+            out.write(bytearray(json.dumps(paths).encode()))
+        finally:
+            out.close()
 
     # -- high-water marks ------------------------------------------------------
     WATERMARKS = "_watermarks"
@@ -209,5 +352,5 @@ class TableStore:
         return df.observe(obs, *metrics), obs
 
 
-def row_count() -> F.Column:
-    return F.count(F.lit(1)).alias("rows")
+def row_count(name: str = "rows") -> F.Column:
+    return F.count(F.lit(1)).alias(name)

@@ -131,13 +131,15 @@ def test_overlap_pipeline_picks_up_rows_committed_behind_the_mark(spark, sf_dir)
             prev = c
         return layers
 
-    strict = run(L.Options())
+    strict = run(L.Options(increments="time"))
     assert strict.gold.read("fact_watch_sessions").count() < ev.count()  # the defect the overlap fixes
 
-    layers = run(L.Options(hwm_overlap=dt.timedelta(hours=12)))
+    layers = run(L.Options(increments="time", hwm_overlap=dt.timedelta(hours=12)))
     g, s = layers.gold, layers.silver
     fact = g.read("fact_watch_sessions")
     assert fact.count() == ev.count() == fact.select("session_id").distinct().count()
+    # load numbers find them without an overlap
+    assert run(L.Options()).gold.read("fact_watch_sessions").count() == ev.count()
     content = s.read("dim_content")
 
     def rows(df, drop=()):
