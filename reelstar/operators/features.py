@@ -3,11 +3,9 @@
 Everything is aggregated to the (user_id, event_date) grain **before** any
 data is arranged per user:
 
-* the three per-day aggregates (base measures, device mode, genre mode) use
-  partial aggregation on every task, so a user or a day holding a third of
-  all events is reduced to one row per task before the shuffle;
-* their outputs are all hash-partitioned on (user_id, event_date), so the two
-  joins between them add no exchange;
+* the fact is read once, into cells of (user, day, device, title) with partial
+  aggregation on every task; measures, both modes and the distinct titles come
+  from the cells by grouping sets, and the genre is joined to cells, not events;
 * user attributes are joined on ``user_id`` after aggregation, and the
   rolling windows (``partitionBy("user_id")``) reuse that partitioning - a
   window partition holds one row per active day of one user, bounded by the
@@ -72,14 +70,48 @@ def daily_measures(fact: DataFrame) -> DataFrame:
 def daily_user_base(fact: DataFrame, dim_content: DataFrame) -> DataFrame:
     """Per user and event day: measures and both modes, without attributes.
 
-    Depends only on the fact rows of that (user, day), so a refresh can
-    recompute just the days that received new facts.
+    One scan of the fact.  Its cells (user, day, device, title) carry additive
+    measures; grouping sets spread each cell to its device, its genre and its
+    title, and one aggregate by user and day reads the measures and the device
+    mode from the devices, the genre mode from the genres and the distinct titles
+    from the titles.  Depends only on the fact rows of that (user, day), so a
+    refresh can recompute just the days that received new facts.  A title listed
+    twice counts under its largest genre; users or days that are NULL have no modes.
     """
-    f = fact.select("user_id", "event_date", "session_id", "content_id", "device_type",
-                    "event_type", "watch_duration_seconds", "completion_percent", "is_late_arrival")
-    per_day = (daily_measures(f)
-               .join(preferred_device(f), DAY_KEYS, "left")
-               .join(favorite_genre(f, dim_content), DAY_KEYS, "left"))
+    et = F.col("event_type")
+    added = {
+        "n": F.count("session_id"), "watch": F.sum("watch_duration_seconds"),
+        "done": exact_sum("completion_percent", 2), "n_done": F.count("completion_percent"),
+        "play": count_if(et == "play"), "pause": count_if(et == "pause"), "stop": count_if(et == "stop"),
+        "finish": count_if(et == "finish"), "late": count_if(F.col("is_late_arrival")),
+    }
+    cells = fact.groupBy(*DAY_KEYS, "device_type", "content_id").agg(*[v.alias(k) for k, v in added.items()])
+    genres = dim_content.groupBy("content_id").agg(F.max("genre").alias("genre"))
+    parts = ["device_type", "genre", "content_id"]
+    spread = cells.join(genres, "content_id", "left").groupingSets(
+        [[*DAY_KEYS, part] for part in parts], *DAY_KEYS, *parts,
+    ).agg(F.grouping_id().alias("set"), *[F.sum(k).alias(k) for k in added])
+    # bits of the columns that a set leaves out, the last column lowest
+    is_device, is_genre, is_title = (F.col("set") == 7 - (1 << k) for k in (2, 1, 0))
+
+    def total(col: str) -> Column:
+        return F.sum(F.when(is_device, F.col(col)))
+
+    def mode(col: str, here: Column) -> Column:
+        best = F.max_by(F.col(col), F.when(here, F.struct("n", col)))
+        return F.when(F.col("user_id").isNotNull() & F.col("event_date").isNotNull(), best)
+
+    per_day = spread.groupBy(*DAY_KEYS).agg(
+        mode("device_type", is_device).alias("preferred_device"),
+        mode("genre", is_genre).alias("favorite_genre"),
+        total("n").alias("sessions_count"),
+        F.round(total("watch") / 3600, 3).alias("total_watch_hours"),
+        F.round(F.try_divide(total("done").cast("decimal(28,2)"), total("n_done")), 2).cast("double")
+        .alias("avg_completion_rate"),
+        *[total(k).alias(f"{k}_count") for k in ("play", "pause", "stop", "finish")],
+        count_if(is_title & F.col("content_id").isNotNull()).alias("unique_content_watched"),
+        total("late").alias("late_arrival_count"),
+    )
     return per_day.select(F.col("event_date").alias("date"), *[
         c for c in DAILY_USER_BASE.fieldNames() if c != "date"])
 

@@ -1,8 +1,9 @@
 """Slowly changing dimension, type 2, for users.
 
-The next state of the dimension is computed as one DataFrame from one
-full-outer join of the current rows with the incoming snapshot on
-``user_id`` (a single shuffle of each side; no ids pass through the driver):
+The snapshot is joined once with the narrow current rows to find the *work*: the
+snapshot rows that make a new version.  The work is written down (it is what
+changed, not the dimension), and everything else follows from it by joins of
+the current rows with its ids; no ids pass through the driver:
 
 * current row, snapshot unchanged or absent  -> kept as is
 * current row, a tracked attribute changed   -> expired (effective_to = as_of
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import INITIAL_EFFECTIVE_FROM, age_band, as_of_date, as_of_ts
 from ..schemas import DIM_USER
+from ..session import ensure_checkpoint_dir
 from .keys import allocate_keys
 
 TRACKED = ("subscription_tier", "country")
@@ -78,14 +80,31 @@ def scd2_changes(snapshot: DataFrame, current: DataFrame, tracked=TRACKED,
     return j.filter(_changed(tracked, null_safe)).select(*cols)
 
 
-def scd2_has_work(current: DataFrame, snapshot: DataFrame, tracked=TRACKED, insert_new: bool = True,
-                  null_safe: bool = True) -> bool:
-    """Whether applying ``snapshot`` would write anything: a changed user, or
-    (with ``insert_new``) an unknown one.  Stops at the first such row."""
-    j = snapshot.alias("n").join(current.alias("o"), F.col("o.user_id") == F.col("n.user_id"), "left")
-    known = F.col("o.user_id").isNotNull()
-    work = known & _changed(tracked, null_safe)
-    return not j.filter(work | ~known if insert_new else work).isEmpty()
+def scd2_work(current: DataFrame, snapshot: DataFrame, tracked=TRACKED, insert_new: bool = True,
+              null_safe: bool = True) -> DataFrame:
+    """Snapshot rows that make a new version - of a changed user, or (with
+    ``insert_new``) an unknown one - settled by a reliable checkpoint."""
+    known = current.select(F.col("user_id").alias("__known"), *tracked)
+    j = snapshot.alias("n").join(known.alias("o"), F.col("n.user_id") == F.col("o.__known"), "left")
+    is_known = F.col("o.__known").isNotNull()
+    changed = is_known & _changed(tracked, null_safe)
+    work = j.filter(changed | ~is_known if insert_new else changed)
+    ensure_checkpoint_dir(snapshot.sparkSession)
+    return work.select(*[F.col(f"n.{c}") for c in SNAPSHOT_COLS]).checkpoint(eager=True)
+
+
+def scd2_versions(current: DataFrame, work: DataFrame, as_of: _dt.datetime | str,
+                  max_key: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From current rows and the work on them: the rows that stay, the expired
+    versions, and the new ones (keys above ``max_key``)."""
+    today = as_of_date(as_of)
+    current, ids = current.select(*DIM_COLS), work.select("user_id")
+    kept = current.join(ids, "user_id", "left_anti").select(*DIM_COLS)
+    stamps = {"effective_to": today, "is_current": F.lit(False), "ingestion_time": as_of_ts(as_of)}
+    expired = current.join(ids, "user_id", "left_semi").select(
+        *[stamps.get(c, F.col(c)).alias(c) for c in DIM_COLS])
+    new = allocate_keys(_version(work, today, as_of), ["user_id"], "user_key", base=max_key).select(*DIM_COLS)
+    return kept, expired, new
 
 
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, as_of: _dt.datetime | str,
@@ -93,31 +112,14 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, as_of: _dt.datetime | str,
                max_key: int | None = None) -> DataFrame:
     """Full next state of the dimension after applying ``snapshot``."""
     dim = dim.select(*DIM_COLS)
-    history = dim.filter(~F.col("is_current"))
-    current = dim.filter(F.col("is_current"))
+    current = current_rows(dim)
     if max_key is None:
         # one scalar to the driver: the largest key handed out so far
         max_key = dim.agg(F.max("user_key")).first()[0] or 0
-
-    j = current.alias("o").join(snapshot.alias("n"), F.col("o.user_id") == F.col("n.user_id"), "full_outer")
-    has_old, has_new = F.col("o.user_id").isNotNull(), F.col("n.user_id").isNotNull()
-    changed = has_old & has_new & _changed(tracked, null_safe)
-    today = as_of_date(as_of)
-
-    old_cols = [F.col(f"o.{c}").alias(c) for c in DIM_COLS]
-    kept = j.filter(has_old & ~changed).select(*old_cols)
-    expired = j.filter(changed).select(*[
-        (today.alias(c) if c == "effective_to"
-         else F.lit(False).alias(c) if c == "is_current"
-         else as_of_ts(as_of).alias(c) if c == "ingestion_time"
-         else F.col(f"o.{c}").alias(c))
-        for c in DIM_COLS
-    ])
-    inserting = changed | (~has_old & has_new) if insert_new else changed
-    incoming = j.filter(inserting).select(*[F.col(f"n.{c}").alias(c) for c in SNAPSHOT_COLS])
-    new_versions = allocate_keys(_version(incoming, today, as_of), ["user_id"], "user_key",
-                                 base=int(max_key)).select(*DIM_COLS)
-    return history.unionByName(kept).unionByName(expired).unionByName(new_versions)
+    work = scd2_work(current, snapshot, tracked, insert_new, null_safe)
+    kept, expired, new = scd2_versions(current, work, as_of, int(max_key))
+    history = dim.filter(~F.col("is_current"))
+    return history.unionByName(kept).unionByName(expired).unionByName(new)
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

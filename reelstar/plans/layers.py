@@ -8,17 +8,21 @@ injected clock (``as_of``) stamps a whole run.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from .. import schemas
 from ..functions.aggregates import count_if
 from ..functions.scalar import ntz_lit
 from ..operators import dims, engagement, enrich, fact as fact_ops, features, incremental, quality, scd2
 from ..sources.ledger import LOAD, LOAD_DATE, Loads, among, days_of
-from ..sources.tables import TableStore, row_count
+from ..sources.tables import BUCKET, TableStore, row_count
 
 
 @dataclass
@@ -57,19 +61,23 @@ BRONZE_TABLES = {
     "watch_events": schemas.BRONZE_WATCH,
     "ratings_late": schemas.BRONZE_RATINGS,
 }
+# Buckets of the current user versions, by a hash of the user: a changed user
+# rewrites one.  For a dimension of billions, take as many as keep a bucket near
+# the size of a file.
+USER_BUCKETS = 16
 SILVER_TABLES = {
-    "dim_user": schemas.DIM_USER, "dim_content": schemas.DIM_CONTENT, "dim_time": schemas.DIM_TIME,
+    "dim_user": T.StructType([*schemas.DIM_USER.fields, T.StructField(BUCKET, T.IntegerType())]), "dim_content": schemas.DIM_CONTENT, "dim_time": schemas.DIM_TIME,
     "dim_device": schemas.DIM_DEVICE, "watch_sessions": schemas.WATCH_SESSIONS,
     "ratings": schemas.RATINGS,
 }
 # Partitioning of the growing tables: silver sessions by the day they were
-# processed (the gold increment reads only the newest days), the fact by
-# event day, the KPI table by its date (refreshed per affected day).
+# processed (the gold increment reads only the days of the loads it takes), the
+# fact and the roll-up by event day.
 PARTITIONS = {
     # dim_user by the day a version ended: the current versions form the NULL
-    # partition, so an SCD2 run rewrites only that slice and today's expired
-    # slice - never the accumulated history
-    "dim_user": ("effective_to",),
+    # partition, in buckets; an SCD2 run rewrites only the buckets with changes
+    # and today's expired slice - never the accumulated history
+    "dim_user": ("effective_to", BUCKET),
     "watch_sessions": ("processing_date",),
     "fact_watch_sessions": ("event_date",),
     "daily_user_base": ("date",),
@@ -86,6 +94,14 @@ GOLD_TABLES = {
 }
 
 
+def _together(spark: SparkSession, *tasks: Callable[[], object]) -> list:
+    """Run independent writes side by side (Spark schedules their jobs); all end
+    before an error of one is raised."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+    return [r.result() for r in running]
+
+
 def create_tables(store: TableStore, tables: dict) -> None:
     store.create_namespace()
     for name, schema in tables.items():
@@ -152,7 +168,9 @@ def _append_sessions(store: TableStore, table: str, df: DataFrame, upto: dict |
 def seed_bronze(layers: Layers, inputs: dict[str, DataFrame]) -> dict[str, bool]:
     """Idempotent seed: each bronze table is loaded only while it is empty."""
     create_tables(layers.bronze, BRONZE_TABLES)
-    return {name: layers.bronze.append_if_empty(name, df) for name, df in inputs.items()}
+    done = _together(layers.bronze.spark, *[
+        lambda n=name, d=df: layers.bronze.append_if_empty(n, d) for name, df in inputs.items()])
+    return dict(zip(inputs, done, strict=True))
 
 
 def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
@@ -190,57 +208,72 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
         "ratings_late": gated("ratings_late", seen_ratings, upto_r),
     }))]
 
-    # 2. dim_user, SCD2
-    snapshot = scd2.prepare_snapshot(bronze["users"])
-    if s.is_empty("dim_user"):
-        s.append("dim_user", scd2.scd2_initial(snapshot, as_of))
-        out["dim_user"] = "initial"
-    elif not scd2.scd2_has_work(_current_users(s), snapshot, insert_new=opts.insert_new_users,
-                                null_safe=opts.null_safe_changes):
-        out["dim_user"] = "unchanged"  # the files stay as they are
-    else:
-        # Only the current slice takes part: history rows never change.  The
-        # largest key ever handed out is always on a current row (a version
-        # is expired only together with the allocation of a larger key), so
-        # the key base comes from the same slice.  One dynamic partition
-        # overwrite replaces the current slice and today's expired slice
-        # (keeping versions an earlier run of the same day expired).
-        dim = s.read("dim_user")
-        today = F.lit(as_of.date())
-        nxt = scd2.scd2_apply(_current_users(s), snapshot, as_of, insert_new=opts.insert_new_users,
-                              null_safe=opts.null_safe_changes)
-        expired_today = dim.filter(F.col("effective_to") == today)
-        out["dim_user"] = s.overwrite_partitions("dim_user", nxt.unionByName(expired_today),
-                                                 reads_self=True, metrics=[row_count()])
-
-    # 3. dim_content / dim_device: initial load (refresh adds unseen keys)
-    content = bronze["content_catalog"]
-    if s.is_empty("dim_content"):
-        s.append("dim_content", dims.dim_content(content, as_of))
-    elif opts.refresh_static_dims:
-        s.append("dim_content", dims.dim_content_unseen(content, s.read("dim_content"), as_of))
-    events = bronze["watch_events"]
-    # only events of this increment can bring a date or device the dimension
-    # lacks (earlier ones were added by earlier runs): the refreshes scan the
-    # increment, not the event history; an empty dimension reads everything
-    if s.is_empty("dim_device"):
-        s.append("dim_device", dims.dim_device(events, as_of))
-    elif opts.refresh_static_dims:
-        s.append("dim_device", dims.dim_device(seen_events, as_of, existing=s.read("dim_device")))
-
-    # 4. dim_time: incremental
-    time_src = events if s.is_empty("dim_time") else seen_events
-    s.append("dim_time", dims.dim_time_increment(time_src, s.read("dim_time"), as_of))
-
-    # 5. watch_sessions and 6. ratings: incremental
-    sessions = enrich.build_watch_sessions(new_events, s.read("dim_content"), as_of)
-    out["watch_sessions"] = _append_sessions(s, "watch_sessions", sessions, upto,
-                                             [count_if(F.col("is_late_arrival")).alias("late")])
-    out["ratings"] = _append_sessions(s, "ratings", enrich.build_ratings(new_ratings, as_of), upto_r)
+    # 2. the dimensions and the two cleaned tables; the sessions need the catalog
+    content, events = bronze["content_catalog"], bronze["watch_events"]
+
+    def users() -> None:
+        out["dim_user"] = _refresh_users(s, scd2.prepare_snapshot(bronze["users"]), as_of, opts)
+
+    def devices() -> None:
+        if s.is_empty("dim_device"):
+            s.append("dim_device", dims.dim_device(events, as_of))
+        elif opts.refresh_static_dims:
+            s.append("dim_device", dims.dim_device(seen_events, as_of, existing=s.read("dim_device")))
+
+    def days() -> None:
+        # only events of the increment can bring a date the dimension lacks
+        # (earlier ones were added by earlier runs)
+        time_src = events if s.is_empty("dim_time") else seen_events
+        s.append("dim_time", dims.dim_time_increment(time_src, s.read("dim_time"), as_of))
+
+    def sessions() -> None:
+        if s.is_empty("dim_content"):
+            s.append("dim_content", dims.dim_content(content, as_of))
+        elif opts.refresh_static_dims:
+            s.append("dim_content", dims.dim_content_unseen(content, s.read("dim_content"), as_of))
+        made = enrich.build_watch_sessions(new_events, s.read("dim_content"), as_of)
+        out["watch_sessions"] = _append_sessions(s, "watch_sessions", made, upto,
+                                                 [count_if(F.col("is_late_arrival")).alias("late")])
+
+    def ratings() -> None:
+        out["ratings"] = _append_sessions(s, "ratings", enrich.build_ratings(new_ratings, as_of), upto_r)
+
+    _together(s.spark, users, devices, days, sessions, ratings)
     opts.stats["silver"] = out
     return out
 
 
+def _bucketed(users: DataFrame) -> DataFrame:
+    """With the bucket of a current version; ended ones have none (-1)."""
+    own = F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("int")
+    return users.withColumn(BUCKET, F.when(F.col("effective_to").isNull(), own).otherwise(-1))
+
+
+def _refresh_users(s: TableStore, snapshot: DataFrame, as_of: _dt.datetime, opts: Options):
+    """Bring dim_user up to the snapshot: the first load, nothing, or the
+    buckets of the users that changed.  History never changes.  The largest key
+    ever handed out is always on a current row (a version is expired only
+    together with the allocation of a larger key), so the current slice gives
+    the key base."""
+    if s.is_empty("dim_user"):
+        s.append("dim_user", _bucketed(scd2.scd2_initial(snapshot, as_of)))
+        return "initial"
+    current = _current_users(s)
+    work = scd2.scd2_work(current, snapshot, insert_new=opts.insert_new_users, null_safe=opts.null_safe_changes)
+    stamped = _bucketed(work.withColumn("effective_to", F.lit(None).cast("date")))
+    touched = [r[0] for r in stamped.select(BUCKET).distinct().collect()]  # at most USER_BUCKETS numbers
+    if not touched:
+        return "unchanged"  # the files stay as they are
+    max_key = current.agg(F.max("user_key")).first()[0]
+    whole = s.spark.table(s.name("dim_user"))
+    slice_ = whole.filter(F.col("effective_to").isNull() & F.col(BUCKET).isin(touched))
+    kept, expired, new = scd2.scd2_versions(slice_, work, as_of, int(max_key))
+    # versions that an earlier run of the same day expired stay
+    expired_today = whole.filter(F.col("effective_to") == F.lit(as_of.date())).select(*scd2.DIM_COLS)
+    rows = kept.unionByName(expired).unionByName(new).unionByName(expired_today)
+    return s.overwrite_partitions("dim_user", _bucketed(rows), reads_self=True, metrics=[row_count()])
+
+
 def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -> dict:
     """Silver -> gold, by load numbers throughout: the fact takes the silver
     loads it lacks, the tables by day recompute the days of the fact loads they
@@ -273,34 +306,40 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
         new = loads.entries(position)
         return None if any(e["op"] != "append" for e in new) else days_of(new)
 
-    # one row per day: the table is small, so days are replaced by replacing it
-    days = affected("daily_engagement")
-    if days is None:
-        kpis = engagement.daily_engagement(fact, as_of)
-    elif days:
-        kpis = engagement.daily_engagement(fact.filter(among(F.col("event_date"), days)), as_of).unionByName(
-            g.read("daily_engagement").filter(~F.coalesce(among(F.col("date"), days), F.lit(False))))
-    out["daily_engagement"] = {"rows": 0} if days == [] else g.replace_all(
-        "daily_engagement", kpis, reads_self=True, metrics=[row_count()], upto=upto, sole_writer=True)
-
-    # the per user-day roll-up; a refreshed catalog can change the genre of
-    # old facts, so that mode rebuilds it whole
-    days = affected("daily_user_base", whole=opts.refresh_static_dims)
-    if days == []:
-        out["daily_user_base"] = {"rows": 0}
-    elif days is None:
-        out["daily_user_base"] = g.replace_all("daily_user_base", features.daily_user_base(fact, dim_content),
-                                               metrics=[row_count()], upto=upto, sole_writer=True)
-    else:
-        some = features.daily_user_base(fact.filter(among(F.col("event_date"), days)), dim_content)
-        out["daily_user_base"] = g.overwrite_partitions("daily_user_base", some, metrics=[row_count()], upto=upto,
-                                                        sole_writer=True)
-    # churn features: current attributes hold for all history and the
-    # rolling frames span 31 days, so the table is rebuilt - from the
-    # roll-up (one row per active user-day), not from the events
-    out["churn_features"] = g.replace_all(
-        "churn_features", features.churn_features_from_base(g.read("daily_user_base"), dim_user_current, as_of),
-        metrics=[row_count()])
+    def kpis() -> None:
+        # one row per day: the table is small, so days are replaced by replacing it
+        days = affected("daily_engagement")
+        if days == []:
+            out["daily_engagement"] = {"rows": 0}
+            return
+        if days is None:
+            rows = engagement.daily_engagement(fact, as_of)
+        else:
+            rows = engagement.daily_engagement(fact.filter(among(F.col("event_date"), days)), as_of).unionByName(
+                g.read("daily_engagement").filter(~F.coalesce(among(F.col("date"), days), F.lit(False))))
+        out["daily_engagement"] = g.replace_all("daily_engagement", rows, reads_self=True, metrics=[row_count()],
+                                                upto=upto, sole_writer=True)
+
+    def churn() -> None:
+        # the per user-day roll-up; a refreshed catalog can change the genre of
+        # old facts, so that mode rebuilds it whole
+        days = affected("daily_user_base", whole=opts.refresh_static_dims)
+        if days == []:
+            out["daily_user_base"] = {"rows": 0}
+        elif days is None:
+            out["daily_user_base"] = g.replace_all("daily_user_base", features.daily_user_base(fact, dim_content),
+                                                   metrics=[row_count()], upto=upto, sole_writer=True)
+        else:
+            some = features.daily_user_base(fact.filter(among(F.col("event_date"), days)), dim_content)
+            out["daily_user_base"] = g.overwrite_partitions("daily_user_base", some, metrics=[row_count()],
+                                                            upto=upto, sole_writer=True)
+        # churn features: current attributes hold for all history and the
+        # rolling frames span 31 days, so the table is rebuilt - from the
+        # roll-up (one row per active user-day), not from the events
+        rows = features.churn_features_from_base(g.read("daily_user_base"), dim_user_current, as_of)
+        out["churn_features"] = g.replace_all("churn_features", rows, metrics=[row_count()])
+
+    _together(g.spark, kpis, churn)
     opts.stats["gold"] = out
     return out
 

@@ -32,6 +32,8 @@ from ..session import drop_path, ensure_checkpoint_dir
 from .ledger import LOAD, LOAD_DATE, Ledger, Loads
 
 V2_PROVIDERS = {"iceberg", "delta"}
+#: Partition column of tables that are rewritten bucket by bucket.
+BUCKET = "bucket_id"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -95,12 +97,11 @@ class TableStore:
     def read(self, table: str) -> DataFrame:
         """The table's own columns; of a logged table the rows of committed loads."""
         rows = self.spark.table(self.name(table))
-        if LOAD not in rows.columns:
-            return rows
-        dead = self.ledger.loads(table)[1]
-        if dead:
-            rows = rows.filter(~F.col(LOAD).isin(dead))
-        return rows.drop(LOAD, LOAD_DATE)
+        if LOAD in rows.columns:
+            dead = self.ledger.loads(table)[1]
+            if dead:
+                rows = rows.filter(~F.col(LOAD).isin(dead))
+        return rows.drop(LOAD, LOAD_DATE, BUCKET)
 
     def loads(self, table: str) -> Loads:
         """A logged table as a source of increments by load number."""
