@@ -212,6 +212,7 @@ BODIES: dict[str, str] = {
     "json_parse_watch": f"SELECT {WATCH_OUT}, {AS_OF} AS ingestion_time FROM watch_events",
     "json_parse_ratings": f"SELECT {RATINGS_OUT}, {AS_OF} AS ingestion_time FROM ratings_late",
     "stream_watch_ingest": f"SELECT {WATCH_OUT}, {AS_OF} AS ingestion_time FROM watch_events",
+    "stream_compacted": f"SELECT {WATCH_OUT}, {AS_OF} AS ingestion_time FROM watch_events",
     "stream_ratings_ingest": f"SELECT {RATINGS_OUT}, {AS_OF} AS ingestion_time FROM ratings_late",
     "append_if_empty": "SELECT * FROM content_catalog",
     "ddl_insert_select": "SELECT * FROM watch_events",
@@ -279,6 +280,15 @@ FROM sessions_o s
 LEFT JOIN dim_user_init d1 ON s.user_id = d1.user_id
 LEFT JOIN (SELECT user_id, user_key FROM applied_o WHERE is_current) d2 ON s.user_id = d2.user_id"""
 
+# every event once, and one in seven twice more, one and two days later
+def _again(days: int) -> str:
+    delay = f"(w.delay_s + {days} * 86400)"
+    return (f"SELECT f.* REPLACE (({delay} > 300 AND {delay} < 172800) AS is_late_arrival) FROM fact_o f "
+            "JOIN watch_sec w ON f.session_id = w.session_id WHERE CAST(w.event_id AS BIGINT) % 7 = 0")
+
+
+FACT_AGAIN = f"fact_again AS (SELECT * FROM fact_o UNION ALL {_again(1)} UNION ALL {_again(2)})"
+
 _DU_USERS_D1 = "dim_user_init"
 FEATURE_BODIES: dict[str, tuple[str, str]] = {
     "preferred_device": (_DU_USERS_D1, "SELECT * FROM dev"),
@@ -298,4 +308,7 @@ def oracle_sql() -> dict[str, str]:
     for k, (users, body) in FEATURE_BODIES.items():
         out[k] = (f"WITH {ORACLE_BINDINGS.strip()},\n{SHARED.strip()},\n"
                   f"{daily_user_ctes('fact_o', users).strip()}\n{body}")
+    again = f"WITH {ORACLE_BINDINGS.strip()},\n{SHARED.strip()},\n{FACT_AGAIN}"
+    out["repeated_ids_in_increments"] = f"{again} SELECT * EXCLUDE (ingestion_time) FROM ({daily_sql('fact_again')})"
+    out["backfill_churn"] = f"{again},\n{daily_user_ctes('fact_again', _DU_USERS_D1).strip()}\nSELECT {CHURN_COLS} FROM roll"
     return out

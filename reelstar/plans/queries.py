@@ -31,6 +31,8 @@ DAY1 = _dt.datetime(2024, 2, 4)
 AS_OF = _dt.datetime(2024, 2, 5)
 # A previous silver run saw every event ingested before this instant.
 PREVIOUS_RUN = _dt.datetime(2024, 1, 20)
+# Events ingested before this instant arrive last in the out-of-order queries.
+BACKFILL_BEFORE = _dt.datetime(2024, 1, 10)
 # dim_time already holds the days before this date (incremental query).
 DIM_TIME_EXISTING_BEFORE = _dt.datetime(2024, 1, 15)
 # The second daily_engagement write of replace_all starts at this day.
@@ -350,6 +352,53 @@ def q_reload_after_truncate(spark, sf_dir):
     return layers.gold.read("daily_engagement")
 
 
+def _out_of_order(spark: SparkSession, sf_dir: str) -> L.Layers:
+    """Loads in any order: a middle slice of the events; the newest ones and
+    one in seven events again, a day later; then, under an earlier clock, a
+    backfill of the oldest and the same events once more."""
+    b = bind(spark, sf_dir)
+    at, ev = F.col("ingestion_time"), b.watch_events
+    oldest, newest = at < ntz_lit(BACKFILL_BEFORE), at >= ntz_lit(PREVIOUS_RUN)
+
+    def again(days: int) -> DataFrame:
+        return ev.filter(F.col("event_id").cast("long") % 7 == 0).withColumn(
+            "ingestion_time", F.timestamp_add("DAY", F.lit(days), at))
+
+    layers = _seeded(spark, b, "out-of-order", ev.filter(~oldest & ~newest))
+    L.run_all(layers, DAY1)
+    layers.bronze.append("watch_events", ev.filter(newest).unionByName(again(1)))
+    L.run_all(layers, AS_OF)
+    layers.bronze.append("watch_events", ev.filter(oldest))
+    layers.bronze.append("watch_events", again(2))
+    L.run_all(layers, DAY1)
+    return layers
+
+
+def q_repeated_ids_in_increments(spark, sf_dir):
+    return _out_of_order(spark, sf_dir).gold.read("daily_engagement").drop("ingestion_time")
+
+
+def q_backfill_churn(spark, sf_dir):
+    return _out_of_order(spark, sf_dir).gold.read("churn_features").drop("ingestion_time")
+
+
+def q_stream_compacted(spark, sf_dir):
+    """The whole event table through four batches, compacted in between (days
+    merged) with a batch half written; the bronze table is the same."""
+    b = bind(spark, sf_dir)
+    out = f"{work_dir(spark, 'stream-compacted')}/watch_events"
+    write = ingest.BatchWriter(out, "event_id", clock=lambda: AS_OF)
+    for n in range(4):
+        some = b.watch_events.filter(F.col("event_id").cast("long") % 4 == n)
+        write(ingest.parse_json_values(ingest.to_json_lines(some, WATCH_COLS), WATCH_JSON), n)
+        if n:
+            ingest.compact(spark, out, max_parts=1)
+    half = ingest.read_bronze(spark, out).withColumn("accepted", F.lit(True))
+    half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("accepted").parquet(
+        f"{out}/batch_id=4")
+    return ingest.read_bronze(spark, out).select(*WATCH_COLS, "ingestion_time")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_parse_watch": q_json_parse("watch"),
     "json_parse_ratings": q_json_parse("ratings"),
@@ -391,4 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "same_clock_rerun": q_same_clock_rerun,
     "reload_after_truncate": q_reload_after_truncate,
+    "repeated_ids_in_increments": q_repeated_ids_in_increments,
+    "backfill_churn": q_backfill_churn,
+    "stream_compacted": q_stream_compacted,
 }

@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import Files
+
 #: Columns that logged tables have besides their own.
 LOAD, LOAD_DATE = "load_id", "load_date"
 #: Seconds after which a load without an entry counts as dead.
@@ -35,39 +37,13 @@ ABANDONED_S = 24 * 3600
 
 class Ledger:
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self.root = root.rstrip("/")
-
-    # -- files -------------------------------------------------------------------
-    def _path(self, table: str, name: str = ""):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}" + (f"/{name}" if name else ""))
-
-    def _fs(self, path):
-        return path.getFileSystem(self._conf)
-
-    def _names(self, table: str) -> set[str]:
-        where = self._path(table)
-        fs = self._fs(where)
-        if not fs.exists(where):
-            return set()
-        return {s.getPath().getName() for s in fs.listStatus(where)}
-
-    def _create(self, table: str, name: str, text: str) -> None:
-        path = self._path(table, name)
-        out = self._fs(path).create(path, False)  # fails if the name is taken
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
+        self.files, self.root = Files(spark), root.rstrip("/")
+
+    def _names(self, table: str) -> dict[str, float]:
+        return self.files.names(f"{self.root}/{table}")
 
     def _read(self, table: str, load: int) -> dict:
-        path = self._path(table, f"{load:019d}.json")
-        stream = self._fs(path).open(path)
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return json.loads(self.files.read(f"{self.root}/{table}/{load:019d}.json"))
 
     # -- loads -------------------------------------------------------------------
     def begin(self, table: str, sole_writer: bool = False) -> int:
@@ -77,15 +53,13 @@ class Ledger:
         if sole_writer:
             for dead in self.loads(table)[1]:
                 if f"{dead:019d}.void" not in names:
-                    self._create(table, f"{dead:019d}.void", "")
+                    self.files.create(f"{self.root}/{table}/{dead:019d}.void", "")
         load = max((int(n.split(".")[0]) for n in names if n[0].isdigit()), default=0) + 1
         while True:
             try:
-                self._create(table, f"{load:019d}.begin", "")
+                self.files.create(f"{self.root}/{table}/{load:019d}.begin", "")
                 return load
-            except Exception as e:
-                if "AlreadyExists" not in str(e):
-                    raise
+            except FileExistsError:
                 load += 1  # another writer took it meanwhile
 
     def commit(self, table: str, load: int, entry: dict) -> None:
@@ -95,11 +69,7 @@ class Ledger:
         last = self.last(table)
         upto = {**((last or {}).get("upto") or {}), **(entry.get("upto") or {})}
         whole = {"op": "append", **entry, "load": load, "upto": upto}
-        name = f"{load:019d}.json"
-        self._create(table, f".{name}.tmp", json.dumps(whole, default=str))
-        beside, path = self._path(table, f".{name}.tmp"), self._path(table, name)
-        if not self._fs(path).rename(beside, path):
-            raise OSError(f"load {load} of {table} could not be committed")
+        self.files.put(f"{self.root}/{table}/{load:019d}.json", json.dumps(whole, default=str))
 
     def loads(self, table: str) -> tuple[list[int], list[int]]:
         """Numbers of the committed loads, and of those without an entry."""
@@ -112,14 +82,12 @@ class Ledger:
         """The number up to which every load has come to its end (a reader that
         went past an open one would miss its rows), and the dead ones below.  A
         load that has been open for ``ABANDONED_S`` seconds is dead."""
-        where = self._path(table)
-        fs = self._fs(where)
-        found = {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(where)} if fs.exists(where) else {}
+        found = self._names(table)
         begun = {int(n[:-6]): t for n, t in found.items() if n.endswith(".begin")}
         latest, dead = 0, []
         for load in sorted(begun):
             if f"{load:019d}.json" not in found:
-                if f"{load:019d}.void" not in found and time.time() - begun[load] / 1000 < ABANDONED_S:
+                if f"{load:019d}.void" not in found and time.time() - begun[load] < ABANDONED_S:
                     break
                 dead.append(load)
             latest = load

@@ -28,12 +28,15 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import ntz_lit, now_utc
 from ..schemas import ddl
-from ..session import drop_path, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir
+from .files import Files
 from .ledger import LOAD, LOAD_DATE, Ledger, Loads
 
 V2_PROVIDERS = {"iceberg", "delta"}
 #: Partition column of tables that are rewritten bucket by bucket.
 BUCKET = "bucket_id"
+#: Table property that names the NOT NULL columns.
+_REQUIRED = "reelstar.not_null"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -44,7 +47,9 @@ class TableStore:
         self.namespace = f"{catalog}.{namespace}" if catalog else namespace
         self.location = location.rstrip("/") if location else None
         self._partitions: dict[str, tuple[str, ...]] = {}
+        self._required: dict[str, list[str]] = {}
         self._ledger: Ledger | None = None
+        self.files = Files(spark)
 
     # -- DDL ------------------------------------------------------------------
     def create_namespace(self) -> None:
@@ -77,7 +82,9 @@ class TableStore:
             if not partitioned_by:
                 schema = T.StructType([*schema.fields, T.StructField(LOAD_DATE, T.DateType())])
                 partitioned_by = (LOAD_DATE,)
-        props = " TBLPROPERTIES ('format-version'='2')" if self.provider == "iceberg" else ""
+        keys = ",".join(f.name for f in schema.fields if not f.nullable)
+        props = f" TBLPROPERTIES ('{_REQUIRED}'='{keys}'" + (
+            ", 'format-version'='2')" if self.provider == "iceberg" else ")")
         self._partitions[table] = tuple(partitioned_by)
         part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl(schema)}) "
@@ -93,6 +100,22 @@ class TableStore:
             self._partitions[table] = tuple(c.name for c in cols if c.isPartition)
         return self._partitions[table]
 
+    def required(self, table: str) -> list[str]:
+        """Columns declared NOT NULL.  Path-based providers drop the constraint,
+        so it is kept as a table property and checked in every write plan."""
+        if table not in self._required:
+            props = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+            keys = next((r["value"] for r in props if r["key"] == _REQUIRED), "")
+            self._required[table] = [k for k in keys.split(",") if k]
+        return self._required[table]
+
+    def _checked(self, table: str, df: DataFrame) -> DataFrame:
+        """A row with a NULL where the table declares NOT NULL fails the write."""
+        for c in self.required(table):
+            broken = F.raise_error(F.lit(f"{self.name(table)}.{c} is declared NOT NULL"))
+            df = df.withColumn(c, F.when(F.col(c).isNull(), broken.cast(df.schema[c].dataType)).otherwise(F.col(c)))
+        return df
+
     # -- reads -----------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         """The table's own columns; of a logged table the rows of committed loads."""
@@ -120,7 +143,7 @@ class TableStore:
         """For a partitioned table, rows dealt by its partition columns, so that a
         day is a few files and not one per input task (AQE splits a large day
         and merges small ones)."""
-        by = self.partitions(table)
+        by, df = self.partitions(table), self._checked(table, df)
         return df.hint("rebalance", *by) if by else df
 
     def _write(self, table: str, df: DataFrame, metrics: list | None, write, op: str, upto: dict | None,
@@ -259,18 +282,12 @@ class TableStore:
         """Where the catalog says a table or partition lies."""
         return next(r[1] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect() if r[0] == "Location")
 
-    def _fs_path(self, path: str):
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
-
     def _folders(self, path: str, depth: int, below: str = "") -> list[str]:
         """Partition folders ``depth`` levels below ``path``, relative to it."""
         if not depth:
             return [below]
-        fs, where = self._fs_path(f"{path}/{below}" if below else path)
-        names = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
-        return sorted(p for n in names if "=" in n
-                      for p in self._folders(path, depth - 1, f"{below}/{n}" if below else n))
+        names = self.files.folders(f"{path}/{below}" if below else path)
+        return [p for n in names if "=" in n for p in self._folders(path, depth - 1, f"{below}/{n}" if below else n)]
 
     def _spec(self, table: str, folder: str) -> str:
         """``d=2024-01-01/k=3`` as a partition specification."""
@@ -286,23 +303,13 @@ class TableStore:
     def _retire(self, table: str, version: str, paths: list[str]) -> None:
         """Delete the files that the table's previous replace left behind, and
         note those this one leaves: a reader has until the next replace."""
-        fs, folder = self._fs_path(version.rsplit("/", 1)[0])
-        for s in fs.listStatus(folder):
-            note = s.getPath()
-            if note.getName().endswith(".retired"):
-                stream = fs.open(note)
-                try:
-                    old = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-                finally:
-                    stream.close()
-                for path in old:
-                    drop_path(self.spark, path)
-                fs.delete(note, False)
-        out = fs.create(self._fs_path(f"{version}.retired")[1], True)
-        try:
-            out.write(bytearray(json.dumps(paths).encode()))
-        finally:
-            out.close()
+        folder = version.rsplit("/", 1)[0]
+        for note in self.files.names(folder):
+            if note.endswith(".retired"):
+                for path in json.loads(self.files.read(f"{folder}/{note}")):
+                    self.files.delete(path)
+                self.files.delete(f"{folder}/{note}")
+        self.files.put(f"{version}.retired", json.dumps(paths))
 
     # -- high-water marks ------------------------------------------------------
     WATERMARKS = "_watermarks"

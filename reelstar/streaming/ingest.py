@@ -11,9 +11,11 @@ Per micro-batch (``foreachBatch``):
   UTC TIMESTAMP_NTZ; the batch is stamped with one ingestion time;
 * rows without their key (malformed JSON, NULL key) are kept apart as
   rejects instead of poisoning the bronze table;
-* everything is written in **one** pass to ``<out>/batch_id=<n>/accepted=<b>``
-  with overwrite, so a micro-batch replayed after a failure replaces its own
-  output: each source record lands exactly once.
+* everything is written in **one** pass to ``<out>/batch_id=<n>/accepted=<b>``;
+  a micro-batch replayed after a failure finds its committed output or replaces
+  what a dead write left: each source record lands exactly once.
+
+:mod:`.bronze_log` reads the batches as a table and compacts them by day.
 """
 
 from __future__ import annotations
@@ -21,14 +23,15 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalar import as_of_ts, now_utc, parse_event_time
-from ..schemas import BRONZE, RATINGS_JSON, WATCH_JSON
+from ..schemas import RATINGS_JSON, WATCH_JSON
+from ..sources.files import Files
+from .bronze_log import bronze_loads, compact, read_bronze  # noqa: F401  (the table side of the sink)
 
 WATCH = ("watch_events", WATCH_JSON, "event_id")
 RATINGS = ("ratings_late", RATINGS_JSON, "rating_id")
@@ -79,14 +82,6 @@ def to_json_lines(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.to_json(F.struct(*fields)).alias("value"))
 
 
-def _previous_stamp(spark: SparkSession, path: str):
-    """Ingestion stamp of an earlier write of the same batch, else None."""
-    try:
-        return spark.read.parquet(path).agg(F.max("ingestion_time")).first()[0]
-    except AnalysisException:  # no earlier write (path missing or empty)
-        return None
-
-
 class BatchWriter:
     """``foreachBatch`` sink: one write per micro-batch, idempotent per batch id."""
 
@@ -98,13 +93,13 @@ class BatchWriter:
         if batch_df.isEmpty():
             return
         target = f"{self.out_dir}/batch_id={batch_id}"
-        # a replay keeps the stamp of the batch's first write, so it rewrites
-        # exactly the same rows: a refresh that already consumed them (mark
-        # at or above that stamp) does not see them as new again
-        stamp = _previous_stamp(batch_df.sparkSession, target) or self.clock()
-        stamped = to_bronze(batch_df, stamp)
+        # a replay brings the same source records: what is committed stays as
+        # it is, stamp included, under the eyes of the refreshes that read it
+        if Files(batch_df.sparkSession).exists(f"{target}/_SUCCESS"):
+            return
+        stamped = to_bronze(batch_df, self.clock())
         stamped = stamped.withColumn("accepted", F.col(self.key).isNotNull())
-        # static: a replayed batch replaces its whole folder, whatever the
+        # static: what a write that died left behind goes, whatever the
         # session's partition overwrite mode is at that moment
         (stamped.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("accepted").parquet(target))
@@ -122,34 +117,6 @@ def start_ingest(raw: DataFrame, schema: T.StructType, key: str, out_dir: str, c
     return w.start()
 
 
-def read_bronze(spark: SparkSession, out_dir: str, rejects: bool = False,
-                schema: T.StructType | None = None) -> DataFrame:
-    """Accepted (or rejected) rows of every committed batch.
-
-    Only batch folders with the writer's commit marker are read; one that is
-    half written is not there yet.  ``schema`` is that of the bronze table; by
-    default the one named by the folder (``watch_events`` or ``ratings_late``),
-    else that of the first committed batch.  A stream without a committed
-    batch has no rows.
-    """
-    root = out_dir.rstrip("/")
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/batch_id=*/_SUCCESS")
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    batches = sorted(f.getPath().getParent().toString() for f in files or [])
-    schema = schema or BRONZE.get(root.rsplit("/", 1)[-1])
-    if schema is None:
-        if not batches:
-            raise ValueError(f"no committed batch below {root}; give the schema of the table")
-        schema = T.StructType([f for f in spark.read.parquet(batches[0]).schema if f.name != "accepted"])
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-    if not batches:
-        return spark.createDataFrame([], schema)
-    whole = T.StructType([*schema, T.StructField("accepted", T.BooleanType())])
-    df = spark.read.schema(whole).option("basePath", root).parquet(*batches)
-    return df.filter(F.col("accepted") == (not rejects)).select(*schema.names)
-
-
 def run_until_any_ends(queries: list[StreamingQuery]) -> None:
     """Block until one of the streams ends, then stop the others; an error of
     the one that ended is raised."""
