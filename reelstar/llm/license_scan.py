@@ -1,13 +1,15 @@
 """License scan: TF-IDF cosine to licence templates, then inheritance by path.
 
-Units are the lines of every text (headers and notices) and the whole text (a
-licence file).  Vectors live in the space of the templates' words; the inverse
-document frequencies are counted over all documents.  A unit that has none of a
-template's *anchor* words cannot reach the threshold (the remaining weights
-bound its cosine, by Cauchy-Schwarz), so only units with an anchor are scored:
-the pruning loses nothing.  Files without a licence of their own inherit that
-of the nearest ancestor folder with a licence file: every distinct folder is
-joined with its ancestors, not every file.
+Units are the windows of one to ``WINDOW_LINES`` lines of every text (headers and
+notices, wrapped or not) and the whole text (a licence file).  A unit's vector has
+all of its words; the inverse document frequencies are counted over all
+documents.  Two prunings lose nothing: a unit that has none of a template's
+*anchor* words cannot reach the threshold (the remaining weights bound its
+cosine, by Cauchy-Schwarz), and as a word weighs at least one, the number of a
+unit's words outside of the templates bounds its norm from below.  Only what is
+left needs the frequencies of those words.  Files without a licence of their own
+inherit that of the nearest ancestor folder with a licence file: every distinct
+folder is joined with its ancestors, not every file.
 
 DataFrame operations only.  What is broadcast are the template weights: as
 many rows as the templates have distinct words.
@@ -17,13 +19,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import quoted, settled
 from .line_dedup import lower_ascii
 
-# Names and usual notices of the licences that are looked for.
+# Names, usual notices and texts of the licences that are looked for.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -42,8 +44,34 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("MIT", """MIT License. Copyright. Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal in the Software without restriction,
+including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following
+conditions: The above copyright notice and this permission notice shall be included in all copies or substantial
+portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("BSD-3-Clause", """BSD 3-Clause License. Copyright. All rights reserved. Redistribution and use in source and
+binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the
+name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived
+from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE."""),
 ]
 THRESHOLD = 0.8
+#: Lines that a wrapped notice may stand on.
+WINDOW_LINES = 8
 _GAP = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 
@@ -63,16 +91,20 @@ def template_terms(docs: DataFrame, templates: list[tuple[str, str]]) -> DataFra
     )
 
 
-def weights(texts: DataFrame, terms: DataFrame) -> list[tuple]:
+def frequencies(texts: DataFrame) -> DataFrame:
+    """``(term, df)``: in how many rows each word occurs."""
+    words = F.array_distinct(words_of(F.col("text")))
+    return texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def weights(held: DataFrame, n: int, terms: DataFrame) -> list[tuple]:
     """``(template, license, term, idf, weight)`` with the idf
-    ln((1 + N) / (1 + df)) + 1 over all texts and each template's weights
-    scaled to length one.  As many rows as the templates have words."""
-    vocabulary = sorted({r[0] for r in terms.select("term").collect()})
-    found = texts.select(F.array_intersect(words_of(F.col("text")), F.array(*map(F.lit, vocabulary))).alias("t"))
-    df = {r[0]: r[1] for r in found.select(F.explode("t")).groupBy("col").count().collect()}
-    n = texts.count()
-    idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-    rows = [(r["template"], r["license"], r["term"], r["tf"] * idf[r["term"]]) for r in terms.collect()]
+    ln((1 + n) / (1 + df)) + 1 and each template's weights scaled to length one.
+    As many rows as the templates have words."""
+    df = {r["term"]: r["df"] for r in held.join(terms.select("term").distinct(), "term").collect()}
+    given = terms.collect()
+    idf = {r["term"]: math.log((1 + n) / (1 + df.get(r["term"], 0))) + 1 for r in given}
+    rows = [(r["template"], r["license"], r["term"], r["tf"] * idf[r["term"]]) for r in given]
     norm: dict[int, float] = {}
     for k, _, _, w in rows:
         norm[k] = norm.get(k, 0.0) + w * w
@@ -95,13 +127,35 @@ def anchors(rows: list[tuple], threshold: float) -> list[str]:
     return sorted(found)
 
 
+def units_of(rows: DataFrame, anchor: Column, window_lines: int) -> DataFrame:
+    """``(id, path, h, first, n_lines, words)`` of the units of ``rows`` with an
+    anchor word: windows of lines (first line, number of lines) and the whole
+    text (first line -1).  A window's lines pass through a sliding frame, so a
+    text of any length is sorted, never held."""
+    some = rows.filter(F.arrays_overlap(words_of(F.col("text")), anchor)).withColumn("h", F.xxhash64("text")).distinct()
+    key = ["id", "path", "h"]
+    lines = some.select(*key, F.posexplode(F.split("text", "\n", -1)).alias("first", "line"))
+    hit = F.arrays_overlap(words_of(F.col("line")), anchor).cast("int")
+    ahead = Window.partitionBy(*key).orderBy("first").rowsBetween(0, window_lines - 1)
+    framed = lines.withColumn("hit", hit).select(
+        *key, "first", F.collect_list("line").over(ahead).alias("lines"), F.max("hit").over(ahead).alias("hit"),
+    ).filter("hit = 1")
+    windows = framed.select(*key, "first", "lines", F.explode(F.sequence(F.lit(1), F.size("lines"))).alias("n_lines"))
+    windows = windows.select(*key, "first", "n_lines", F.concat_ws("\n", F.slice("lines", 1, F.col("n_lines"))).alias("body"))
+    whole = some.select(*key, F.lit(-1).alias("first"), F.lit(0).alias("n_lines"), F.col("text").alias("body"))
+    units = windows.unionByName(whole).withColumn("words", words_of(F.col("body"))).drop("body")
+    return units.filter(F.arrays_overlap("words", anchor))
+
+
 def license_scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path",
-                 templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+                 templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+                 window_lines: int = WINDOW_LINES) -> DataFrame:
     """One row per row of ``files``: ``id, path, n_notices, own_license,
     own_score, is_license_file, license, inherited_from``.
 
-    ``n_notices``: lines with a cosine of at least ``threshold`` to a template;
-    ``own_license``: the template's licence of the best line or of the whole
+    ``n_notices``: windows of up to ``window_lines`` lines with a cosine of at
+    least ``threshold`` to a template that hold no smaller such window;
+    ``own_license``: the template's licence of the best window or of the whole
     text (equal scores: the first name); ``own_score``: that cosine, rounded to
     6 digits.  ``is_license_file``: the whole text reaches the threshold; it
     then licenses its folder (of several in a folder the best score, then the
@@ -117,42 +171,63 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = files.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(path_col)).alias("path"),
                         F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"))
     terms = template_terms(files, templates)
-    weighted = weights(rows, terms)
+    held, n = settled(frequencies(rows)), rows.count()
+    weighted = weights(held, n, terms)
     table = spark.createDataFrame(weighted, "template int, license string, term string, idf double, weight double")
     anchor = F.array(*map(F.lit, anchors(weighted, threshold)))
     idf = table.select("term", "idf").distinct()
 
     # A row is known by its id, path and text; equal rows have equal results.
-    key = [F.col("id"), F.col("path"), F.xxhash64("text").alias("h")]
-    lines = rows.select(*key, F.posexplode(F.split("text", "\n", -1)).alias("unit", "body"))
-    whole = rows.select(*key, F.lit(-1).alias("unit"), F.col("text").alias("body"))
-    units = (
-        lines.unionByName(whole).withColumn("words", words_of(F.col("body"))).drop("body")
-        .filter(F.arrays_overlap("words", anchor)).distinct()
-    )
-    counted = units.select("id", "path", "h", "unit", F.explode("words").alias("term")).groupBy(
-        "id", "path", "h", "unit", "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
+    unit = ["id", "path", "h", "first", "n_lines"]
+    counted = units_of(rows, anchor, window_lines).select(*unit, F.explode("words").alias("term")).groupBy(
+        *unit, "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
     # the template tables have a few hundred rows: a word of a template each
-    vectors = counted.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    unit = ["id", "path", "h", "unit"]
-    norms = vectors.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    vectors = settled(counted.join(F.broadcast(idf), "term", "left"))
+    w = F.col("tf") * F.col("idf")
+    norms = vectors.groupBy(*unit).agg(F.sum(F.coalesce(w * w, F.lit(0.0))).alias("inside"),
+                                       F.count(F.when(F.col("idf").isNull(), 1)).alias("n_outside"))
     dots = (
-        vectors.join(F.broadcast(table.drop("idf")), "term")
+        vectors.filter("idf IS NOT NULL").withColumn("w", w).join(F.broadcast(table.drop("idf")), "term")
         .groupBy(*unit, "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     )
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in unit]
-    scored = (
-        dots.alias("d").join(norms.alias("n"), same)
-        .select(*[f"d.{c}" for c in unit], "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+
+    def same(a: str, b: str) -> list[Column]:
+        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in unit]
+
+    # a word weighs at least one, as its idf does
+    near = settled(
+        dots.alias("d").join(norms.alias("n"), same("d", "n"))
+        .select(*[f"d.{c}" for c in unit], "license", "dot", "inside", "n_outside")
+        .filter(F.col("dot") >= (threshold - 1e-6) * F.sqrt(F.col("inside") + F.col("n_outside")))
+    )
+    outside = (
+        vectors.filter("idf IS NULL").alias("v")
+        .join(near.filter("n_outside > 0").select(*unit).distinct().alias("k"), same("v", "k"), "left_semi")
+        .join(held, "term")
+        .withColumn("w", F.col("tf") * (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1))
+        .groupBy(*unit).agg(F.sum(F.col("w") * F.col("w")).alias("outside"))
+    )
+    scored = settled(
+        near.alias("d").join(outside.alias("o"), same("d", "o"), "left")
+        .select(*[f"d.{c}" for c in unit], "license",
+                F.round(F.col("dot") / F.sqrt(F.col("inside") + F.coalesce("outside", F.lit(0.0))), 6).alias("score"))
         .filter(F.col("score") >= threshold)
     )
+    # windows that hold no smaller one: none that begins no earlier ends no later
+    end = F.col("first") + F.col("n_lines")
+    later = Window.partitionBy("id", "path", "h").orderBy(F.col("first").desc(), "n_lines").rowsBetween(
+        Window.unboundedPreceding, -1)
+    least = (
+        scored.filter("first >= 0").select(*unit).distinct().withColumn("below", F.min(end).over(later))
+        .filter(F.col("below").isNull() | (F.col("below") > end))
+        .groupBy("id", "path", "h").agg(F.count(F.lit(1)).alias("n_notices"))
+    )
     rank = F.struct((-F.col("score")).alias("s"), F.col("license").alias("license"))
+    best = scored.groupBy("id", "path", "h").agg(
+        F.min(rank).alias("best"), F.min(F.when(F.col("first") < 0, rank)).alias("file"))
     own = settled(
-        scored.groupBy("id", "path", "h").agg(
-            F.count_distinct(F.when(F.col("unit") >= 0, F.col("unit"))).alias("n_notices"),
-            F.min(rank).alias("best"),
-            F.min(F.when(F.col("unit") < 0, rank)).alias("file"),
-        )
+        best.alias("b").join(least.alias("l"), [F.col(f"b.{c}").eqNullSafe(F.col(f"l.{c}")) for c in ("id", "path", "h")],
+                             "left").select("b.*", F.coalesce("n_notices", F.lit(0)).alias("n_notices"))
     )
 
     def folder(path: Column) -> Column:

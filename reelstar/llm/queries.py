@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontamination import contamination
 from .embedding_dedup import embedding_dedup
-from .license_scan import TEMPLATES, THRESHOLD, license_scan
+from .license_scan import TEMPLATES, THRESHOLD, WINDOW_LINES, license_scan
 from .line_dedup import line_dedup
 from .packing import pack, word_tokenizer
 from .periodic_runs import periodic_runs
@@ -107,7 +107,7 @@ QUERIES = {
 
 
 def _license_sql() -> str:
-    given = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+    given = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))  # no quote in them
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = "regexp_extract_all(" + low + r", '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"
     return f"""
@@ -123,29 +123,38 @@ def _license_sql() -> str:
         held AS (SELECT DISTINCT doc_id, unnest({words.format('body')}) AS term FROM docs),
         idf AS (
             SELECT term, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(doc_id))) + 1 AS idf
-            FROM (SELECT DISTINCT term FROM terms) LEFT JOIN held USING (term) GROUP BY term),
+            FROM (SELECT term FROM terms UNION SELECT term FROM held) LEFT JOIN held USING (term) GROUP BY term),
         raw AS (SELECT template, license, term, tf * idf AS w FROM terms JOIN idf USING (term)),
         weights AS (
             SELECT template, license, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS weight FROM raw),
+        cut AS (SELECT doc_id, string_split(body, chr(10)) AS ls FROM docs),
         units AS (
-            SELECT doc_id, unit, body FROM (
-                SELECT doc_id, generate_subscripts(string_split(body, chr(10)), 1) AS unit,
-                       unnest(string_split(body, chr(10))) AS body FROM docs)
-            UNION ALL SELECT doc_id, -1, body FROM docs),
+            SELECT doc_id, first, n_lines, array_to_string(list_slice(ls, first + 1, first + n_lines), chr(10)) AS body
+            FROM (SELECT doc_id, ls, first, unnest(range(1, least({WINDOW_LINES}, len(ls) - first) + 1)) AS n_lines
+                  FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS first FROM cut))
+            UNION ALL SELECT doc_id, -1, 0, body FROM docs),
         vectors AS (
-            SELECT doc_id, unit, term, (1 + ln(count(*))) * any_value(idf) AS w
-            FROM (SELECT doc_id, unit, unnest({words.format('body')}) AS term FROM units) JOIN idf USING (term)
-            GROUP BY doc_id, unit, term),
-        norms AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY ALL),
+            SELECT doc_id, first, n_lines, term, (1 + ln(count(*))) * any_value(idf) AS w
+            FROM (SELECT doc_id, first, n_lines, unnest({words.format('body')}) AS term FROM units) JOIN idf USING (term)
+            GROUP BY doc_id, first, n_lines, term),
+        norms AS (SELECT doc_id, first, n_lines, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY ALL),
         scored AS (
-            SELECT v.doc_id, v.unit, license, round(sum(w * weight) / any_value(norm), 6) AS score
-            FROM vectors v JOIN weights USING (term) JOIN norms n ON v.doc_id = n.doc_id AND v.unit = n.unit
-            GROUP BY v.doc_id, v.unit, template, license),
+            SELECT v.doc_id, v.first, v.n_lines, license, round(sum(w * weight) / any_value(norm), 6) AS score
+            FROM vectors v JOIN weights USING (term)
+            JOIN norms n ON v.doc_id = n.doc_id AND v.first = n.first AND v.n_lines = n.n_lines
+            GROUP BY v.doc_id, v.first, v.n_lines, template, license),
         good AS (SELECT * FROM scored WHERE score >= {THRESHOLD}),
+        found AS (SELECT DISTINCT doc_id, first, n_lines FROM good WHERE first >= 0),
+        least_ones AS (
+            SELECT doc_id, count(*) AS n_notices FROM found f
+            WHERE NOT EXISTS (
+                SELECT 1 FROM found g WHERE g.doc_id = f.doc_id AND g.first >= f.first
+                AND g.first + g.n_lines <= f.first + f.n_lines AND g.n_lines < f.n_lines)
+            GROUP BY doc_id),
         own AS (
-            SELECT doc_id, count(DISTINCT unit) FILTER (unit >= 0) AS n_notices,
-                   min((-score, license)) AS best, min((-score, license)) FILTER (unit < 0) AS file
-            FROM good GROUP BY doc_id),
+            SELECT doc_id, any_value(n_notices) AS n_notices,
+                   min((-score, license)) AS best, min((-score, license)) FILTER (first < 0) AS file
+            FROM good LEFT JOIN least_ones USING (doc_id) GROUP BY doc_id),
         licensed AS (
             SELECT folder AS at, min(file)[2] AS license FROM own JOIN docs USING (doc_id)
             WHERE file IS NOT NULL GROUP BY folder),

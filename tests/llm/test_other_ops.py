@@ -1,5 +1,7 @@
 """Tokenizers, licences, embeddings, URLs, components and the pipeline."""
 
+import math
+import re
 from collections import Counter, defaultdict
 from dataclasses import replace
 
@@ -176,6 +178,62 @@ def test_license_inheritance_and_odd_rows(spark):
     assert L.license_scan(files.limit(0)).count() == 0
 
 
+def brute_license(texts, templates=L.TEMPLATES, least=L.THRESHOLD, lines=L.WINDOW_LINES):
+    """Per text: minimal windows, best (score, name), whether it is a licence file."""
+    def tokens(text):
+        return re.findall("[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+
+    df = Counter(w for t in texts for w in set(tokens(t)))
+
+    def vector(text):
+        return {w: (1 + math.log(c)) * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, c in Counter(tokens(text)).items()}
+
+    def cosine(a, b):
+        norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return round(sum(x * b.get(w, 0) for w, x in a.items()) / norm, 6) if norm else 0
+
+    known = [(name, vector(t)) for name, t in templates]
+    out = []
+    for t in texts:
+        ls, hits, best = (t or "").split("\n"), set(), []
+        units = [((a, n), "\n".join(ls[a:a + n])) for a in range(len(ls)) for n in range(1, min(lines, len(ls) - a) + 1)]
+        for at, body in [*units, (None, t or "")]:
+            v = vector(body)
+            found = [(-cosine(v, k), name) for name, k in known if cosine(v, k) >= least]
+            best += found
+            if found and at:
+                hits.add(at)
+            file = bool(found)
+        least_ones = [h for h in hits if not any(g != h and g[0] >= h[0] and sum(g) <= sum(h) for g in hits)]
+        out.append((len(least_ones), min(best)[1] if best else None, -min(best)[0] if best else None, file))
+    return out
+
+
+def test_license_scan_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    prose = ["the harbour opened early", "boats", "", "software for the free world", "a copy of the public notice",
+             "any version is permitted", "license plates and general stores", "é 日本", "source and binary stars"]
+    mit = next(t for n, t in L.TEMPLATES if n == "MIT" and len(t) > 500)
+    bsd = next(t for n, t in L.TEMPLATES if n.startswith("BSD") and len(t) > 500)
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[k:k + n]) for k in range(0, len(t.split()), n))
+    texts = [None, "", "\n\n", wrap(mit, 12).replace("Copyright.", "Copyright (c) 2021 Jane Roe"),
+             wrap(bsd, 14).upper(), "\n".join(prose * 9 + ["Released under the MIT License."] + prose * 9)]
+    notices = [t for _, t in L.TEMPLATES if len(t) < 500]
+    for k in range(30):
+        body = [str(x) for x in rng.choice(prose, rng.integers(0, 14))]
+        body[k % 5:k % 5] = ["# " + x for x in wrap(notices[k % len(notices)], 8).split("\n")]
+        if k % 3 == 0:
+            body += notices[(k + 1) % len(notices):][:1] * 2
+        texts.append("\n".join(body))
+    files = spark.createDataFrame([(k, f"d{k}/x", t) for k, t in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r.doc_id: (r.n_notices, r.own_license, r.own_score, r.is_license_file) for r in L.license_scan(files).collect()}
+    want = brute_license(texts)
+    assert [got[k] for k in range(len(texts))] == want
+    assert want[3][1:2] + want[3][3:] == ("MIT", True) and want[4][1:2] + want[4][3:] == ("BSD-3-Clause", True)
+    assert want[5][0] == 1 and want[5][1] == "MIT" and not want[5][3]  # a notice in a long text is no licence file
+    assert all(w[0] >= 1 for w in want[6:])  # notices wrapped at eight words
+
+
 # --- embeddings ------------------------------------------------------------
 
 def brute_vectors(rows, least=0.98):
