@@ -194,7 +194,7 @@ ORACLE_SQL = {
         FROM marked GROUP BY doc_id
     """,
     # The given pages hold no canonical link and no redirect, so every address
-    # is a component of its own; a page's aliases are its other spellings.
+    # is a component of its own; a page's aliases are its other spellings (no path has dot segments).
     "op10_url_filter": r"""
         WITH rules(verdict, rhost, rpath) AS (
             VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
@@ -206,25 +206,30 @@ ORACLE_SQL = {
             SELECT page_id,
                    translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                   array_to_string(list_filter(
+                       string_split(coalesce(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), ''), '&'),
+                       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm(_[a-z]+)?|gclid|fbclid)(=|$)')), '&') AS query
             FROM rests),
         spots AS (
-            SELECT DISTINCT host, path,
+            SELECT DISTINCT host, path, query,
                    CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') ||
-                       regexp_replace(regexp_replace(path, '(\.html?|/)$', ''), '/(index)?$', '') END AS node
+                       regexp_replace(regexp_replace(path, '(\.html?|/)$', ''), '/(index)?$', '') ||
+                       CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS node
             FROM parts),
         fits AS (
-            SELECT s.host, s.path, s.node, r.verdict, r.rhost || r.rpath AS rule,
+            SELECT s.host, s.path, r.verdict, r.rhost || r.rpath AS rule,
                    row_number() OVER (PARTITION BY s.host, s.path ORDER BY length(r.rhost || r.rpath) DESC) AS nth
-            FROM spots s JOIN rules r
+            FROM (SELECT DISTINCT host, path FROM parts) s JOIN rules r
               ON (s.host = r.rhost OR s.host LIKE '%.' || r.rhost) AND starts_with(s.path, r.rpath)),
-        best AS (SELECT host, path, node, verdict, rule FROM fits WHERE nth = 1),
-        spread AS (SELECT node, bool_or(verdict = 'allow') AS allowed FROM best GROUP BY node)
+        best AS (SELECT host, path, verdict, rule FROM fits WHERE nth = 1),
+        spread AS (
+            SELECT node, bool_or(verdict = 'allow') AS allowed FROM spots JOIN best USING (host, path) GROUP BY node)
         SELECT p.page_id, p.host, p.path, b.rule,
                coalesce(b.verdict, CASE WHEN a.allowed THEN 'allow' WHEN NOT a.allowed THEN 'block' END, 'allow') AS verdict
         FROM parts p
         LEFT JOIN best b ON p.host = b.host AND p.path = b.path
-        LEFT JOIN spots s ON p.host = s.host AND p.path = s.path
+        LEFT JOIN spots s ON p.host = s.host AND p.path = s.path AND p.query = s.query
         LEFT JOIN spread a ON s.node = a.node
     """,
     # Windows start from their word that is rarest in the table; every other word

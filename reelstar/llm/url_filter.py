@@ -3,8 +3,9 @@
 A rule fits a host and its subdomains when the path starts with the rule's; the
 longest wins.  Pages that no rule fits get the verdict of their aliases: URLs
 connected by canonical links, by redirects (``meta refresh``) and by forms of
-one address (scheme, ``www.``/``m.``, query, fragment, trailing slash or
-``.html``).  In a component an allow rule on any address wins over a block
+one address (scheme, ``www.``/``m.``, fragment, tracking parameters, dot segments,
+trailing slash or ``.html``).  Any other query is part of the address: ``/go?u=1``
+and ``/go?u=2`` are two.  In a component an allow rule on any address wins over a block
 rule; without either the page is allowed.
 
 DataFrame operations only.  Rules are matched by joining every page's host
@@ -52,10 +53,34 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(rest_of(url), r"(?s)^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def address(host: Column, path: Column) -> Column:
+def query_of(url: Column) -> Column:
+    return F.coalesce(F.regexp_extract(rest_of(url), r"(?s)^[^?#]*\?([^#]*)", 1), F.lit(""))
+
+
+#: Parameters that name a campaign or a click, not a page.
+TRACKING = r"^(utm(_[a-z]+)?|gclid|fbclid)(=|$)"
+
+
+def without_dots(path: Column) -> Column:
+    """``path`` with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    whole = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), step)
+    # a path that ends in a dot segment names a folder
+    out = F.concat(F.array_join(whole, "/"), F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), out).otherwise(path)
+
+
+def address(host: Column, path: Column, query: Column) -> Column:
     """The form that the spellings of one address share; null without a host."""
-    plain = F.regexp_replace(F.regexp_replace(path, r"(\.html?|/)$", ""), r"/(index)?$", "")
-    return F.when(host != "", F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), plain))
+    plain = F.regexp_replace(F.regexp_replace(without_dots(path), r"(\.html?|/)$", ""), r"/(index)?$", "")
+    kept = F.array_join(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(TRACKING)), "&")
+    return F.when(host != "", F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), plain,
+                                       F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
 
 
 _CANONICAL = (r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)""")
@@ -117,42 +142,43 @@ def url_filter(pages: DataFrame, rules: DataFrame | None = None, id_col: str = "
     spark = pages.sparkSession
     rules = rule_table(spark) if rules is None else rules
     url = F.col(quoted(url_col))
-    seen = pages.select(F.col(quoted(id_col)).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    seen = pages.select(F.col(quoted(id_col)).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"),
+                        query_of(url).alias("query"))
     ruled = settled(matched(seen, rules))
 
-    def edge(host: Column, path: Column, to: Column) -> list[Column]:
-        return [address(host, path).alias("a"), address(host_of(to), path_of(to)).alias("b")]
+    def of_url(to: Column) -> Column:
+        return address(host_of(to), path_of(to), query_of(to))
 
     found = []
     if html_col:
-        at = pages.select(host_of(url).alias("host"), path_of(url).alias("path"), F.col(quoted(html_col)).alias("html"))
+        at = pages.select(host_of(url).alias("host"), path_of(url).alias("path"), of_url(url).alias("a"),
+                          F.col(quoted(html_col)).alias("html"))
         for mark, pattern in (("canonical", _CANONICAL), ("refresh", _REFRESH)):
             has = at.filter(F.lower("html").contains(mark))
             to = has.withColumn("target", F.explode(F.regexp_extract_all("html", F.lit(pattern), 1)))
-            found.append(to.select(*edge(F.col("host"), F.col("path"),
-                                         resolved(F.col("target"), F.col("host"), F.col("path")))))
+            found.append(to.select("a", of_url(resolved(F.col("target"), F.col("host"), F.col("path"))).alias("b")))
     if links is not None:
-        a, b = F.col("from_url"), F.col("to_url")
-        found.append(links.select(*edge(host_of(a), path_of(a), b)))
+        found.append(links.select(of_url(F.col("from_url")).alias("a"), of_url(F.col("to_url")).alias("b")))
     # Spellings of one address are one node already; edges join addresses.
     nothing = spark.createDataFrame([], "a string, b string")
     parts = connected_components(reduce(DataFrame.unionByName, found, nothing))
 
-    judged = ruled.select(address(F.col("host"), F.col("path")).alias("node"), "said")
+    spot = ["host", "path", "query"]
+    spots = seen.select(*spot).distinct().withColumn("node", address(*map(F.col, spot)))
+    judged = spots.join(ruled, ["host", "path"]).select("node", "said")
     of_part = (
         judged.join(parts, "node", "left")
         .groupBy(F.coalesce("component", "node").alias("component"))
         .agg(F.max(F.col("said") == "allow").alias("allowed"))
     )
-    spots = seen.select("host", "path").distinct().withColumn("node", address(F.col("host"), F.col("path")))
     known = (
         spots.join(parts, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
         .join(of_part, "component", "left")
         .join(ruled, ["host", "path"], "left")
-        .select("host", "path", "rule", "component",
+        .select(*spot, "rule", "component",
                 F.coalesce("said", F.when(F.col("allowed"), "allow").when(~F.col("allowed"), "block"),
                            F.lit("allow")).alias("verdict"))
     )
-    out = seen.join(known, ["host", "path"], "left")
+    out = seen.join(known, spot, "left")
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", "verdict", "component")

@@ -291,6 +291,22 @@ def test_embeddings_repeated_rows(spark):
 
 # --- URLs ------------------------------------------------------------------
 
+def test_url_addresses_keep_the_query_and_resolve_dots(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url=%s">'
+    pages = [
+        (1, "http://a.com/go?u=1", refresh % "http://bad.net/x"), (2, "http://a.com/go?u=2", ""), (3, "http://a.com/go", ""),
+        (4, "https://www.a.com/go/?utm_source=mail&u=1#top", ""), (5, "http://bad.net/x", ""),
+        (6, "http://c.com/p/q", '<link rel="canonical" href="../x">'), (7, "http://c.com/x", refresh % "http://bad.net/y"),
+        (8, "http://c.com/p/./r/../../x/.", ""), (9, "http://bad.net/y", ""), (10, "http://c.com/p/../../x?", ""),
+        (11, "http://c.com/.well/..x", ""), (12, "http://c.com/p/x", ""),
+    ]
+    got = {r.page_id: (r.verdict, r.component) for r in U.url_filter(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {k for k, (v, _) in got.items() if v == "block"} == {1, 4, 5, 6, 7, 8, 9, 10}
+    assert got[2][1] == "a.com/go?u=2" and got[3][1] == "a.com/go" and got[11][1] == "c.com/.well/..x"
+    assert got[6][1] == got[7][1] == got[8][1] == got[9][1] == got[10][1]
+
+
 def test_urls_match_sql(spark, duck):
     got = queries.op10_url_filter(spark, SF)
     want = duck.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL['op10_url_filter']})").fetchall()
