@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (as_of_date, as_of_ts, completion_percent, delay_seconds,
                                 is_late_arrival, is_within_48h)
 from ..schemas import RATINGS, WATCH_SESSIONS
+from .joins import salted_lookup
 
 
 def late_arrival(events: DataFrame) -> DataFrame:
@@ -21,16 +22,16 @@ def late_arrival(events: DataFrame) -> DataFrame:
     )
 
 
-def with_duration(events: DataFrame, dim_content: DataFrame) -> DataFrame:
+def with_duration(events: DataFrame, dim_content: DataFrame, hot_titles: list | None = None) -> DataFrame:
     """Left join of the title duration (the planner picks the join from byte
-    statistics; AQE splits a hot title)."""
+    statistics; AQE splits a hot title, or the titles given are salted)."""
     durations = dim_content.select("content_id", "duration_minutes")
-    return events.join(durations, "content_id", "left")
+    return salted_lookup(events, durations, "content_id", hot_titles or [], "event_id")
 
 
 def build_watch_sessions(new_events: DataFrame, dim_content: DataFrame,
-                         as_of: _dt.datetime | str) -> DataFrame:
-    e = with_duration(new_events, dim_content)
+                         as_of: _dt.datetime | str, hot_titles: list | None = None) -> DataFrame:
+    e = with_duration(new_events, dim_content, hot_titles)
     return e.select(
         "session_id", "user_id", "content_id", "event_type", "device_type",
         "watch_duration_seconds",

@@ -21,6 +21,7 @@ from .. import schemas
 from ..functions.aggregates import count_if
 from ..functions.scalar import ntz_lit
 from ..operators import dims, engagement, enrich, fact as fact_ops, features, incremental, quality, scd2
+from ..operators.joins import heavy_keys
 from ..sources.ledger import LOAD, LOAD_DATE, Loads, among, days_of
 from ..sources.tables import BUCKET, TableStore, row_count
 
@@ -52,6 +53,9 @@ class Options:
     # "auto": event and rating rows of loads are checked in the run that loads them, tables without load
     # numbers whole; "whole": all rows on every run; "increment": rows of the increment only
     gate: str = "auto"
+    # share of an increment's rows from which a user or title is measured as hot and its lookups are
+    # salted (one more pass over two columns of the increment); None: left to AQE's skew join
+    heavy_share: float | None = None
     stats: dict = field(default_factory=dict)
 
 
@@ -231,7 +235,8 @@ def run_silver(layers: Layers, as_of: _dt.datetime, opts: Options | None = None,
             s.append("dim_content", dims.dim_content(content, as_of))
         elif opts.refresh_static_dims:
             s.append("dim_content", dims.dim_content_unseen(content, s.read("dim_content"), as_of))
-        made = enrich.build_watch_sessions(new_events, s.read("dim_content"), as_of)
+        hot = heavy_keys(new_events, "content_id", opts.heavy_share) if opts.heavy_share else None
+        made = enrich.build_watch_sessions(new_events, s.read("dim_content"), as_of, hot)
         out["watch_sessions"] = _append_sessions(s, "watch_sessions", made, upto,
                                                  [count_if(F.col("is_late_arrival")).alias("late")])
 
@@ -289,7 +294,9 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
     if after is not None and after >= sessions.latest:
         out["fact"] = {"rows": 0}
     else:
-        new = fact_ops.build_fact(sessions.since(after), dim_user_current, as_of)
+        taken = sessions.since(after)
+        hot = heavy_keys(taken, "user_id", opts.heavy_share) if opts.heavy_share else None
+        new = fact_ops.build_fact(taken, dim_user_current, as_of, hot)
         out["fact"] = g.append("fact_watch_sessions", new, metrics=[row_count()], sole_writer=True,
                                upto={"watch_sessions": sessions.latest})
     fact = g.read("fact_watch_sessions")

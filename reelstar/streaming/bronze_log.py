@@ -30,6 +30,8 @@ from ..schemas import BRONZE
 from ..sources.files import Files
 from ..sources.ledger import LOAD, Loads
 
+#: Where a record stood in its topic; only the raw batches keep it.
+PARTITION, OFFSET = "kafka_partition", "kafka_offset"
 #: Folders that a day may have before they are merged.
 MAX_PARTS = 8
 _EMPTY = {"version": 0, "upto": -1, "parts": [], "retired": []}
@@ -64,7 +66,8 @@ def _schema(spark: SparkSession, root: str, seen: State, schema: T.StructType |
         if not some:
             raise ValueError(f"no committed batch below {root}; give the schema of the table")
         schema = spark.read.parquet(some[0]).schema
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema if f.name not in ("accepted", LOAD)])
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema
+                         if f.name not in ("accepted", LOAD, PARTITION, OFFSET)])
 
 
 def rows(spark: SparkSession, root: str, seen: State, schema: T.StructType, after: int | None = None) -> DataFrame:
@@ -110,7 +113,8 @@ def compact(spark: SparkSession, out_dir: str, schema: T.StructType | None = Non
 
     new = rows(spark, root, State({**_EMPTY, "upto": old["upto"]}, ready), schema)
     parts += written(new, ready[0], ready[-1])
-    retired = [f"{root}/batch_id={n}" for n in ready]
+    retired = [f"{root}/batch_id={n}" for n in ready] + [_offsets_file(root, n) for n in ready]
+    ranges = joined_ranges([*old.get("offsets", []), *_recorded(files, root, ready)])
     by_day: dict[str, list[dict]] = {}
     for p in parts:
         by_day.setdefault(p["day"], []).append(p)
@@ -123,6 +127,7 @@ def compact(spark: SparkSession, out_dir: str, schema: T.StructType | None = Non
             one, min(p["first"] for p in same), max(p["last"] for p in same))
         retired += [p["path"] for p in same]
     manifest = {"version": old["version"] + 1, "upto": ready[-1], "parts": parts, "retired": retired,
+                "offsets": ranges,
                 "at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
     files.put(f"{root}/_manifest/{manifest['version']:012d}.json", json.dumps(manifest))
     for path in old["retired"]:
@@ -130,6 +135,70 @@ def compact(spark: SparkSession, out_dir: str, schema: T.StructType | None = Non
     return manifest
 
 
+# -- offsets -----------------------------------------------------------------------
+
+def _offsets_file(root: str, batch: int) -> str:
+    return f"{root}/_offsets/{batch:019d}.json"
+
+
+def record_offsets(spark: SparkSession, out_dir: str, batch: int) -> None:
+    """Note the offset ranges of a committed batch: per topic partition first
+    and last offset and the number of records (rejects too).  Read from the
+    batch's own files, once; nothing for sources without offsets."""
+    root, files = out_dir.rstrip("/"), Files(spark)
+    path = _offsets_file(root, batch)
+    if files.exists(path):
+        return
+    written = spark.read.parquet(f"{root}/batch_id={batch}")
+    if OFFSET not in written.columns:
+        return
+    # one row per topic partition
+    found = written.groupBy(F.col(PARTITION).alias("partition")).agg(
+        F.min(OFFSET).alias("first"), F.max(OFFSET).alias("last"), F.count(F.lit(1)).alias("rows")).collect()
+    files.put(path, json.dumps([{**r.asDict(), "batch": batch} for r in found]))
+
+
+def _recorded(files: Files, root: str, batches: list[int]) -> list[dict]:
+    there = files.names(f"{root}/_offsets")
+    return [r for n in batches if f"{n:019d}.json" in there for r in json.loads(files.read(_offsets_file(root, n)))]
+
+
+def joined_ranges(ranges: list[dict]) -> list[dict]:
+    """Ranges that follow each other without a gap become one."""
+    out: list[dict] = []
+    for r in sorted(ranges, key=lambda r: (r["partition"], r["first"], r["last"])):
+        last = out[-1] if out else None
+        if last and last["partition"] == r["partition"] and last["last"] + 1 == r["first"]:
+            out[-1] = {**last, "last": r["last"], "rows": last["rows"] + r["rows"], "batch": r["batch"]}
+        else:
+            out.append(dict(r))
+    return out
+
+
+def offset_ranges(spark: SparkSession, out_dir: str) -> list[dict]:
+    """The offsets that the stream's batches hold, per topic partition."""
+    root = out_dir.rstrip("/")
+    seen = state(spark, root)
+    return joined_ranges([*seen.manifest.get("offsets", []), *_recorded(Files(spark), root, seen.batches)])
+
+
+def offset_gaps(ranges: list[dict]) -> list[dict]:
+    """Offsets that are missing (``kind`` gap) or came more than once (repeat),
+    and ranges with fewer records than offsets (``kind`` sparse: transaction
+    marks, compacted topics, or loss)."""
+    out, reach = [], {}
+    for r in sorted(ranges, key=lambda r: (r["partition"], r["first"], r["last"])):
+        p, at = r["partition"], reach.get(r["partition"])
+        if at is not None and r["first"] > at + 1:
+            out.append({"kind": "gap", "partition": p, "first": at + 1, "last": r["first"] - 1})
+        elif at is not None and r["first"] <= at:
+            out.append({"kind": "repeat", "partition": p, "first": r["first"], "last": min(at, r["last"])})
+        if r["rows"] < r["last"] - r["first"] + 1:
+            out.append({"kind": "sparse", "partition": p, "first": r["first"], "last": r["last"]})
+        reach[p] = max(r["last"], r["last"] if at is None else at)
+    return out
+
+
 class StreamLoads(Loads):
     """The accepted rows of a stream as a source of increments by batch."""
 

@@ -31,7 +31,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scalar import as_of_ts, now_utc, parse_event_time
 from ..schemas import RATINGS_JSON, WATCH_JSON
 from ..sources.files import Files
-from .bronze_log import bronze_loads, compact, read_bronze  # noqa: F401  (the table side of the sink)
+from .bronze_log import (OFFSET, PARTITION, bronze_loads, compact, offset_gaps, offset_ranges,  # noqa: F401
+                         read_bronze, record_offsets)
 
 WATCH = ("watch_events", WATCH_JSON, "event_id")
 RATINGS = ("ratings_late", RATINGS_JSON, "rating_id")
@@ -42,8 +43,9 @@ ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
                  starting_offsets: str = "latest", fail_on_data_loss: bool = False,
                  max_offsets_per_trigger: int | None = 5_000_000) -> DataFrame:
-    """The topic's ``value``; a batch takes at most ``max_offsets_per_trigger``
-    records (the first one after a long stop would else be all of them)."""
+    """The topic's ``value`` with partition and offset; a batch takes at most
+    ``max_offsets_per_trigger`` records (the first one after a long stop would
+    else be all of them)."""
     reader = spark.readStream.format("kafka")
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
@@ -53,7 +55,7 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
             .option("startingOffsets", starting_offsets)
             .option("failOnDataLoss", str(fail_on_data_loss).lower())
             .load()
-            .select(F.col("value")))
+            .select("value", F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET)))
 
 
 def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -64,8 +66,10 @@ def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def parse_json_values(raw: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """``value`` (bytes or text) -> the payload's columns (``d.*``)."""
-    return raw.select(F.from_json(F.col(value_col).cast("string"), schema).alias("d")).select("d.*")
+    """``value`` (bytes or text) -> the payload's columns (``d.*``), and the
+    partition and offset of a source that has them."""
+    place = [c for c in (PARTITION, OFFSET) if c in raw.columns]
+    return raw.select(F.from_json(F.col(value_col).cast("string"), schema).alias("d"), *place).select("d.*", *place)
 
 
 def to_bronze(parsed: DataFrame, ingestion_time) -> DataFrame:
@@ -96,6 +100,7 @@ class BatchWriter:
         # a replay brings the same source records: what is committed stays as
         # it is, stamp included, under the eyes of the refreshes that read it
         if Files(batch_df.sparkSession).exists(f"{target}/_SUCCESS"):
+            record_offsets(batch_df.sparkSession, self.out_dir, batch_id)
             return
         stamped = to_bronze(batch_df, self.clock())
         stamped = stamped.withColumn("accepted", F.col(self.key).isNotNull())
@@ -103,6 +108,7 @@ class BatchWriter:
         # session's partition overwrite mode is at that moment
         (stamped.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("accepted").parquet(target))
+        record_offsets(batch_df.sparkSession, self.out_dir, batch_id)
 
 
 def start_ingest(raw: DataFrame, schema: T.StructType, key: str, out_dir: str, checkpoint: str,

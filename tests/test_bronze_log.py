@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelstar.plans import layers as L
-from reelstar.schemas import WATCH_JSON
+from reelstar.schemas import BRONZE_WATCH, WATCH_JSON
 from reelstar.session import work_dir
 from reelstar.sources.files import Files
 from reelstar.sources.fixtures import bind
@@ -93,3 +93,27 @@ def test_stream_loads_feed_silver_whatever_ids_repeat(spark, sf_dir):
     assert stats["watch_sessions"]["rows"] == 20
     silver = layers.silver.read("watch_sessions")
     assert silver.count() == 80 and silver.select("event_id").distinct().count() == 60
+
+
+def test_offset_ranges_and_gaps(spark):
+    out = f"{work_dir(spark, 't-offsets')}/watch_events"
+    def batch(n, *places):
+        rows = [('{"event_id": "e%d-%d"}' % p if p[1] % 3 else "{broken", *p) for p in places]
+        raw = spark.createDataFrame(rows, f"value string, {ingest.PARTITION} int, {ingest.OFFSET} long")
+        ingest.BatchWriter(out, "event_id", clock=lambda: T0)(ingest.parse_json_values(raw, WATCH_JSON), n)
+    batch(0, (0, 10), (0, 11), (1, 5))
+    batch(1, (0, 12), (0, 13))
+    assert bronze_log.offset_gaps(ingest.offset_ranges(spark, out)) == []
+    batch(1, (0, 12), (0, 13))  # a replay
+    batch(2, (0, 16), (1, 6), (1, 8))
+    batch(3, (0, 16), (0, 17))
+    want = [{"kind": "gap", "partition": 0, "first": 14, "last": 15},
+            {"kind": "repeat", "partition": 0, "first": 16, "last": 16},
+            {"kind": "sparse", "partition": 1, "first": 5, "last": 8}]
+    before = ingest.offset_ranges(spark, out)
+    assert bronze_log.offset_gaps(before) == want
+    ingest.compact(spark, out)
+    batch(4, (0, 18))
+    ingest.compact(spark, out)
+    assert bronze_log.offset_gaps(ingest.offset_ranges(spark, out)) == want
+    assert ingest.read_bronze(spark, out).columns == [f.name for f in BRONZE_WATCH.fields]
