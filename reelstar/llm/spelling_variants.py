@@ -12,8 +12,9 @@ words whose counts of the first groups agree.  A word lies in its own cell and i
 looked for in the cells its budget can reach, in one direction only, so that
 every pair meets once; the search goes on below with the budget that is left.  As
 many levels become the key as it takes for the largest cell to hold
-``CELL_WORDS`` words; cells that stay larger at the last level are dealt into
-blocks by hash, and both sides of a cell meet block by block.  A task returns
+``CELL_WORDS`` words; the cells that stay larger at the last level (fewer than the
+words by ``CELL_WORDS``, so they can be broadcast) are dealt into blocks by hash,
+and both sides of such a cell meet block by block.  A task returns
 one row per word and cell - how many near words, and the best of them - never
 the pairs.
 """
@@ -257,13 +258,13 @@ def steps(levels: int) -> list[list[int]]:
     return moves
 
 
-def _levels(vectors: DataFrame, cell_words: int) -> int:
-    """Levels of the trie that make up the key (all, if cells stay larger)."""
+def _levels(vectors: DataFrame, cell_words: int) -> tuple[int, bool]:
+    """Levels of the trie that make up the key, and whether cells stay larger."""
     for m in range(2, N_GROUPS):
         largest = vectors.groupBy(F.slice("v", 1, m)).agg(F.sum("c").alias("c")).agg(F.max("c")).first()[0]
         if (largest or 0) <= cell_words:
-            return m
-    return N_GROUPS - 1
+            return m, False
+    return N_GROUPS - 1, True
 
 
 def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
@@ -272,23 +273,28 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
     (ties: the smallest in code-point order)."""
     spread = settled(words.select("word", "n", vector_of(F.col("word")).alias("v")))
     vectors = settled(spread.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    m = _levels(vectors, cell_words)
-    cells = vectors.groupBy(F.slice("v", 1, m).alias("cell")).agg(
-        F.ceil(F.sum("c") / cell_words).cast("int").alias("blocks"))
+    m, crowded = _levels(vectors, cell_words)
+    large = vectors.groupBy(F.slice("v", 1, m).alias("cell")).agg(F.sum("c").alias("c")).filter(
+        F.col("c") > cell_words).select("cell", F.ceil(F.col("c") / cell_words).cast("int").alias("blocks"))
+
+    def dealt(rows: DataFrame, own: str, all_of: str) -> DataFrame:
+        """Rows with their block: ``own`` by hash, every one of ``all_of``."""
+        if not crowded:
+            return rows.withColumns({own: F.lit(0), all_of: F.lit(0)})
+        rows = rows.join(F.broadcast(large), "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        rows = rows.withColumn(all_of, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return rows.withColumn(own, F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")).drop("blocks")
+
     moves = F.array(*[F.array(*map(F.lit, s)) for s in steps(m)])
     rest = F.slice("v", m + 1, N_GROUPS - m).alias("rest")
-    block = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
-    homes = spread.withColumn("cell", F.slice("v", 1, m)).join(cells, "cell")
-    # a cell in several blocks: every block of words meets every block of queries
-    homes = homes.select("cell", block.alias("home"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("asker"),
-                         F.lit(True).alias("is_home"), rest, "word", "n", F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+    homes = spread.select(F.slice("v", 1, m).alias("cell"), F.lit(True).alias("is_home"), rest, "word", "n",
+                          F.lit(0).alias("plus"), F.lit(0).alias("minus"))
     asked = spread.select("word", "n", "v", F.explode(moves).alias("move")).select(
-        "word", "n", "v", F.zip_with(F.slice("v", 1, m), "move", lambda a, b: a + b).alias("cell"),
-        (1 - F.size(F.filter("move", lambda x: x > 0))).alias("plus"),
+        F.zip_with(F.slice("v", 1, m), "move", lambda a, b: a + b).alias("cell"), F.lit(False).alias("is_home"),
+        rest, "word", "n", (1 - F.size(F.filter("move", lambda x: x > 0))).alias("plus"),
         (1 - F.size(F.filter("move", lambda x: x < 0))).alias("minus"),
-    ).filter(~F.exists("cell", lambda x: x < 0)).join(cells, "cell")
-    asked = asked.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("home"), block.alias("asker"),
-                         F.lit(False).alias("is_home"), rest, "word", "n", "plus", "minus")
+    ).filter(~F.exists("cell", lambda x: x < 0))
+    both = dealt(homes, "home", "asker").unionByName(dealt(asked, "asker", "home"))
     schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n_near", T.LongType()),
                            T.StructField("neg", T.LongType()), T.StructField("best", T.StringType())])
     out = to_arrow_schema(schema)
@@ -304,10 +310,7 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
         found = search_cell(homes, queries)
         return pa.table([list(found), *([row[k] for row in found.values()] for k in range(3))], schema=out)
 
-    # one struct as the key: a plan that already deals by cell alone would keep a
-    # cell's blocks in one task
-    dealt = homes.unionByName(asked).withColumn("deal", F.struct("cell", "home", "asker")).drop("cell", "home", "asker")
-    partial = dealt.groupBy("deal").applyInArrow(search, schema)
+    partial = both.groupBy("cell", "home", "asker").applyInArrow(search, schema)
     return partial.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct("neg", "best")).alias("b")).select(
         "word", "n_near", (-F.col("b.neg")).alias("best_n"), F.col("b.best").alias("best"))
 
