@@ -71,7 +71,7 @@ SUCH DAMAGE."""),
 ]
 THRESHOLD = 0.8
 #: Lines that a wrapped notice may stand on.
-WINDOW_LINES = 8
+WINDOW_LINES = 6
 _GAP = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 
@@ -127,22 +127,29 @@ def anchors(rows: list[tuple], threshold: float) -> list[str]:
     return sorted(found)
 
 
+#: A text's name in the shuffles: 128 bits of hash.
+_TEXT = ["h", "g"]
+
+
+def named(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(7), "text")})
+
+
 def units_of(rows: DataFrame, anchor: Column, window_lines: int) -> DataFrame:
-    """``(id, path, h, first, n_lines, words)`` of the units of ``rows`` with an
-    anchor word: windows of lines (first line, number of lines) and the whole
-    text (first line -1).  A window's lines pass through a sliding frame, so a
-    text of any length is sorted, never held."""
-    some = rows.filter(F.arrays_overlap(words_of(F.col("text")), anchor)).withColumn("h", F.xxhash64("text")).distinct()
-    key = ["id", "path", "h"]
-    lines = some.select(*key, F.posexplode(F.split("text", "\n", -1)).alias("first", "line"))
+    """``(h, g, first, n_lines, words)`` of the units with an anchor word of
+    every distinct text of ``rows``: windows of lines (first line, number of
+    lines) and the whole text (first line -1).  A window's lines pass through
+    a sliding frame, so a text of any length is sorted, never held."""
+    some = named(rows.filter(F.arrays_overlap(words_of(F.col("text")), anchor)).select("text")).dropDuplicates(_TEXT)
+    lines = some.select(*_TEXT, F.posexplode(F.split("text", "\n", -1)).alias("first", "line"))
     hit = F.arrays_overlap(words_of(F.col("line")), anchor).cast("int")
-    ahead = Window.partitionBy(*key).orderBy("first").rowsBetween(0, window_lines - 1)
+    ahead = Window.partitionBy(*_TEXT).orderBy("first").rowsBetween(0, window_lines - 1)
     framed = lines.withColumn("hit", hit).select(
-        *key, "first", F.collect_list("line").over(ahead).alias("lines"), F.max("hit").over(ahead).alias("hit"),
+        *_TEXT, "first", F.collect_list("line").over(ahead).alias("lines"), F.max("hit").over(ahead).alias("hit"),
     ).filter("hit = 1")
-    windows = framed.select(*key, "first", "lines", F.explode(F.sequence(F.lit(1), F.size("lines"))).alias("n_lines"))
-    windows = windows.select(*key, "first", "n_lines", F.concat_ws("\n", F.slice("lines", 1, F.col("n_lines"))).alias("body"))
-    whole = some.select(*key, F.lit(-1).alias("first"), F.lit(0).alias("n_lines"), F.col("text").alias("body"))
+    windows = framed.select(*_TEXT, "first", "lines", F.explode(F.sequence(F.lit(1), F.size("lines"))).alias("n_lines"))
+    windows = windows.select(*_TEXT, "first", "n_lines", F.concat_ws("\n", F.slice("lines", 1, F.col("n_lines"))).alias("body"))
+    whole = some.select(*_TEXT, F.lit(-1).alias("first"), F.lit(0).alias("n_lines"), F.col("text").alias("body"))
     units = windows.unionByName(whole).withColumn("words", words_of(F.col("body"))).drop("body")
     return units.filter(F.arrays_overlap("words", anchor))
 
@@ -177,8 +184,8 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text
     anchor = F.array(*map(F.lit, anchors(weighted, threshold)))
     idf = table.select("term", "idf").distinct()
 
-    # A row is known by its id, path and text; equal rows have equal results.
-    unit = ["id", "path", "h", "first", "n_lines"]
+    # equal texts have equal units
+    unit = [*_TEXT, "first", "n_lines"]
     counted = units_of(rows, anchor, window_lines).select(*unit, F.explode("words").alias("term")).groupBy(
         *unit, "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
     # the template tables have a few hundred rows: a word of a template each
@@ -191,50 +198,44 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .groupBy(*unit, "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     )
 
-    def same(a: str, b: str) -> list[Column]:
-        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in unit]
-
     # a word weighs at least one, as its idf does
     near = settled(
-        dots.alias("d").join(norms.alias("n"), same("d", "n"))
-        .select(*[f"d.{c}" for c in unit], "license", "dot", "inside", "n_outside")
+        dots.join(norms, unit).select(*unit, "license", "dot", "inside", "n_outside")
         .filter(F.col("dot") >= (threshold - 1e-6) * F.sqrt(F.col("inside") + F.col("n_outside")))
     )
     outside = (
-        vectors.filter("idf IS NULL").alias("v")
-        .join(near.filter("n_outside > 0").select(*unit).distinct().alias("k"), same("v", "k"), "left_semi")
+        vectors.filter("idf IS NULL")
+        .join(near.filter("n_outside > 0").select(*unit).distinct(), unit, "left_semi")
         .join(held, "term")
         .withColumn("w", F.col("tf") * (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1))
         .groupBy(*unit).agg(F.sum(F.col("w") * F.col("w")).alias("outside"))
     )
     scored = settled(
-        near.alias("d").join(outside.alias("o"), same("d", "o"), "left")
-        .select(*[f"d.{c}" for c in unit], "license",
+        near.join(outside, unit, "left")
+        .select(*unit, "license",
                 F.round(F.col("dot") / F.sqrt(F.col("inside") + F.coalesce("outside", F.lit(0.0))), 6).alias("score"))
         .filter(F.col("score") >= threshold)
     )
     # windows that hold no smaller one: none that begins no earlier ends no later
     end = F.col("first") + F.col("n_lines")
-    later = Window.partitionBy("id", "path", "h").orderBy(F.col("first").desc(), "n_lines").rowsBetween(
+    later = Window.partitionBy(*_TEXT).orderBy(F.col("first").desc(), "n_lines").rowsBetween(
         Window.unboundedPreceding, -1)
     least = (
         scored.filter("first >= 0").select(*unit).distinct().withColumn("below", F.min(end).over(later))
         .filter(F.col("below").isNull() | (F.col("below") > end))
-        .groupBy("id", "path", "h").agg(F.count(F.lit(1)).alias("n_notices"))
+        .groupBy(*_TEXT).agg(F.count(F.lit(1)).alias("n_notices"))
     )
     rank = F.struct((-F.col("score")).alias("s"), F.col("license").alias("license"))
-    best = scored.groupBy("id", "path", "h").agg(
+    best = scored.groupBy(*_TEXT).agg(
         F.min(rank).alias("best"), F.min(F.when(F.col("first") < 0, rank)).alias("file"))
-    own = settled(
-        best.alias("b").join(least.alias("l"), [F.col(f"b.{c}").eqNullSafe(F.col(f"l.{c}")) for c in ("id", "path", "h")],
-                             "left").select("b.*", F.coalesce("n_notices", F.lit(0)).alias("n_notices"))
-    )
+    own = settled(best.join(least, _TEXT, "left").withColumn("n_notices", F.coalesce("n_notices", F.lit(0))))
+    base = named(rows).drop("text")
 
     def folder(path: Column) -> Column:
         return F.regexp_replace(path, r"/?[^/]*$", "")
 
     licensed = (
-        own.filter("file IS NOT NULL AND path IS NOT NULL")
+        base.filter("path IS NOT NULL").join(own.filter("file IS NOT NULL").select(*_TEXT, "file"), _TEXT)
         .groupBy(folder(F.col("path")).alias("at")).agg(F.min("file").alias("file"))
         .select("at", F.col("file.license").alias("given"))
     )
@@ -248,12 +249,7 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .agg(F.max(F.struct("depth", "at", "given")).alias("near"))
         .select("folder", "near.at", "near.given")
     )
-    base = rows.select("id", "path", F.xxhash64("text").alias("h")).withColumn("folder", folder(F.col("path")))
-    o = own.select(F.col("id").alias("oid"), F.col("path").alias("opath"), F.col("h").alias("oh"),
-                   "n_notices", "best", "file")
-    joined = base.join(
-        o, F.col("id").eqNullSafe(F.col("oid")) & F.col("path").eqNullSafe(F.col("opath")) & (F.col("h") == F.col("oh")),
-        "left").join(inherited, "folder", "left")
+    joined = base.withColumn("folder", folder(F.col("path"))).join(own, _TEXT, "left").join(inherited, "folder", "left")
     has = F.col("best").isNotNull()
     return joined.select(
         F.col("id").alias(id_col), F.col("path").alias(path_col),
