@@ -57,8 +57,8 @@ def test_incremental_gate_in_pipeline(spark, sf_dir):
     ).withColumn("ingestion_time", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
     layers.bronze.append("watch_events", late)
     n = b.watch_events.count() + 1
-    for opts, checked in ((L.Options(), n), (L.Options(), n), (L.Options(gate="increment"), 2)):
-        # the increment begins with the newest row of day 1
+    by_time = L.Options(increments="time", gate="increment")  # begins with the newest row of day 1
+    for opts, checked in ((L.Options(), 1), (L.Options(), 1), (L.Options(gate="whole"), n), (by_time, 2)):
         with pytest.raises(DataQualityError, match=f"watch_events.not_null:event_id: 1 of {checked}$"):
             L.run_silver(layers, dt.datetime(2024, 2, 5), opts)
     assert layers.silver.read("watch_sessions").count() == sessions_before
