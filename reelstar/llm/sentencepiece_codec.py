@@ -9,12 +9,16 @@ If no piece has a marker after another character and the normaliser changes
 nothing else, a text's ids are those of its *segments* (a run of spaces with
 what follows up to the next space), one after another.  Then every distinct
 segment is encoded once per task, in multithreaded batches; otherwise whole
-texts are.  Encoding, decoding and the parity check against the sentencepiece
-library run in one pass over the partitions, without a shuffle.
+texts are.  Decoding cuts the ids before every piece that begins with a marker
+(no run of byte pieces crosses such a cut), and the tokenizers decoder makes the
+text of every distinct stretch of ids, again in multithreaded batches.
+Encoding, decoding and the parity check against the sentencepiece library run in
+one pass over the partitions, without a shuffle.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 import zlib
@@ -33,8 +37,14 @@ from pyspark.sql import types as T
 from .common import SLICE_BYTES, map_texts, quoted
 
 MARK = "▁"
-#: Distinct segments whose ids a worker remembers.
-MEMO = 700_000
+#: Bytes of segments, and of stretches of ids, that a worker remembers (each).
+MEMO_BYTES = 160 << 20
+#: Longer segments are not remembered.
+LONGEST = 512
+#: What an entry of a dictionary takes beside its bytes.
+ENTRY_BYTES = 160
+#: Threads of a batch at least.
+THREADS = 2
 # Fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -174,18 +184,42 @@ def parts_of(text: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
     yield text[at:] if at else text
 
 
+class Memo(dict):
+    """A dictionary from bytes to bytes, emptied once it holds ``most`` bytes;
+    keys over ``LONGEST`` bytes stay for one batch only."""
+
+    def __init__(self, most: int = MEMO_BYTES):
+        super().__init__()
+        self.most, self.held, self.long = most, 0, []
+
+    def new_batch(self) -> None:
+        if self.held > self.most:
+            self.clear()
+            self.held = 0
+        for key in self.long:
+            self.pop(key, None)
+        self.long = []
+
+    def learn(self, keys: list[bytes], values: list[bytes]) -> None:
+        self.update(zip(keys, values, strict=True))
+        long = [k for k in keys if len(k) > LONGEST]
+        self.long += long
+        self.held += (sum(map(len, keys)) - sum(map(len, long)) + ENTRY_BYTES * len(keys)
+                      + sum(len(v) for k, v in zip(keys, values, strict=True) if len(k) <= LONGEST))
+
+
 class Codec:
     """Encoder and decoder of one task."""
 
-    def __init__(self, data: bytes, threads: int = 1, memo: int = MEMO):
+    def __init__(self, data: bytes, threads: int = THREADS, memo: int = MEMO_BYTES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         self.model = parse_model(data)
-        self.tokenizer, self.memo, self.most = build(self.model), {}, memo
-        self.bytes = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode()
-                      for p, _, t in self.model.pieces]
+        self.tokenizer, self.ids_of, self.text_of = build(self.model), Memo(memo), Memo(memo)
+        # where ids may be cut: before a piece with a leading marker
+        self.opens = np.array([p[:1] == MARK and t != BYTE for p, _, t in self.model.pieces])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of every text."""
@@ -193,27 +227,33 @@ class Codec:
             made = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(x.ids, dtype=np.uint32) for x in made]
         cut = [[segments(p) for p in parts_of(t)] for t in texts]
-        if len(self.memo) > self.most:
-            self.memo.clear()
-        new = list(set().union(*(words for parts in cut for words in parts)).difference(self.memo, [b""]))
+        self.ids_of.new_batch()
+        new = list(set().union(*(words for parts in cut for words in parts)).difference(self.ids_of, [b""]))
         # the normaliser puts back the space that segments() took off
         made = self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
-        self.memo.update((s, array("I", x.ids).tobytes()) for s, x in zip(new, made, strict=True))
+        self.ids_of.learn(new, [array("I", x.ids).tobytes() for x in made])
         lone = [t.id for t in self.tokenizer.model.tokenize(MARK)]  # a space with nothing after it
-        self.memo[b""] = array("I", lone).tobytes()
-        look = self.memo.__getitem__
+        self.ids_of[b""] = array("I", lone).tobytes()
+        look = self.ids_of.__getitem__
         return [np.frombuffer(b"".join(b"".join(map(look, words)) for words in parts), dtype=np.uint32) for parts in cut]
 
-    def spells(self, ids: np.ndarray, text: bytes) -> bool:
-        """Whether the ids' pieces, byte by byte, are the text."""
-        if len(ids) > 1 << 20:
-            return self.decode([ids])[0].encode() == text
-        made = b"".join(map(self.bytes.__getitem__, ids.tolist()))
-        return made[1 if self.model.dummy_prefix and made[:1] == b" " else 0:] == text
-
-    def decode(self, ids: list[np.ndarray]) -> list[str]:
-        """The text of every id sequence."""
-        return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The text of every id sequence, in UTF-8."""
+        if not self.model.dummy_prefix:
+            return [t.encode() for t in self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)]
+        cut = []
+        for x in ids:
+            raw = x.astype(np.uint32, copy=False).tobytes()
+            at = (4 * np.flatnonzero(self.opens[x])).tolist()
+            at = [*([0] if raw and at[:1] != [0] else []), *at, len(raw)]
+            cut.append([raw[s:e] for s, e in itertools.pairwise(at)])
+        self.text_of.new_batch()
+        new = list(set().union(*cut).difference(self.text_of))
+        made = self.tokenizer.decode_batch([np.frombuffer(r, dtype=np.uint32).tolist() for r in new],
+                                           skip_special_tokens=False)
+        self.text_of.learn(new, [t.encode() for t in made])
+        # the decoder takes the space of the leading marker off every stretch
+        return [b" ".join(map(self.text_of.__getitem__, runs)) for runs in cut]
 
 
 def model_bytes(path: str) -> bytes:
@@ -246,8 +286,8 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     ``ids_crc32`` (ids as little-endian 32-bit), ``round_trip`` (decoding the ids
     gives the text back), ``parity`` (the sentencepiece library gives the same
     ids; null without ``verify``) and, if asked for, ``ids``.  Batches are
-    encoded by ``threads`` threads: as many as the cores Spark gives a task
-    (``spark.task.cpus``) unless said otherwise.
+    encoded, decoded and verified by ``threads`` threads: as many as the cores
+    Spark gives a task (``spark.task.cpus``), two at least, unless said otherwise.
 
     Each text is encoded whole.  Null text stays null with null results; an
     empty text has no ids.  A model that normalises texts gives ``round_trip``
@@ -256,7 +296,8 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     column are replaced.
     """
     def make() -> Callable:
-        codec = Codec(model, threads or TaskContext.get().cpus())
+        many = threads or max(THREADS, TaskContext.get().cpus())
+        codec = Codec(model, many)
         native = None
         if verify:
             import sentencepiece
@@ -269,11 +310,11 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
                 ids = codec.encode(group)
                 out["n_tokens"] += map(len, ids)
                 out["ids_crc32"] += [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
-                out["round_trip"] += [codec.spells(x, t) for x, t in zip(ids, group, strict=True)]
+                out["round_trip"] += [x == t for x, t in zip(codec.decode(ids), group, strict=True)]
                 if native is None:
                     out["parity"] += [None] * len(ids)
                 else:
-                    want = native.encode([t.decode() for t in group], num_threads=1)
+                    want = native.encode([t.decode() for t in group], num_threads=many)
                     out["parity"] += [x.tolist() == y for x, y in zip(ids, want, strict=True)]
                 if with_ids:
                     out["ids"] += [x.astype(np.int64) for x in ids]
@@ -296,11 +337,11 @@ def decode_ids(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: st
     at = f"c{kept.index(ids_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, threads or TaskContext.get().cpus())
+        codec = Codec(model, threads or max(THREADS, TaskContext.get().cpus()))
         for batch in batches:
             given = batch.column(at).to_pylist()
             texts = codec.decode([np.array(x or [], dtype=np.uint32) for x in given])
-            texts = [None if x is None else t for x, t in zip(given, texts, strict=True)]
+            texts = [None if x is None else t.decode() for x, t in zip(given, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(texts, type=pa.string())],
                                              names=[*inner, "text"])
 

@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import map_texts
-from .sentencepiece_codec import BYTE, MARK, Model, parse_model, parts_of, segments
+from .sentencepiece_codec import BYTE, ENTRY_BYTES, LONGEST, MARK, Model, parse_model, parts_of, segments
 
-#: Distinct segments whose counts a worker remembers.
-MEMO = 400_000
+#: Bytes of segments whose counts a worker remembers; longer ones than LONGEST are not.
+MEMO_BYTES = 160 << 20
 _UNK_PENALTY = 10.0
 
 
@@ -42,48 +42,52 @@ class Counter:
             if p:
                 self.find.add_word(p, (len(p), score))
         self.find.make_automaton()
+        self.ring = max([len(p) for p, _, _ in model.pieces] + [1]) + 2
         self.unknown = min(s for _, s, _ in model.pieces) - _UNK_PENALTY
 
     def __call__(self, text: str) -> tuple[float, int]:
-        n = len(text)
-        best: list[float | None] = [0.0, *[None] * n]
-        count = [0] * (n + 1)
+        n, ring = len(text), self.ring
+        # what is known of an end stands at its number modulo the ring, which is
+        # two longer than the longest piece, so that no match looks back further
+        best: list[float | None] = [0.0, *[None] * (ring - 1)]
+        count = [0] * ring
         # whether the best path to an end closes with an unknown
-        closed = bytearray(n + 1)
-        single = bytearray(n + 1)
+        closed = bytearray(ring)
+        single = bytearray(ring)
         done = 0  # ends up to here are final
 
         def finish(last: int) -> None:
-            """Offer the unknown character, the latest start, to the ends up to ``last``."""
+            """Offer the unknown character, the latest start, to the ends up to
+            ``last``, and clear the place of the end after each."""
             for end in range(done + 1, last + 1):
-                if single[end]:
-                    continue
-                total = best[end - 1] + self.unknown
-                if best[end] is None or total > best[end]:
-                    if self.bytes_too:
-                        more = len(text[end - 1].encode())
-                    else:
-                        more = 0 if closed[end - 1] else 1
-                    best[end], count[end], closed[end] = total, count[end - 1] + more, 1
+                at, before, after = end % ring, (end - 1) % ring, (end + 1) % ring
+                if not single[at]:
+                    total = best[before] + self.unknown
+                    if best[at] is None or total > best[at]:
+                        if self.bytes_too:
+                            more = len(text[end - 1].encode())
+                        else:
+                            more = 0 if closed[before] else 1
+                        best[at], count[at], closed[at] = total, count[before] + more, 1
+                best[after], closed[after], single[after] = None, 0, 0
 
         # matches come by their ends, those of one end by ascending starts
         for at, (size, score) in self.find.iter(text):
             if at > done:
                 finish(at)
                 done = at
-            end = at + 1
-            start = end - size
+            end, start = (at + 1) % ring, (at + 1 - size) % ring
             total = best[start] + score
             if best[end] is None or total > best[end]:
                 best[end], count[end] = total, count[start] + 1
             if size == 1:
                 single[end] = 1
         finish(n)
-        return best[n], count[n]
+        return best[n % ring], count[n % ring]
 
 
 def token_counts(docs: DataFrame, model: bytes, text_col: str = "text", keep: list[str] | None = None,
-                 memo: int = MEMO) -> DataFrame:
+                 memo: int = MEMO_BYTES) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default) with ``n_tokens`` (long) and
     ``score`` (double, the best path's) under the pieces and scores of a
     sentencepiece model file, taken as a unigram vocabulary.
@@ -100,18 +104,26 @@ def token_counts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     def make() -> Callable:
         counter = Counter(parse_model(model))
         seen: dict[bytes, tuple[float, int]] = {}
+        held = 0
 
         def count(raw: bytes | None) -> tuple[float | None, int | None]:
+            nonlocal held
             if raw is None:
                 return None, None
             score, n = 0.0, 0
             for part in parts_of(raw):
                 words = segments(part)
-                if len(seen) > memo:
+                if held > memo:
                     seen.clear()
-                for s in set(words).difference(seen):
+                    held = 0
+                for s in (new := set(words).difference(seen)):
                     seen[s] = counter((MARK + s.decode()).replace(" ", MARK))
+                    held += len(s) + ENTRY_BYTES
                 got = list(map(seen.__getitem__, words))
+                for s in new:
+                    if len(s) > LONGEST:
+                        del seen[s]
+                        held -= len(s) + ENTRY_BYTES
                 score += sum(g[0] for g in got)
                 n += sum(g[1] for g in got)
             return score, n

@@ -20,8 +20,10 @@ import numpy as np
 
 from .common import slices
 
-#: Distinct words whose ids a worker remembers.
-MEMO = 600_000
+#: Bytes of words and their ids that a worker remembers.
+MEMO_BYTES = 160 << 20
+#: What a word takes beside its bytes.
+ENTRY_BYTES = 120
 #: Bytes of text encoded together.
 GROUP = 1 << 20
 
@@ -43,7 +45,7 @@ _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\t-\r {_LETT
 class WordIds:
     """``encode(texts)``: an id array per text (null: empty)."""
 
-    def __init__(self, path: str, memo: int = MEMO):
+    def __init__(self, path: str, memo: int = MEMO_BYTES):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
@@ -79,6 +81,7 @@ class WordIds:
 
     def _clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.held = 0
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)  # ends[k + 1]: end of word k in ids
 
@@ -101,6 +104,7 @@ class WordIds:
         self.ids[start:need] = ids
         self.ends[at + 1: at + 1 + len(words)] = start + np.cumsum(lengths)
         self.number.update(zip(words, range(at, at + len(words)), strict=True))
+        self.held += sum(map(len, words)) + ENTRY_BYTES * len(words) + 4 * (need - start)
 
     def encode(self, texts: Iterable[bytes | None]) -> list[np.ndarray]:
         texts = [t or b"" for t in texts]
@@ -128,7 +132,7 @@ class WordIds:
             else:
                 whole.append(part)
                 ends.append(-1)
-        if len(self.number) > self.most:
+        if self.held > self.most:
             self._clear()
         if new := set(words).difference(self.number):
             self._learn(sorted(new))

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from dataclasses import replace
 
@@ -73,9 +74,37 @@ def test_codec_parity_and_round_trip(spark, piece_model, texts):
     codec = C.Codec(piece_model, memo=200)
     ids = [x for k in range(0, len(given), 50) for x in codec.encode([t.encode() for t in given[k: k + 50]])]
     assert [x.tolist() for x in ids] == native.encode(given)
-    assert codec.decode(ids) == native.decode([x.tolist() for x in ids])
-    for t, x in zip(given, ids, strict=True):
-        assert codec.spells(x, t.encode()) == (native.decode(x.tolist()) == t)
+    assert [t.decode() for t in codec.decode(ids)] == native.decode([x.tolist() for x in ids])
+    # ids that no text gives: any order of pieces, bytes that are no UTF-8
+    rng = np.random.default_rng(5)
+    loose = [rng.integers(3, 1000, rng.integers(0, 40)).astype(np.uint32) for _ in range(300)]
+    whole = codec.tokenizer.decode_batch([x.tolist() for x in loose], skip_special_tokens=False)
+    assert [t.decode() for t in codec.decode(loose)] == whole
+
+
+def test_memos_are_bounded_by_bytes(piece_model):
+    codec = C.Codec(piece_model, memo=1 << 20)
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        batch = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (20_000, 300, 300, 12)]
+        ids = codec.encode(batch)
+        assert codec.decode(ids) == batch
+        for memo in (codec.ids_of, codec.text_of):
+            assert sum(len(k) + len(v) for k, v in memo.items() if len(k) <= C.LONGEST) <= (1 << 20) + 21_000 * 8
+            assert sum(len(k) > C.LONGEST for k in memo) <= len(batch)
+
+
+def test_count_of_a_long_unbroken_text_takes_little_memory(piece_model):
+    counter = K.Counter(C.parse_model(piece_model))
+    text = "▁" + "abcdefghij" * 100_000
+    tracemalloc.start()
+    score, n = counter(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * len(text)  # the search's own copy of the text, four bytes a character
+    # a period's count is settled: the difference of two lengths grows in proportion
+    short, longer = counter("▁" + "abcdefghij" * 100)[1], counter("▁" + "abcdefghij" * 200)[1]
+    assert n == short + (longer - short) * 999 and score < 0
 
 
 def test_codec_query_and_decode(spark, odd_docs, no_docs, piece_model):
@@ -126,7 +155,7 @@ def test_token_counts_match_the_tokenizer(spark, texts, piece_model):
     for i, t in texts:
         assert got[i].n_tokens == len(whole.encode(t, add_special_tokens=False).ids)
     odd = strange_texts()
-    rows = K.token_counts(spark.createDataFrame([(t,) for t in odd], "text string"), piece_model, memo=20).collect()
+    rows = K.token_counts(spark.createDataFrame([(t,) for t in odd], "text string"), piece_model, memo=2_000).collect()
     for r in rows:
         assert r.n_tokens == len(whole.encode(r.text, add_special_tokens=False).ids)
     counter = K.Counter(model)
