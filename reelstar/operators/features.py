@@ -19,6 +19,7 @@ The user's attributes are those of the current dimension row (one per user).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,9 +27,12 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import count_if, exact_avg_rounded, exact_sum, mode_of
 from ..functions.scalar import as_of_ts, churn_label, days_since, ratio_percent
 from ..schemas import CHURN_FEATURES, DAILY_USER_BASE
+from ..sources.ledger import among
 
 DAY_KEYS = ["user_id", "event_date"]
 USER_ATTRS = ["age_band", "subscription_tier", "country", "signup_date"]
+ROLLED = ["sessions_7d", "watch_hours_7d", "watch_time_30d"]
+LOOKBACK_DAYS = 30  # of the longest frame
 
 
 def mode_per_group(df: DataFrame, keys: list[str], value: str, out: str,
@@ -85,7 +89,8 @@ def daily_user_base(fact: DataFrame, dim_content: DataFrame) -> DataFrame:
 
 
 def with_user_attrs(base: DataFrame, dim_user_current: DataFrame) -> DataFrame:
-    """Attach the user's current attributes and the derived day measures."""
+    """Attach the user's current attributes and the derived day measures
+    (rolling sums that ``base`` has already stay)."""
     attrs = dim_user_current.select("user_id", *USER_ATTRS)
     d = base.join(attrs, "user_id", "left")
     return d.select(
@@ -95,6 +100,7 @@ def with_user_attrs(base: DataFrame, dim_user_current: DataFrame) -> DataFrame:
         "unique_content_watched", "late_arrival_count",
         ratio_percent("finish_count", "sessions_count").alias("finish_rate"),
         days_since("date", "signup_date").alias("days_since_signup"),
+        *[c for c in ROLLED if c in base.columns],
     )
 
 
@@ -124,8 +130,36 @@ def with_rolling(daily: DataFrame) -> DataFrame:
     )
 
 
+def days_reached(days: Iterable[_dt.date | None]) -> list[_dt.date | None]:
+    """The days whose frames hold one of ``days``.  Rows without a day see each
+    other only."""
+    return _spread(days, range(LOOKBACK_DAYS + 1))
+
+
+def days_seen(days: Iterable[_dt.date | None]) -> list[_dt.date | None]:
+    """The days that the frames of ``days`` hold."""
+    return _spread(days, range(-LOOKBACK_DAYS, 1))
+
+
+def _spread(days: Iterable[_dt.date | None], by: range) -> list[_dt.date | None]:
+    given = set(days)
+    dated = {d + _dt.timedelta(days=k) for d in given if d is not None for k in by}
+    return [None] * (None in given) + sorted(dated)
+
+
+def rolled_of_days(base: DataFrame, days: list[_dt.date | None]) -> DataFrame:
+    """``with_rolling`` of the rows of ``days`` alone: reads these days and the
+    30 before each (static filters, partitions where ``base`` has them by day),
+    however long the history is."""
+    near = base.filter(among(F.col("date"), days_seen(days)))
+    return with_rolling(near).filter(among(F.col("date"), days))
+
+
 def churn_from_daily(daily: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
-    d = with_rolling(daily)
+    return _labelled(with_rolling(daily), as_of)
+
+
+def _labelled(d: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     return d.select(
         "*",
         churn_label("finish_rate", "sessions_count", "days_since_signup").alias("churn_label"),
@@ -138,8 +172,8 @@ def churn_features(fact: DataFrame, dim_user_current: DataFrame, dim_content: Da
     return churn_from_daily(daily_user(fact, dim_user_current, dim_content), as_of)
 
 
-def churn_features_from_base(base: DataFrame, dim_user_current: DataFrame,
-                             as_of: _dt.datetime | str) -> DataFrame:
-    """Churn features rebuilt from the stored per user-day roll-up: the input
-    is one row per active user-day, not the events."""
-    return churn_from_daily(with_user_attrs(base, dim_user_current), as_of)
+def churn_features_from_rolled(rolled: DataFrame, dim_user_current: DataFrame,
+                               as_of: _dt.datetime | str) -> DataFrame:
+    """Churn features from the stored user-days with their rolling sums: no
+    window left, only the join with the current attributes."""
+    return _labelled(with_user_attrs(rolled, dim_user_current), as_of)

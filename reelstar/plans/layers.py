@@ -85,6 +85,7 @@ PARTITIONS = {
     "watch_sessions": ("processing_date",),
     "fact_watch_sessions": ("event_date",),
     "daily_user_base": ("date",),
+    "daily_user_rolled": ("date",),
 }
 # Tables that only grow: every row carries the number of the load that brought
 # it, so the next layer reads loads, not time stamps.  Those without a day of
@@ -94,6 +95,7 @@ GOLD_TABLES = {
     "fact_watch_sessions": schemas.FACT_WATCH,
     "daily_engagement": schemas.DAILY_ENGAGEMENT,
     "daily_user_base": schemas.DAILY_USER_BASE,
+    "daily_user_rolled": schemas.DAILY_USER_ROLLED,
     "churn_features": schemas.CHURN_FEATURES,
 }
 
@@ -340,10 +342,22 @@ def run_gold(layers: Layers, as_of: _dt.datetime, opts: Options | None = None) -
             some = features.daily_user_base(fact.filter(among(F.col("event_date"), days)), dim_content)
             out["daily_user_base"] = g.overwrite_partitions("daily_user_base", some, metrics=[row_count()],
                                                             upto=upto, sole_writer=True)
-        # churn features: current attributes hold for all history and the
-        # rolling frames span 31 days, so the table is rebuilt - from the
-        # roll-up (one row per active user-day), not from the events
-        rows = features.churn_features_from_base(g.read("daily_user_base"), dim_user_current, as_of)
+        # rolling sums do not depend on the user's attributes: new facts change
+        # those of their own days and of the 30 after, the rest stays as it is
+        base = g.read("daily_user_base")
+        days = affected("daily_user_rolled", whole=opts.refresh_static_dims)
+        if days == []:
+            out["daily_user_rolled"] = {"rows": 0}
+        elif days is None:
+            out["daily_user_rolled"] = g.replace_all("daily_user_rolled", features.with_rolling(base),
+                                                     metrics=[row_count()], upto=upto, sole_writer=True)
+        else:
+            some = features.rolled_of_days(base, features.days_reached(days))
+            out["daily_user_rolled"] = g.overwrite_partitions("daily_user_rolled", some, metrics=[row_count()],
+                                                              upto=upto, sole_writer=True)
+        # current attributes hold for all history and every row carries the
+        # stamp of the run: replaced whole, by one join without a window
+        rows = features.churn_features_from_rolled(g.read("daily_user_rolled"), dim_user_current, as_of)
         out["churn_features"] = g.replace_all("churn_features", rows, metrics=[row_count()])
 
     _together(g.spark, kpis, churn)

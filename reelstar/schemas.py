@@ -110,6 +110,9 @@ DAILY_USER_BASE = _struct(
     ("play_count", L), ("pause_count", L), ("stop_count", L), ("finish_count", L),
     ("unique_content_watched", L), ("late_arrival_count", L),
 )
+# The same with the rolling sums of the user up to the day.
+DAILY_USER_ROLLED = T.StructType([
+    *DAILY_USER_BASE.fields, *_struct(("sessions_7d", L), ("watch_hours_7d", D), ("watch_time_30d", D)).fields])
 
 CONNECTIVITY_TEST = _struct(("id", L), ("message", S), ("ts", TS))
 
