@@ -14,8 +14,12 @@
    of near copies sends one edge per member, not one per pair.
 5. Connected components over the edges.
 
-A task holds the classes at home in its current tile (the fullest tile has
-about 0.15 % of all distinct fingerprints); visitors stream past in blocks.
+A tile of more than ``HOME_ROWS`` classes (a large group of near copies, or a
+very large table) is cut into blocks by a hash of the fingerprint: visitors go
+to every block, and a class of one block visits the blocks before it, so each
+pair still meets in one place.  A task holds one block of about ``HOME_ROWS``
+classes; visitors stream past in parts.  The tiles that are cut are broadcast:
+there are at most 17^4 tiles, whatever the input.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +41,9 @@ RADIUS = 3
 SEED = 42
 _QUARTER = 16
 _BASE = _QUARTER + 1  # counts of a quarter: 0..16
+_POWERS = np.array([_BASE**3, _BASE**2, _BASE, 1], dtype=np.int64)
 _BLOCK = 1 << 20  # comparisons of one numpy block
+HOME_ROWS = 1 << 15  # classes at home in one block of a tile
 
 
 def _hashes(text: bytes, width: int) -> Iterator[np.ndarray]:
@@ -92,12 +98,35 @@ def _offsets(radius: int) -> np.ndarray:
     return np.array([d for d in near if next(x for x in d if x) > 0], dtype=np.int64)
 
 
+def tile_of(fp: Column) -> Column:
+    """The number of a fingerprint's tile, as the tasks count it."""
+    mask = F.lit((1 << _QUARTER) - 1).cast("long")
+    parts = [F.bit_count(F.shiftrightunsigned(fp, _QUARTER * k).bitwiseAND(mask)) for k in range(4)]
+    return sum((p * int(w) for p, w in zip(parts[1:], _POWERS[1:], strict=True)), parts[0] * int(_POWERS[0])).cast("int")
+
+
+def _blocks_of_tiles(distinct: DataFrame, home_rows: int) -> DataFrame:
+    """``(tile, blocks)`` of the tiles that are cut."""
+    sizes = distinct.groupBy(tile_of(F.col("fp")).alias("tile")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.filter(F.col("n") > home_rows).select(
+        "tile", F.ceil(F.col("n") / home_rows).cast("int").alias("blocks"))
+
+
+def _dealt(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``(tile, block, visits, fp)``: every row in the block it is at home in and,
+    as a visitor, in the blocks of its tile that it is to meet."""
+    own = F.when(~F.col("visits"), F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    cut = rows.join(F.broadcast(blocks), "tile", "left")
+    last = F.coalesce(own, F.col("blocks") - 1, F.lit(0))  # at home: the blocks before its own
+    spread = cut.select("tile", "visits", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    return spread.select("tile", "block", (F.col("visits") | F.coalesce(F.col("block") < F.col("own"), F.lit(False)))
+                         .alias("visits"), "fp")
+
+
 def _quarters(fp: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fp.view(np.uint16).reshape(-1, 4)).astype(np.int64)
 
 
-_POWERS = np.array([_BASE**3, _BASE**2, _BASE, 1], dtype=np.int64)
-
 
 def _to_tiles(radius: int):
     offsets = _offsets(radius)
@@ -138,7 +167,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
 
 
 class _Tile:
-    """The classes at home in one tile and the forest of their links."""
+    """The classes at home in one block of a tile and the forest of their links."""
 
     def __init__(self, radius: int):
         self.radius, self.home, self.label = radius, np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
@@ -176,10 +205,11 @@ class _Tile:
 
 def _compare(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (tile, visits): home rows of a tile first."""
+        """Rows come sorted by (tile, block, visits): home rows of a block first."""
         tile, now = _Tile(radius), None
         for batch in batches:
-            tiles = batch.column("tile").to_numpy(zero_copy_only=False)
+            tiles = (batch.column("tile").to_numpy(zero_copy_only=False).astype(np.int64) << 32) + \
+                batch.column("block").to_numpy(zero_copy_only=False)
             visits = batch.column("visits").to_numpy(zero_copy_only=False)
             fps = batch.column("fp").to_numpy(zero_copy_only=False)
             cuts = np.nonzero((np.diff(tiles) != 0) | (visits[1:] != visits[:-1]))[0] + 1
@@ -204,15 +234,17 @@ def _edge_rows(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = RADIUS, home_rows: int = HOME_ROWS) -> DataFrame:
     """Edges ``(a, b)`` between the distinct values of ``fps.fp`` that connect
     all values at a distance of at most ``radius`` bits, directly or through
-    other edges (a spanning forest of every tile, not all pairs)."""
+    other edges (a spanning forest of every block of a tile, not all pairs).
+    ``home_rows`` is layout only."""
     distinct = fps.select("fp").distinct()
+    rows = distinct.mapInArrow(_to_tiles(radius), "tile int, visits boolean, fp long")
     dealt = (
-        distinct.mapInArrow(_to_tiles(radius), "tile int, visits boolean, fp long")
-        .repartition("tile")
-        .sortWithinPartitions("tile", "visits")
+        _dealt(rows, _blocks_of_tiles(distinct, home_rows))
+        .repartition("tile", "block")
+        .sortWithinPartitions("tile", "block", "visits")
     )
     return dealt.mapInArrow(_compare(radius), "a long, b long")
 

@@ -204,6 +204,53 @@ def test_simhash_links_at_three_bits_not_four(spark):
     assert edges.count() < 4 * len(signed)  # a forest, not all pairs
 
 
+def test_simhash_cuts_a_tile_of_near_copies(spark):
+    """A group of near (not exact) copies that fills a few tiles: blocks of a tile
+    meet pair by pair, and no block holds the group."""
+    rng = np.random.default_rng(9)
+    base = int(rng.integers(0, 2**62))
+
+    def swapped(x):  # a set and an unset bit of two quarters each: the same tile
+        for q in rng.choice(3, 2, replace=False):
+            bits = [16 * int(q) + k for k in range(16)]
+            x ^= 1 << int(rng.choice([k for k in bits if x >> k & 1])) | 1 << int(
+                rng.choice([k for k in bits if not x >> k & 1]))
+        return x
+
+    group = {swapped(base) for _ in range(200)} | {base ^ 1 << k for k in range(40)}
+    far = [int(x) for x in rng.integers(0, 2**62, 100)]
+    fps = sorted(group | set(far) | {base})
+    df = spark.createDataFrame([(x,) for x in fps], "fp long").repartition(5)
+    tiles = {r.fp: r.tile for r in df.select("fp", H.tile_of(F.col("fp")).alias("tile")).collect()}
+    counts = Counter(tiles.values())
+    assert all(t == int(H._quarters(np.array([x], dtype=np.int64))[0] @ H._POWERS) for x, t in tiles.items())
+    assert max(counts.values()) > 40
+    want = defaultdict(set)
+    for x, p in zip(fps, brute_groups(fps), strict=True):
+        want[p].add(x)
+    for home_rows in (1, 7, 1 << 15):
+        parts = {r.node: r.component for r in connected_components(H.near_links(df, home_rows=home_rows)).collect()}
+        got = defaultdict(set)
+        for x in fps:
+            got[parts.get(x, x)].add(x)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    rows = df.mapInArrow(H._to_tiles(3), "tile int, visits boolean, fp long")
+    dealt = H._dealt(rows, H._blocks_of_tiles(df, 7)).collect()
+    home = [r for r in dealt if not r.visits]
+    assert Counter(r.fp for r in home) == Counter(fps)  # at home once
+    assert max(Counter((r.tile, r.block) for r in home).values()) < 30 < max(counts.values())
+    # any two classes of a tile meet in exactly one block, once as host at least
+    at = defaultdict(lambda: (set(), set()))
+    for r in dealt:
+        if tiles[r.fp] == r.tile:
+            at[r.tile, r.block][r.visits].add(r.fp)
+    met = Counter()
+    for hosts, guests in at.values():
+        met.update(frozenset((a, b)) for a in hosts for b in hosts | guests if a < b or b in guests)
+    assert set(met.values()) == {1}
+    assert len(met) == sum(n * (n - 1) // 2 for n in counts.values())
+
+
 def test_simhash_odd_rows(odd_docs, no_docs, monkeypatch):
     got = H.simhash_groups(odd_docs).collect()
     assert len(got) == 14
