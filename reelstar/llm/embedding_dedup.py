@@ -16,16 +16,21 @@
    task; connected components unite the forests across passes.
 
 The number of key bits follows from the number of classes, so unrelated vectors
-rarely share a key; more passes raise the recall.
+rarely share a key.  Longer keys are shared less often, so the number of passes
+follows from the bits: a pair exactly at the cosine shares a whole key in some
+pass with a chance of ``RECALL`` at every size (8 passes at 16 bits, 22 at a
+billion classes), before what the windows add.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +40,8 @@ from .components import connected_components
 from .simhash_dedup import forest
 
 COSINE = 0.98
-PASSES = 8
+RECALL = 0.96
+PASSES = 8  # at least
 BLOCK = 256
 MAX_BITS = 40
 SEED = 42
@@ -45,18 +51,26 @@ def _planes(dim: int, passes: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, passes * bits))
 
 
-def usable(column: pa.Array, kind: str) -> tuple[list[int], list[np.ndarray]]:
+def passes_for(bits: int, cosine: float = COSINE, recall: float = RECALL) -> int:
+    """Passes after which two unit vectors at that cosine have shared a whole key
+    of ``bits`` signs with a chance of at least ``recall``.  A random plane parts
+    them with a chance of angle / pi; the windows only add to it."""
+    same = (1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi) ** bits
+    return PASSES if same >= 1 else max(PASSES, math.ceil(math.log(1 - recall) / math.log1p(-same)))
+
+
+def usable(column: pa.Array, kind: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The vectors that can have links (not null, empty or zero, all components
-    finite) and where they stand."""
-    good, rows = [], []
-    for k, v in enumerate(column.to_pylist()):
-        if not v or None in v:
-            continue
-        x = np.asarray(v, dtype=kind)
-        if np.isfinite(x).all() and x.any():
-            good.append(k)
-            rows.append(x)
-    return good, rows
+    finite) by dimension: where they stand, and a matrix of them."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)  # a null component is not a number
+    starts = np.cumsum(size) - size
+    for width in np.unique(size[size > 0]).tolist():
+        at = np.nonzero(size == width)[0]
+        x = flat[starts[at][:, None] + np.arange(width)]
+        good = np.isfinite(x).all(axis=1) & x.any(axis=1)
+        if good.any():
+            yield at[good], x[good]
 
 
 def units(x: np.ndarray) -> np.ndarray:
@@ -72,21 +86,20 @@ def _project(passes: int, bits: int, seed: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                good, rows = usable(part.column("v"), kind)
-                keys = []
-                for x in rows:
-                    if len(x) not in planes:
-                        planes[len(x)] = _planes(len(x), passes, bits, seed)
-                    signs = (units(x[None])[0] @ planes[len(x)] > 0).reshape(passes, bits)
-                    keys.append(signs.astype(np.int64) @ powers)
-                take = pa.array(good, type=pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("cid").take(take), part.column("label").take(take), part.column("copies").take(take),
-                     pa.array([x.tobytes() for x in rows], type=pa.binary()),
-                     pa.array([k.tolist() for k in keys], type=pa.list_(pa.int64()))],
-                    names=["cid", "label", "copies", "v", "keys"])
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
+                for at, x in usable(part.column("v"), kind):
+                    width = x.shape[1]
+                    if width not in planes:
+                        planes[width] = _planes(width, passes, bits, seed)
+                    signs = (units(x) @ planes[width] > 0).reshape(len(x), passes, bits)
+                    take = pa.array(at)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("cid").take(take), part.column("label").take(take),
+                         part.column("copies").take(take),
+                         pa.array([row.tobytes() for row in x], type=pa.binary()),
+                         pa.array((signs.astype(np.int64) @ powers).tolist(), type=pa.list_(pa.int64()))],
+                        names=["cid", "label", "copies", "v", "keys"])
 
     return run
 
@@ -178,13 +191,14 @@ def _pairs(held: list[pa.RecordBatch], job, cosine: float, kind: str) -> Iterato
             [pa.array(cid[some]), pa.array(cid[parent[some]]), pa.array(counts[some])], names=["cid", "other", "links"])
 
 
-def class_links(classes: DataFrame, cosine: float = COSINE, passes: int = PASSES, block: int = BLOCK,
+def class_links(classes: DataFrame, cosine: float = COSINE, passes: int | None = None, block: int = BLOCK,
                 seed: int = SEED) -> DataFrame:
     """``(cid, other, links)`` from classes ``(cid, label, v, copies)``: how many
     vectors the class was found linked to (to be summed), and one edge of the
     spanning forest."""
     kind = "<f4" if classes.schema["v"].dataType.elementType == T.FloatType() else "<f8"
     bits = int(min(MAX_BITS, max(8, np.ceil(np.log2(classes.count() + 1)))))
+    passes = passes or passes_for(bits, cosine)
     projected = settled(classes.select("cid", "label", "copies", "v").mapInArrow(
         _project(passes, bits, seed, kind), f"cid long, label {classes.schema['label'].dataType.simpleString()}, "
                                             "copies long, v binary, keys array<long>"))
@@ -203,7 +217,7 @@ def class_links(classes: DataFrame, cosine: float = COSINE, passes: int = PASSES
 
 
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    label_col: str = "label", cosine: float = COSINE, passes: int = PASSES,
+                    label_col: str = "label", cosine: float = COSINE, passes: int | None = None,
                     block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row of ``vectors``.
 
@@ -212,6 +226,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     directly; ``component_id``: smallest id reachable by links, itself
     included; ``kept``: it is that id.
 
+    ``passes``: None takes as many as :func:`passes_for` finds for the size.
+
     A vector that is null, empty or zero or has a null or non-finite component,
     and one whose label is null, has no link.  Vectors of different dimensions
     are not linked.  Repeated rows are vectors of their own (each links to the
@@ -223,11 +239,12 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         vectors = vectors.withColumn(vector_col, F.col(quoted(vector_col)).cast("array<double>"))
     rows = vectors.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).alias("label"),
                           F.col(quoted(vector_col)).alias("v"))
-    # copies of a vector share a label and a 128-bit hash
-    hashed = rows.withColumn("h", F.xxhash64("v")).withColumn("g", F.xxhash64(F.lit(7), "v"))
-    able = F.col("label").isNotNull() & F.col("v").isNotNull()
+    # copies of a vector share a label and a 128-bit hash; Spark's hashes pass over
+    # null components, so vectors with one get none
+    able = F.col("label").isNotNull() & F.forall("v", lambda x: x.isNotNull())
+    hashed = rows.withColumn("h", F.when(able, F.xxhash64("v"))).withColumn("g", F.when(able, F.xxhash64(F.lit(7), "v")))
     grouped = (
-        hashed.filter(able).groupBy("label", "h", "g")
+        hashed.filter("h IS NOT NULL").groupBy("label", "h", "g")
         .agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
     )
     classes = settled(grouped.withColumn("cid", F.xxhash64("label", "h", "g")))

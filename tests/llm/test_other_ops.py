@@ -5,6 +5,7 @@ import re
 import tracemalloc
 from collections import Counter, defaultdict
 from dataclasses import replace
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -18,7 +19,7 @@ from reelstar.llm import sentencepiece_codec as C
 from reelstar.llm import token_counts as K
 from reelstar.llm import url_filter as U
 from reelstar.llm.components import connected_components
-from reelstar.llm.embedding_dedup import embedding_dedup
+from reelstar.llm.embedding_dedup import _planes, embedding_dedup, passes_for
 
 SF = "/root/testdata/sf0.001"
 
@@ -311,6 +312,36 @@ def test_embeddings_recall_and_odd_rows(spark):
     assert embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_passes_follow_the_key_length():
+    assert [passes_for(b) for b in (8, 16)] == [8, 8] and passes_for(16, 1.0) == 8
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = 0.98 * x + math.sqrt(1 - 0.98**2) * y  # pairs exactly at the threshold
+    for bits in (16, 24, 30):
+        passes = passes_for(bits)
+        assert passes > 8 or bits == 16
+        planes = _planes(24, passes, bits, 42)
+        same = ((x @ planes > 0) == (y @ planes > 0)).reshape(len(x), passes, bits).all(axis=2).any(axis=1)
+        assert same.mean() > 0.94  # on equal keys alone
+
+
+def test_embeddings_of_other_kinds_and_lengths(spark):
+    rows = [(1, 0, [1.0, 0.0]), (2, 0, [1.0, 0.01]), (3, 0, [1.0, 0.0, 0.0]), (4, 0, [1.0, None, 0.0]), (5, 0, None),
+            (6, 0, [1.0, 0.0, 0.02]), (7, 0, []), (8, 0, [0.0, 0.0, 0.0]), (9, 0, [float("nan"), 1.0])]
+    for kind in ("double", "float", "decimal(10,4)"):
+        given = rows if not kind.startswith("d") or kind == "double" else [r for r in rows if r[0] != 9]
+        if kind.startswith("decimal"):
+            given = [(i, p, v and [None if c is None else Decimal(str(c)) for c in v]) for i, p, v in given]
+        df = spark.createDataFrame(given, f"vec_id long, label int, embedding array<{kind}>")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup(df).collect()}
+        linked = {1: (1, 1), 2: (1, 1), 3: (1, 3), 6: (1, 3)}
+        assert got == {i: linked.get(i, (0, i)) for i, _, _ in given}
+
+
 def test_embeddings_repeated_rows(spark):
     rows = [(5, 1, [1.0, 0.0]), (5, 1, [1.0, 0.0]), (3, 1, [2.0, 0.0]), (None, 1, [1.0, 0.0]), (9, 2, [1.0, 0.0])]
     got = embedding_dedup(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
