@@ -492,3 +492,24 @@ def test_quality_threshold_needs_enough_trusted(spark):
     assert set(Q.held_out_threshold(docs, few, flat)) == {Q.THRESHOLD}
     every = [r[0] for r in docs.select("doc_id").collect()]
     assert set(Q.held_out_threshold(docs, (frozenset(every[::2]), frozenset(every[1::2])), flat)) == {0.0}
+
+
+@pytest.fixture(scope="module")
+def many_trusted(spark):
+    """21,000 documents, all of them trusted; the 1,000 of the largest hashes of
+    the id hold words of their own."""
+    common, other = (" ".join(f"{w}{k}" for k in range(25)) for w in ("common", "other"))
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"))
+    late = docs.orderBy(F.xxhash64("doc_id").desc()).limit(1_000).withColumn("late", F.lit(True))
+    text = F.when(F.col("late"), other).otherwise(common)
+    return docs.join(F.broadcast(late), "doc_id", "left").select("doc_id", text.alias("text")).cache()
+
+
+def test_quality_counts_every_trusted_row(spark, many_trusted):
+    halves = Q.dealt(many_trusted)
+    n = {r.half: r["count"] for r in halves.groupBy("half").count().collect()}
+    assert n == {0: 10_500, 1: 10_500}
+    counts = Q.ngram_counts(many_trusted, halves).agg(F.sum("n_raw"), F.sum(F.col("n_first") + F.col("n_second"))).first()
+    assert tuple(counts) == (21_000 * 49,) * 2
+    judged = Q.quality_rules(many_trusted, many_trusted, keep=["doc_id"])
+    assert judged.filter("abs(llr) > 0.1 OR NOT kept").count() == 0
