@@ -513,3 +513,11 @@ def test_quality_counts_every_trusted_row(spark, many_trusted):
     assert tuple(counts) == (21_000 * 49,) * 2
     judged = Q.quality_rules(many_trusted, many_trusted, keep=["doc_id"])
     assert judged.filter("abs(llr) > 0.1 OR NOT kept").count() == 0
+
+
+def test_quality_stage_of_the_pipeline_counts_every_trusted_row(spark, many_trusted, tmp_path):
+    import corpus_pipeline as pipe
+
+    labels = many_trusted.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert pipe.quality_stage(spark, many_trusted, str(tmp_path)).count() == 21_000
