@@ -15,19 +15,22 @@ draw follows from a checksum of the value).
 Texts are cut into runs at blanks, and runs into tokens at quotes, commas,
 semicolons, ampersands and braces, after a key and after ``PART`` characters, so
 that the fields of dense text and the parts of a long run are tagged each on its own.
-Only tokens of a run with a digit, one of ``=_+/\\:"'-`` or eight capitals in a row can
-be part of a secret (others are tagged O by constraint), so a text decomposes
-exactly into short chains of neighbouring candidates.  Scanning is one pass
-without a shuffle; every text is scanned whole.
+Every token of every line is tagged, whatever its characters and however far its
+neighbours stand.  Scanning is one pass without a shuffle; every text is scanned whole.
+
+A token's score is a sum over itself and its neighbours, so the parts are worked
+out once per distinct token and worker (``Scorer``) and added up in arrays.  Where
+staying outside (O) beats every other tag by more than all transitions around it
+can make up for, O is part of the best sequence; Viterbi runs on the stretches
+between such tokens, which gives the best sequence of the whole line.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +54,9 @@ SAMPLE_CHAINS = 20_000
 FEATURE_SPACE = 1 << 16
 #: Features seen less often in training get no weight (rare neighbouring words).
 MIN_SEEN = 10
-_CHAIN_LIMIT = 64  # tokens of a training chain
+_CHAIN_LIMIT = 64  # tokens of a training chain; longer ones are cut into several
+#: Of the tokens without digit or mark, one in so many is trained on.
+PLAIN = 16
 #: Alphabets and lengths of the values that take the place of found ones.
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = (
@@ -72,6 +77,10 @@ _CUTS = "\"'`,;&{}"
 _TOKEN_RE = re.compile(r"[^\x20\x09-\x0D%s]{1,%d}" % (_CUTS, PART))
 _MARK_RE = re.compile(r"""[0-9=_+/\\:"'-]|[A-Z]{8}""")
 _BLANK_RE = re.compile(r"[\x20\x09-\x0D]")
+_BREAKS = "\n\x0b\x0c\r"
+_RAW_RE = re.compile(r"[%s]+|%s" % (_BREAKS, _TOKEN_RE.pattern))
+#: Distinct tokens whose scores a worker remembers (about 300 bytes each).
+MEMO_TOKENS = 500_000
 
 Span = tuple[int, int, int]  # start, index of the kind, end
 
@@ -90,7 +99,14 @@ def base_spans(text: str, raw: bytes) -> list[tuple[Span, tuple[int, int]]]:
     return sorted(found)
 
 
+_CLASSES = str.maketrans(_LOWER + _LOWER.upper() + _DIGITS, "a" * 26 + "A" * 26 + "9" * 10)
+_RUN_RE = re.compile(r"(.)\1+", re.DOTALL)
+
+
 def _shape(token: str) -> str:
+    if token.isascii():
+        short = _RUN_RE.sub(r"\1", token.translate(_CLASSES))
+        return short[:8] + ("+" if len(short) > 8 else "")
     out = []
     for c in token:
         k = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
@@ -144,45 +160,85 @@ def file_features(text: str, candidates: int) -> list[str]:
             f"density={min((1000 * candidates // (len(text) + 1)).bit_length(), 6)}"]
 
 
-def chains(text: str, blind: bool = False) -> Iterator[list[tuple[int, int, list[int]]]]:
-    """Chains of neighbouring candidate tokens: (start, end, feature numbers);
-    ``blind``: without the words of keys and neighbours."""
-    spans: list[tuple[int, int]] = []
-    at = 0
+def split_key(token: str) -> list[str]:
+    """A token, cut after a leading key."""
+    key = _KEY_RE.match(token)
+    return [token[:key.end()], token[key.end():]] if key and key.end() < len(token) else [token]
+
+
+def _assigned(token: str) -> str:
+    # a colon assigns like an equals sign, as in the patterns
+    return token.replace(":", "=")
+
+
+def _last(token: str, blind: bool = False) -> list[str]:
+    x = _assigned(token)
+    return [f"last_shape={_shape(x)}"] + ([] if blind else [f"last={_word(x)}"])
+
+
+def _next(token: str, blind: bool = False) -> list[str]:
+    return [f"next_shape={_shape(token)}"] + ([] if blind else [f"next={_word(token)}"])
+
+
+def _before(token: str) -> list[str]:
+    return [f"before={_word(_assigned(token))}"]
+
+
+def _keyed(before: str, last: str) -> list[str]:
+    x = _assigned(last)
+    return [f"keyed={_word(x) or _word(before)}|{x if len(x) < 3 else ''}"]
+
+
+def numbers(names: list[str]) -> list[int]:
+    return [zlib.crc32(n.encode()) % FEATURE_SPACE for n in names]
+
+
+def marked_runs(text: str) -> list[tuple[int, int]]:
+    """Places of the runs between blanks with a digit, a mark or eight capitals."""
+    runs, at = [], 0
     while m := _MARK_RE.search(text, at):
         start = m.start()
         while start and not _BLANK_RE.match(text[start - 1]):
             start -= 1
         end = _BLANK_RE.search(text, m.end())
         at = end.start() if end else len(text)
-        for t in _TOKEN_RE.finditer(text, start, at):
-            key = _KEY_RE.match(text, *t.span())
-            cut = [key.end()] if key and key.end() < t.end() else []
-            spans += itertools.pairwise([t.start(), *cut, t.end()])
-    common = file_features(text, len(spans))
-
-    def near(start: int, end: int) -> list[str]:
-        left = _TOKEN_RE.findall(text[max(0, start - 80): start])[-2:]
-        right = _TOKEN_RE.findall(text[end: end + 60])[:1]
-        # a colon assigns like an equals sign, as in the patterns
-        left = [""] * (2 - len(left)) + [x.replace(":", "=") for x in left]
-        right = right or [""]
-        if blind:
-            return [f"last_shape={_shape(left[1])}", f"next_shape={_shape(right[0])}", *["blind"] * 4]
-        return [f"last={_word(left[1])}", f"last_shape={_shape(left[1])}", f"before={_word(left[0])}",
-                f"next={_word(right[0])}", f"next_shape={_shape(right[0])}",
-                f"keyed={_word(left[1]) or _word(left[0])}|{left[1] if len(left[1]) < 3 else ''}"]
-
+        runs.append((start, at))
+    return runs
+
+
+def chains(text: str, blind: bool = False, pick: Callable[[int, int], bool] | None = None
+           ) -> Iterator[list[tuple[int, int, list[int]]]]:
+    """The tokens of every line as a chain: (start, end, feature numbers).
+    ``blind``: without the words of keys and neighbours; ``pick``: chains of
+    neighbouring tokens with ``pick(start, end)`` only."""
+    raw = [m.span() for m in _RAW_RE.finditer(text)]
+    words = [text[s:e] for s, e in raw if text[s] not in _BREAKS]
+    common = file_features(text, sum(bool(_MARK_RE.search(w)) for w in words))
+    around = ["", "", *words, ""]
     chain: list[tuple[int, int, list[int]]] = []
-    for k, (start, end) in enumerate(spans):
-        if chain and text[spans[k - 1][1]: start].strip(" \t" + _CUTS):
-            yield chain
-            chain = []
-        elif chain and "\n" in text[spans[k - 1][1]: start]:
-            yield chain
+    k = 0
+    for start, end in raw:
+        if text[start] in _BREAKS:
+            if chain:
+                yield chain
             chain = []
-        names = ["bias", *_own_features(text[start:end], blind), *near(start, end), *common]
-        chain.append((start, end, [zlib.crc32(n.encode()) % FEATURE_SPACE for n in names]))
+            continue
+        before, last, own, after = around[k: k + 4]
+        k += 1
+        pieces = split_key(own)
+        for j, piece in enumerate(pieces):
+            place = (start, start + len(piece)) if not j else (end - len(piece), end)
+            if pick and not pick(*place):
+                if chain:
+                    yield chain
+                chain = []
+                continue
+            left = (last, pieces[0]) if j else (before, last)
+            right = pieces[1] if not j and len(pieces) > 1 else after
+            names = ["bias", *_own_features(piece, blind), *_last(left[1], blind), *_next(right, blind),
+                     *(["blind"] * 4 if blind else [*_before(left[0]), *_keyed(*left)]), *common]
+            # blind features keep their number, so that all rows have as many
+            chain.append((*place, numbers(names)))
     if chain:
         yield chain
 
@@ -199,7 +255,9 @@ class Field:
 
     def decode(self, features: list[list[int]]) -> list[int]:
         """Viterbi; a chain begins after an outside token and ends before one."""
-        score = self.weights[np.array(features)].sum(axis=1)
+        return self.path(self.weights[np.array(features)].sum(axis=1))
+
+    def path(self, score: np.ndarray) -> list[int]:
         best = score[0] + self.moves[O]
         back = []
         for emit in score[1:]:
@@ -211,6 +269,190 @@ class Field:
             tags.append(int(step[tags[-1]]))
         return tags[::-1]
 
+    def outside(self, score: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where O is part of the best path for sure; ``ends``: the last of a chain.
+
+        A path with another tag there is compared with one that has O instead,
+        and B instead of a following I (O goes to no I)."""
+        m = self.moves
+        up = np.append(score[1:, I] - score[1:, B], -np.inf)
+        up[ends] = -np.inf
+        sure = np.ones(len(score), dtype=bool)
+        for x in (B, I):
+            turn = (m[:, x] - m[:, O]).max()
+            plain = turn + (m[x, :I] - m[O, :I]).max()
+            inner = turn + m[x, I] - m[O, B] + (m[I] - m[B]).max()
+            sure &= score[:, O] - score[:, x] > np.maximum(plain, inner + up) + 1e-9
+        return sure
+
+
+class Scorer:
+    """Tags whole texts by a field; remembers the parts of the scores of
+    distinct tokens."""
+
+    PARTS = 7  # own, of the part after the key, as last, before, next, and next and last inside of it
+
+    def __init__(self, field: Field, most: int = MEMO_TOKENS):
+        self.field, self.most = field, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.pairs: dict[tuple[str, str], np.ndarray] = {}
+        self.table = np.zeros((1024, self.PARTS, 3))
+        self.flags = np.zeros((1024, 4), dtype=bool)  # cut after a key, a mark, no word, no word in the key
+        self.own: dict[tuple[str, int, bool], list[int]] = {}
+        self.breaks = np.zeros(1024, dtype=bool)
+        self._learn({""})
+
+    def _sum(self, names: list[str]) -> np.ndarray:
+        return self.field.weights[numbers(names)].sum(axis=0)
+
+    def _own(self, token: str) -> list[int]:
+        """The numbers of the token's own features, the token having no key."""
+        start, end = value_of(token, 0, len(token))
+        value = token[start:end]
+        if not (value.isascii() and value.isalpha() and len(value) < 20):
+            return numbers(_own_features(token, False))
+        key = _shape(value), len(value), not value.strip("abcdef")
+        if key not in self.own:
+            self.own[key] = numbers(_own_features(token, False))
+        return self.own[key]
+
+    def _learn(self, tokens: set[str]) -> None:
+        size = len(self.at)
+        while size + len(tokens) > len(self.table):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+            self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
+            self.breaks = np.concatenate((self.breaks, np.zeros_like(self.breaks)))
+        plain, found = [], []
+        for k, token in enumerate(tokens, size):
+            self.at[token] = k
+            self.breaks[k] = token[:1] in _BREAKS and token != ""
+            if "=" in token or ":" in token or not token:
+                self._learn_one(k, token)
+                continue
+            word = _word(token)
+            plain.append(k)
+            shape = _shape(token)
+            found += self._own(token)
+            found += numbers([f"last_shape={shape}", f"last={word}", f"before={word}", f"next_shape={shape}", f"next={word}",
+                              *_keyed("", token)])
+            self.flags[k] = False, bool(_MARK_RE.search(token)), not word, False
+        if plain:
+            w = self.field.weights[np.array(found).reshape(len(plain), -1)]
+            at = np.array(plain)
+            self.table[at, 0] = w[:, :-6].sum(axis=1)
+            # without a word the key's features hang on the token before, too
+            self.table[at, 2] = w[:, -6] + w[:, -5] + np.where(self.flags[at, 2][:, None], 0, w[:, -1])
+            self.table[at, 3] = w[:, -4]
+            self.table[at, 4] = w[:, -3] + w[:, -2]
+
+    def _learn_one(self, k: int, token: str) -> None:
+        row, pieces = np.zeros((self.PARTS, 3)), split_key(token)
+        worded = [bool(_word(x)) for x in (token, pieces[0])]
+        if token:
+            row[0] = self._sum(_own_features(pieces[0], False))
+        if len(pieces) > 1:
+            row[1] = self._sum(_own_features(pieces[1], False))
+            row[5] = self._sum(_next(pieces[1]))
+            row[6] = self._sum(_last(pieces[0]) + (_keyed("", pieces[0]) if worded[1] else []))
+        row[2] = self._sum(_last(token) + (_keyed("", token) if worded[0] else []))
+        row[3], row[4] = self._sum(_before(token)), self._sum(_next(token))
+        self.table[k] = row
+        cut = len(pieces) > 1
+        self.flags[k] = cut, bool(_MARK_RE.search(token)), not worded[0], cut and not worded[1]
+
+    def _pair(self, before: str, last: str) -> np.ndarray:
+        """The score of a key's features where the last token has no word."""
+        key = (_word(before), _assigned(last) if len(last) < 3 else "")
+        if key not in self.pairs:
+            self.pairs[key] = self._sum(_keyed(before, last))
+        return self.pairs[key]
+
+    def scores(self, text: str, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Score of every token for O, B, I, and the last ones of the chains."""
+        if len(self.at) > self.most:
+            self._clear()
+        if new := set(found).difference(self.at):
+            self._learn(new)
+        every = np.array(list(map(self.at.__getitem__, found)), dtype=np.int64)
+        cuts = self.breaks[every]
+        ids = every[~cuts]
+        if not len(ids):
+            return np.empty((0, 3)), np.empty(0, dtype=np.int64)
+        last = np.concatenate(([0], ids[:-1]))
+        before = np.concatenate(([0], last[:-1]))
+        after = np.append(ids[1:], 0)
+        t, (cut, mark, _, _) = self.table, self.flags[ids].T
+        first = t[ids, 0] + t[last, 2] + t[before, 3] + np.where(cut[:, None], t[ids, 5], t[after, 4])
+        bare = np.flatnonzero(self.flags[last, 2])
+        words = [w for w in found if w[0] not in _BREAKS] if len(bare) or cut.any() else []
+        around = ["", "", *words]
+        for k in bare.tolist():
+            first[k] += self._pair(around[k], around[k + 1])
+        place = np.arange(len(ids)) + np.cumsum(cut) - cut
+        score = np.empty((len(ids) + int(cut.sum()), 3))
+        score[place] = first
+        if cut.any():
+            at = np.flatnonzero(cut)
+            second = t[ids[at], 1] + t[ids[at], 6] + t[last[at], 3] + t[after[at], 4]
+            for j, k in enumerate(at.tolist()):
+                if self.flags[ids[k], 3]:
+                    second[j] += self._pair(around[k + 1], split_key(words[k])[0])
+            score[place[at] + 1] = second
+        score += self._sum(["bias", *file_features(text, int(mark.sum()))])
+        # tokens before each break
+        breaks = np.flatnonzero(cuts)
+        upto = breaks - np.arange(len(breaks))
+        ends = (place + cut)[upto[upto > 0] - 1]
+        return score, ends
+
+    def tagged(self, text: str) -> list[tuple[int, int]]:
+        """Start and end of every tagged stretch of tokens."""
+        found = _RAW_RE.findall(text)
+        score, ends = self.scores(text, found)
+        if not len(score):
+            return []
+        open_ = np.flatnonzero(~self.field.outside(score, ends))
+        if not len(open_):
+            return []
+        # stretches: neighbours without the end of a chain between them
+        new = np.ones(len(open_), dtype=bool)
+        new[1:] = (np.diff(open_) > 1) | np.isin(open_[:-1], ends)
+        stretches: list[tuple[int, int]] = []
+        for at in np.split(open_, np.flatnonzero(new)[1:]):
+            tags = self.field.path(score[at])
+            k = 0
+            while k < len(tags):
+                e = k + 1
+                if tags[k] != O:
+                    while e < len(tags) and tags[e] == I:
+                        e += 1
+                    stretches.append((int(at[k]), int(at[e - 1])))
+                k = e
+        if not stretches:
+            return []
+        places = [p for m in _RAW_RE.finditer(text) if m[0][0] not in _BREAKS for p in _places(m)]
+        return [(places[a][0], places[b][1]) for a, b in stretches]
+
+
+_KEPT: dict[bytes, Scorer] = {}
+
+
+def scorer_of(field: Field) -> Scorer:
+    """The worker's scorer of a field, kept from task to task."""
+    key = hashlib.sha256(field.weights.tobytes() + field.moves.tobytes()).digest()
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Scorer(field)
+    return _KEPT[key]
+
+
+def _places(m: re.Match) -> list[tuple[int, int]]:
+    cut = m.start() + len(split_key(m[0])[0])
+    return [(m.start(), cut)] + ([(cut, m.end())] if cut < m.end() else [])
+
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
@@ -287,6 +529,21 @@ def resampled(text: str, values: list[tuple[int, int]], copy: int) -> tuple[str,
     return "".join([*parts, text[at:]]), places
 
 
+def training_tokens(text: str, values: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Which tokens the field is trained on: those of runs with a digit or mark,
+    those of values, and of the others (nearly all of a text, all alike) those
+    whose checksum is a multiple of ``PLAIN``."""
+    runs = sorted([*marked_runs(text), *values])
+    starts = np.array([s for s, _ in runs], dtype=np.int64)
+    reach = np.maximum.accumulate(np.array([e for _, e in runs], dtype=np.int64))
+
+    def pick(start: int, end: int) -> bool:
+        k = int(np.searchsorted(starts, end))  # runs before ``k`` begin before the token's end
+        return bool(k and reach[k - 1] > start) or zlib.crc32(f"{start} {text[start:end]}".encode()) % PLAIN == 0
+
+    return pick
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sample_docs: int = SAMPLE_DOCS, sample_chains: int = SAMPLE_CHAINS) -> Field | None:
     """The field fitted on the pattern hits of at most ``sample_docs``
@@ -315,12 +572,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 values = [v for _, v in base_spans(body, raw)]
                 copies = [(body, values)] + [resampled(body, values, k) for k in range(COPIES if values else 0)]
                 # also without words, so that the weights rest on shapes as well
-                rows = [(c[:_CHAIN_LIMIT], tags[:_CHAIN_LIMIT])
+                rows = [(c[at: at + _CHAIN_LIMIT], part)
                         for k, (made, places) in enumerate(copies) for blind in (False, True)
-                        for c in chains(made, blind) if B in (tags := tags_of(c, places)) or not k]
+                        for c in chains(made, blind, training_tokens(made, places)) for tags in [tags_of(c, places)]
+                        for at in range(0, len(c), _CHAIN_LIMIT)
+                        if B in (part := tags[at: at + _CHAIN_LIMIT]) or not k]
                 feats = [[f for _, _, fs in c for f in fs] for c, _ in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([zlib.crc32(np.array(f).tobytes()) for f in feats], type=pa.int64()),
+                    [pa.array([zlib.crc32(np.array(f).tobytes()) >> 2 * (B in t) for f, (_, t) in zip(feats, rows, strict=True)],
+                              type=pa.int64()),
                      pa.array(feats, type=pa.list_(pa.int32())),
                      pa.array([t for _, t in rows], type=pa.list_(pa.int32()))],
                     names=["h", "features", "tags"])
@@ -346,8 +606,9 @@ def uncovered(start: int, end: int, spans: list[Span]) -> Iterator[tuple[int, in
         yield start, end
 
 
-def scan(raw: bytes | None, field: Field | None) -> list[Span]:
-    """All spans of a text by start, then kind."""
+def scan(raw: bytes | None, field: Field | None, scorer: Scorer | None = None) -> list[Span]:
+    """All spans of a text by start, then kind; ``scorer``: one of ``field`` that
+    is kept from text to text."""
     if not raw:
         return []
     text = raw.decode()
@@ -355,21 +616,11 @@ def scan(raw: bytes | None, field: Field | None) -> list[Span]:
     if field is None:
         return found
     extra: list[Span] = []
-    for chain in chains(text):
-        tags = field.decode([f for _, _, f in chain])
-        k = 0
-        while k < len(tags):
-            if tags[k] == O:
-                k += 1
-                continue
-            e = k + 1
-            while e < len(tags) and tags[e] == I:
-                e += 1
-            for part in uncovered(chain[k][0], chain[e - 1][1], found):
-                start, end = value_of(text, *part)
-                if any(c.isalnum() for c in text[start:end]):
-                    extra.append((start, 3, end))
-            k = e
+    for first, last in (scorer or Scorer(field)).tagged(text):
+        for part in uncovered(first, last, found):
+            start, end = value_of(text, *part)
+            if any(c.isalnum() for c in text[start:end]):
+                extra.append((start, 3, end))
     return sorted(found + extra)
 
 
@@ -413,10 +664,12 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     field = field or train(docs, id_col, text_col)
 
     def make():
+        scorer = scorer_of(field) if field else None
+
         def run(texts: list[bytes | None], _) -> dict:
             out: dict[str, list] = {f.name: [] for f in fields}
             for raw in texts:
-                spans = scan(raw, field)
+                spans = scan(raw, field, scorer)
                 for k, name in enumerate(("n_assign", "n_access", "n_hex", "n_crf")):
                     out[name].append(sum(s[1] == k for s in spans))
                 base = listed([s for s in spans if s[1] < 3])

@@ -4,6 +4,7 @@ leaves alone."""
 import random
 import string
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,38 @@ def test_columns_of_other_names(spark, docs):
         got = S.secret_scan(few.toDF(*names), *names).collect()
         assert {r[names[0]]: r["spans"] for r in got} == want
         assert S.secret_scan(few.toDF(*names), *names, redact=True).count() == len(want)
+
+
+def test_every_token_is_tagged_whatever_its_characters(field):
+    """No rule keeps tokens without digits, marks or capitals outside, and
+    neighbours count at any distance."""
+    w = S.Field(np.zeros((S.FEATURE_SPACE, 3)), np.zeros((3, 3)))
+    w.weights[S.numbers(["bias"])[0], S.O] = 1.0
+    w.weights[S.numbers(["last=passphrase"])[0], S.B] = 3.0
+    for blanks in (1, 200):
+        text = "the passphrase" + " " * blanks + "correcthorsebattery of"
+        found = S.scan(text.encode(), w)
+        assert [text[s:e] for s, _, e in found] == ["correcthorsebattery"]
+    long = "word " * 300
+    (chain,) = S.chains(long)
+    assert len(chain) == 300
+
+
+def test_sums_over_distinct_tokens_give_the_best_path_of_whole_lines():
+    rng = np.random.default_rng(5)
+    w = S.Field(rng.normal(size=(S.FEATURE_SPACE, 3)) / 2, rng.normal(size=(3, 3)))
+    w.weights[:, S.O] += 0.1
+    scorer = S.Scorer(w)
+    draw = random.Random(5)
+    kinds = ["pwd=x1", "a_=b:c", "_=", "=:", "12", "it's", "{'k':\"v\"}", "é=ß", "\n", "\r\x0b", "x" * 900]
+    for _ in range(60):
+        text = " ".join(draw.choice([*kinds, *("".join(draw.choices("abcDE,.;", k=7)) for _ in kinds)]) for _ in range(40))
+        want = []
+        for c in S.chains(text):
+            tags = w.decode([f for _, _, f in c])
+            for k, t in enumerate(tags):
+                if t == S.I:
+                    want[-1] = (want[-1][0], c[k][1])
+                elif t == S.B:
+                    want.append(c[k][:2])
+        assert scorer.tagged(text) == want
