@@ -27,7 +27,9 @@ between such tokens, which gives the best sequence of the whole line.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -534,12 +536,12 @@ def training_tokens(text: str, values: list[tuple[int, int]]) -> Callable[[int,
     those of values, and of the others (nearly all of a text, all alike) those
     whose checksum is a multiple of ``PLAIN``."""
     runs = sorted([*marked_runs(text), *values])
-    starts = np.array([s for s, _ in runs], dtype=np.int64)
-    reach = np.maximum.accumulate(np.array([e for _, e in runs], dtype=np.int64))
+    starts = [s for s, _ in runs]
+    reach = list(itertools.accumulate((e for _, e in runs), max))
 
     def pick(start: int, end: int) -> bool:
-        k = int(np.searchsorted(starts, end))  # runs before ``k`` begin before the token's end
-        return bool(k and reach[k - 1] > start) or zlib.crc32(f"{start} {text[start:end]}".encode()) % PLAIN == 0
+        k = bisect.bisect_left(starts, end)  # runs before ``k`` begin before the token's end
+        return (k > 0 and reach[k - 1] > start) or zlib.crc32(f"{start} {text[start:end]}".encode()) % PLAIN == 0
 
     return pick
 
