@@ -8,8 +8,8 @@ BPE merges (ordered by score), byte fallback, and the matching decoder.
 If no piece has a marker after another character and the normaliser changes
 nothing else, a text's ids are those of its *segments* (a run of spaces with
 what follows up to the next space), one after another.  Then every distinct
-segment is encoded once per task, in multithreaded batches; otherwise whole
-texts are.  Decoding cuts the ids before every piece that begins with a marker
+segment is encoded once per worker as long as it is remembered, in multithreaded
+batches; otherwise whole texts are.  Texts are cut and ids put together in arrays.  Decoding cuts the ids before every piece that begins with a marker
 (no run of byte pieces crosses such a cut), and the tokenizers decoder makes the
 text of every distinct stretch of ids, again in multithreaded batches.
 Encoding, decoding and the parity check against the sentencepiece library run in
@@ -18,12 +18,13 @@ one pass over the partitions, without a shuffle.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import re
 import struct
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -37,12 +38,15 @@ from pyspark.sql import types as T
 from .common import SLICE_BYTES, map_texts, quoted
 
 MARK = "▁"
+_MARK = MARK.encode()
 #: Bytes of segments, and of stretches of ids, that a worker remembers (each).
 MEMO_BYTES = 160 << 20
 #: Longer segments are not remembered.
 LONGEST = 512
 #: What an entry of a dictionary takes beside its bytes.
 ENTRY_BYTES = 160
+#: Segments that are given to the tokenizers library as one text.
+ROW = 64
 #: Threads of a batch at least.
 THREADS = 2
 # Fixed values of the model format.
@@ -176,7 +180,7 @@ _BETWEEN = re.compile(rb"(?<=[^ ]) (?=[^ ])")
 def parts_of(text: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
     """Parts of a text, cut at single spaces, whose segments are the text's.  A
     marker in the text is a space to the model."""
-    text = text.replace(MARK.encode(), b" ")
+    text = text.replace(_MARK, b" ")
     at = 0
     while len(text) - at > limit and (cut := _BETWEEN.search(text, at + limit)):
         yield text[at:cut.start()]
@@ -204,8 +208,8 @@ class Memo(dict):
         self.update(zip(keys, values, strict=True))
         long = [k for k in keys if len(k) > LONGEST]
         self.long += long
-        self.held += (sum(map(len, keys)) - sum(map(len, long)) + ENTRY_BYTES * len(keys)
-                      + sum(len(v) for k, v in zip(keys, values, strict=True) if len(k) <= LONGEST))
+        self.held += (sum(map(len, keys)) + sum(map(len, values)) + ENTRY_BYTES * len(keys)
+                      - sum(len(k) + len(self[k]) for k in long))
 
 
 class Codec:
@@ -226,34 +230,94 @@ class Codec:
         if not self.model.by_segments:
             made = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(x.ids, dtype=np.uint32) for x in made]
-        cut = [[segments(p) for p in parts_of(t)] for t in texts]
+        # a marker in the text is a space to the model
+        texts = [t.replace(_MARK, b" ") for t in texts]
+        first = np.cumsum([0, *(len(t) + bool(t) for t in texts)])
+        flat = np.frombuffer(b"".join(b" " + t for t in texts if t), dtype=np.uint8)
+        blank = flat == 32
+        blank[1:] &= flat[:-1] != 32
+        words, index, at = _stretches(flat, blank, first)
         self.ids_of.new_batch()
-        new = list(set().union(*(words for parts in cut for words in parts)).difference(self.ids_of, [b""]))
-        # the normaliser puts back the space that segments() took off
-        made = self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
-        self.ids_of.learn(new, [array("I", x.ids).tobytes() for x in made])
+        new = [w for w in words if w not in self.ids_of]
+        one = [w for w in new if w[1:2] not in (b"", b" ")]
+        other = [w for w in new if w[1:2] in (b"", b" ")]
+        self.ids_of.learn(one, self._of_rows(one))
+        self.ids_of.learn(other, self._each(other))
         lone = [t.id for t in self.tokenizer.model.tokenize(MARK)]  # a space with nothing after it
-        self.ids_of[b""] = array("I", lone).tobytes()
-        look = self.ids_of.__getitem__
-        return [np.frombuffer(b"".join(b"".join(map(look, words)) for words in parts), dtype=np.uint32) for parts in cut]
+        self.ids_of[b" "] = array("I", lone).tobytes()
+        ids, ends = _joined(map(self.ids_of.__getitem__, words), index, at)
+        return [ids[s:e].view(np.uint32) for s, e in itertools.pairwise(ends)]
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        """The ids of every segment; the normaliser puts back its first space."""
+        made = self.tokenizer.encode_batch_fast([w[1:].decode() for w in words], add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in made]
+
+    def _of_rows(self, words: list[bytes]) -> list[bytes]:
+        """The same for segments with one leading space, ``ROW`` of them in a
+        text; the first piece of each, and no other, opens with a marker."""
+        rows = [b"".join(words[k: k + ROW])[1:].decode() for k in range(0, len(words), ROW)]
+        made = self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.frombuffer(b"".join(array("I", x.ids).tobytes() for x in made), dtype=np.uint32)
+        found = _cut(ids.tobytes(), np.append(4 * np.flatnonzero(self.opens[ids]), 4 * len(ids)))
+        return found if len(found) == len(words) else self._each(words)  # a model without a piece for the marker alone
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The text of every id sequence, in UTF-8."""
         if not self.model.dummy_prefix:
             return [t.encode() for t in self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)]
-        cut = []
-        for x in ids:
-            raw = x.astype(np.uint32, copy=False).tobytes()
-            at = (4 * np.flatnonzero(self.opens[x])).tolist()
-            at = [*([0] if raw and at[:1] != [0] else []), *at, len(raw)]
-            cut.append([raw[s:e] for s, e in itertools.pairwise(at)])
+        flat = np.concatenate([np.empty(0, dtype=np.uint32), *ids]).astype(np.uint32, copy=False)
+        first = np.cumsum([0, *map(len, ids)])
+        runs, index, at = _stretches(flat, self.opens[flat], first)
         self.text_of.new_batch()
-        new = list(set().union(*cut).difference(self.text_of))
-        made = self.tokenizer.decode_batch([np.frombuffer(r, dtype=np.uint32).tolist() for r in new],
+        new = [r for r in runs if r not in self.text_of]
+        made = self.tokenizer.decode_batch([array("I", r).tolist() for r in new],
                                            skip_special_tokens=False)
-        self.text_of.learn(new, [t.encode() for t in made])
         # the decoder takes the space of the leading marker off every stretch
-        return [b" ".join(map(self.text_of.__getitem__, runs)) for runs in cut]
+        self.text_of.learn(new, [b" " + t.encode() for t in made])
+        text, ends = _joined(map(self.text_of.__getitem__, runs), index, at)
+        return [text[s + 1:e].tobytes() for s, e in itertools.pairwise(ends)]
+
+
+def _stretches(flat: np.ndarray, opens: np.ndarray, first: np.ndarray) -> tuple[list[bytes], pa.Array, np.ndarray]:
+    """``flat``, cut where ``opens`` says and at the places ``first`` (of the
+    texts, and the end): the distinct stretches as bytes, the number of each
+    stretch among them, and where the stretches of every text begin and end."""
+    opens = opens.copy()
+    opens[first[:-1][first[:-1] < len(flat)]] = True
+    starts = np.append(np.flatnonzero(opens), len(flat))
+    offsets = pa.py_buffer((starts * flat.itemsize).astype(np.int64))
+    cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, offsets, pa.py_buffer(flat)])
+    named = cut.dictionary_encode()
+    _, places, data = named.dictionary.buffers()
+    words = _cut(data.to_pybytes(), np.frombuffer(places, dtype=np.int64)[:len(named.dictionary) + 1]) if len(cut) else []
+    return words, named.indices, np.searchsorted(starts, first)
+
+
+def _cut(raw: bytes, places: np.ndarray) -> list[bytes]:
+    return [raw[s:e] for s, e in itertools.pairwise(places.tolist())]
+
+
+def _joined(values: Iterable[bytes], index: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values numbered by ``index``, one after another, as bytes, and the
+    places of those from ``at`` on."""
+    taken = pa.array(values, type=pa.large_binary()).take(index)
+    _, offsets, data = taken.buffers()
+    # without a value there may be no buffer
+    ends = np.frombuffer(offsets, dtype=np.int64)[:len(taken) + 1] if len(taken) else np.zeros(1, dtype=np.int64)
+    return np.frombuffer(data or b"", dtype=np.uint8), ends[at]
+
+
+_KEPT: dict[tuple[bytes, int], Codec] = {}
+
+
+def codec_of(data: bytes, threads: int) -> Codec:
+    """The worker's codec of a model, kept from task to task."""
+    key = hashlib.sha256(data).digest(), threads
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Codec(data, threads)
+    return _KEPT[key]
 
 
 def model_bytes(path: str) -> bytes:
@@ -297,7 +361,7 @@ def encode_texts(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     """
     def make() -> Callable:
         many = threads or max(THREADS, TaskContext.get().cpus())
-        codec = Codec(model, many)
+        codec = codec_of(model, many)
         native = None
         if verify:
             import sentencepiece
@@ -337,7 +401,7 @@ def decode_ids(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: st
     at = f"c{kept.index(ids_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, threads or max(THREADS, TaskContext.get().cpus()))
+        codec = codec_of(model, threads or max(THREADS, TaskContext.get().cpus()))
         for batch in batches:
             given = batch.column(at).to_pylist()
             texts = codec.decode([np.array(x or [], dtype=np.uint32) for x in given])

@@ -83,6 +83,26 @@ def test_codec_parity_and_round_trip(spark, piece_model, texts):
     assert [t.decode() for t in codec.decode(loose)] == whole
 
 
+def test_segments_of_a_row_have_the_ids_they_have_alone(piece_model):
+    """New segments are encoded many to a text, and a worker's codec stays."""
+    codec = C.Codec(piece_model)
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abeé日\n<>0\U0001f600"), rng.integers(1, 9))) for _ in range(3 * C.ROW + 5)]
+    given = [f" {w}".encode() for w in words]
+    assert codec._of_rows(given) == codec._each(given)
+    texts = [" ".join(words[:70]).encode(), b"", " ".join(words[60:]).encode()]
+    calls, real = [], codec._each
+    codec._each = lambda new: calls.append(len(new)) or real(new)
+    ids = codec.encode(texts)
+    assert sum(calls) == 0 and len(codec.ids_of) == len({*given, b" "})
+    assert [len(x) for x in ids] == [len(codec.tokenizer.encode(t.decode(), add_special_tokens=False).ids) for t in texts]
+    # where the pieces do not tell the segments apart, each is encoded alone
+    codec.opens[:] = False
+    assert codec._of_rows(given) == real(given) and sum(calls) == len(given)
+    assert C.codec_of(piece_model, 2) is C.codec_of(piece_model, 2)
+    assert C.codec_of(piece_model, 2) is not C.codec_of(piece_model, 3)
+
+
 def test_memos_are_bounded_by_bytes(piece_model):
     codec = C.Codec(piece_model, memo=1 << 20)
     rng = np.random.default_rng(6)
