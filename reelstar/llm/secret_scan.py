@@ -33,6 +33,8 @@ import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +85,8 @@ _BREAKS = "\n\x0b\x0c\r"
 _RAW_RE = re.compile(r"[%s]+|%s" % (_BREAKS, _TOKEN_RE.pattern))
 #: Distinct tokens whose scores a worker remembers (about 300 bytes each).
 MEMO_TOKENS = 500_000
+#: Texts are scored in groups of about this many bytes.
+GROUP_BYTES = 1 << 20
 
 Span = tuple[int, int, int]  # start, index of the kind, end
 
@@ -106,6 +110,11 @@ _RUN_RE = re.compile(r"(.)\1+", re.DOTALL)
 
 
 def _shape(token: str) -> str:
+    if token.isalpha():  # most tokens are words
+        if token.islower():
+            return "a"
+        if token[0].isupper() and token[1:].islower():
+            return "Aa"
     if token.isascii():
         short = _RUN_RE.sub(r"\1", token.translate(_CLASSES))
         return short[:8] + ("+" if len(short) > 8 else "")
@@ -119,8 +128,16 @@ def _shape(token: str) -> str:
     return "".join(out[:8]) + ("+" if len(out) > 8 else "")
 
 
+_NO_LETTERS = bytes(k for k in range(128) if not 97 <= k <= 122)
+
+
+def _letters(token: str) -> bytes:
+    """The first letters a to z of a token, lower-cased."""
+    return token.lower().encode("ascii", "ignore").translate(None, _NO_LETTERS)[:24]
+
+
 def _word(token: str) -> str:
-    return re.sub(r"[^a-z]", "", token.lower())[:24]
+    return _letters(token).decode()
 
 
 _KEY_RE = re.compile(r"""["'(\[{]?([A-Za-z_]{1,40})["']?[:=]+["']?""")
@@ -164,7 +181,7 @@ def file_features(text: str, candidates: int) -> list[str]:
 
 def split_key(token: str) -> list[str]:
     """A token, cut after a leading key."""
-    key = _KEY_RE.match(token)
+    key = _KEY_RE.match(token) if "=" in token or ":" in token else None
     return [token[:key.end()], token[key.end():]] if key and key.end() < len(token) else [token]
 
 
@@ -208,41 +225,91 @@ def marked_runs(text: str) -> list[tuple[int, int]]:
     return runs
 
 
-def chains(text: str, blind: bool = False, pick: Callable[[int, int], bool] | None = None
-           ) -> Iterator[list[tuple[int, int, list[int]]]]:
-    """The tokens of every line as a chain: (start, end, feature numbers).
-    ``blind``: without the words of keys and neighbours; ``pick``: chains of
-    neighbouring tokens with ``pick(start, end)`` only."""
+@lru_cache(1 << 16)
+def _own_numbers(token: str, blind: bool) -> list[int]:
+    return numbers(_own_features(token, blind))
+
+
+@lru_cache(1 << 16)
+def _side_numbers(last: str, after: str, blind: bool) -> list[int]:
+    return numbers([*_last(last, blind), *_next(after, blind)])
+
+
+#: A token's place, the token, the two before it, the one after it.
+Seen = tuple[tuple[int, int], str, tuple[str, str], str]
+
+
+def seen_chains(text: str, pick: Callable[[int, int], bool] | None = None, near: list[tuple[int, int]] | None = None
+                ) -> tuple[list[list[Seen]], list[int]]:
+    """The tokens of every line as a chain, and the feature numbers all tokens
+    share.  ``pick``: chains of neighbouring tokens with ``pick(start, end)`` only;
+    ``near``: at least those that reach into one of these places."""
     raw = [m.span() for m in _RAW_RE.finditer(text)]
-    words = [text[s:e] for s, e in raw if text[s] not in _BREAKS]
-    common = file_features(text, sum(bool(_MARK_RE.search(w)) for w in words))
+    at = [i for i, (s, _) in enumerate(raw) if text[s] not in _BREAKS]
+    spans = [raw[i] for i in at]
+    words = [text[s:e] for s, e in spans]
+    common = numbers(["bias", *file_features(text, sum(1 for w in words if _MARK_RE.search(w)))])
     around = ["", "", *words, ""]
-    chain: list[tuple[int, int, list[int]]] = []
-    k = 0
-    for start, end in raw:
-        if text[start] in _BREAKS:
-            if chain:
-                yield chain
+    found: list[list[Seen]] = []
+    chain: list[Seen] = []
+    last_k = -1
+    for k in range(len(words)) if near is None else _reach(spans, words, at, pick, near):
+        if chain and (k != last_k + 1 or at[k] != at[last_k] + 1):
+            found.append(chain)
             chain = []
-            continue
+        last_k, (start, end) = k, spans[k]
         before, last, own, after = around[k: k + 4]
-        k += 1
-        pieces = split_key(own)
+        pieces = split_key(own) if "=" in own or ":" in own else (own,)
         for j, piece in enumerate(pieces):
             place = (start, start + len(piece)) if not j else (end - len(piece), end)
             if pick and not pick(*place):
                 if chain:
-                    yield chain
-                chain = []
+                    found.append(chain)
+                    chain = []
                 continue
             left = (last, pieces[0]) if j else (before, last)
-            right = pieces[1] if not j and len(pieces) > 1 else after
-            names = ["bias", *_own_features(piece, blind), *_last(left[1], blind), *_next(right, blind),
-                     *(["blind"] * 4 if blind else [*_before(left[0]), *_keyed(*left)]), *common]
-            # blind features keep their number, so that all rows have as many
-            chain.append((*place, numbers(names)))
+            chain.append((place, piece, left, pieces[1] if not j and len(pieces) > 1 else after))
     if chain:
-        yield chain
+        found.append(chain)
+    return found, common
+
+
+def _reach(spans: list[tuple[int, int]], words: list[str], at: list[int], pick: Callable[[int, int], bool] | None,
+           near: list[tuple[int, int]]) -> list[int]:
+    """The words that the places ``near`` lie in, and those around them up to the
+    end of the line or a word that is not picked (words with a key count as picked)."""
+    def goes_on(k: int) -> bool:
+        return not pick or "=" in words[k] or ":" in words[k] or pick(*spans[k])
+
+    some: set[int] = set()
+    for start, end in near:
+        low = bisect.bisect_right(spans, start, key=lambda x: x[1])
+        high = low
+        while high < len(spans) and spans[high][0] < end:
+            high += 1
+        if low == high:
+            continue
+        while low and at[low - 1] == at[low] - 1 and goes_on(low - 1):
+            low -= 1
+        while high < len(spans) and at[high] == at[high - 1] + 1 and goes_on(high):
+            high += 1
+        some.update(range(low, high))
+    return sorted(some)
+
+
+def numbered(chain: list[Seen], common: list[int], blind: bool = False) -> list[tuple[int, int, list[int]]]:
+    """A chain as (start, end, feature numbers).  ``blind``: without the words of
+    keys and neighbours; these rows have as many numbers."""
+    return [(*place, [*common[:1], *_own_numbers(piece, blind), *_side_numbers(left[1], right, blind),
+                      *numbers(["blind"] * 4 if blind else [*_before(left[0]), *_keyed(*left)]), *common[1:]])
+            for place, piece, left, right in chain]
+
+
+def chains(text: str, blind: bool = False, pick: Callable[[int, int], bool] | None = None
+           ) -> Iterator[list[tuple[int, int, list[int]]]]:
+    """The tokens of every line as a chain: (start, end, feature numbers)."""
+    found, common = seen_chains(text, pick)
+    return (numbered(chain, common, blind) for chain in found)
 
 
 O, B, I = 0, 1, 2  # noqa: E741
@@ -288,6 +355,10 @@ class Field:
         return sure
 
 
+#: Checksums of the beginnings of features; a word carries them on.
+_LAST, _BEFORE, _NEXT, _KEYED = (zlib.crc32(x) for x in (b"last=", b"before=", b"next=", b"keyed="))
+
+
 class Scorer:
     """Tags whole texts by a field; remembers the parts of the scores of
     distinct tokens."""
@@ -303,52 +374,81 @@ class Scorer:
         self.pairs: dict[tuple[str, str], np.ndarray] = {}
         self.table = np.zeros((1024, self.PARTS, 3))
         self.flags = np.zeros((1024, 4), dtype=bool)  # cut after a key, a mark, no word, no word in the key
-        self.own: dict[tuple[str, int, bool], list[int]] = {}
+        self.own: dict[tuple, int] = {}
+        self.own_sums: list[np.ndarray] = []
+        self.files: dict[tuple, np.ndarray] = {}
+        self.shapes: dict[str, int] = {}
+        self.shape_weights: list[np.ndarray] = []
         self.breaks = np.zeros(1024, dtype=bool)
         self._learn({""})
 
     def _sum(self, names: list[str]) -> np.ndarray:
         return self.field.weights[numbers(names)].sum(axis=0)
 
-    def _own(self, token: str) -> list[int]:
-        """The numbers of the token's own features, the token having no key."""
-        start, end = value_of(token, 0, len(token))
-        value = token[start:end]
-        if not (value.isascii() and value.isalpha() and len(value) < 20):
-            return numbers(_own_features(token, False))
-        key = _shape(value), len(value), not value.strip("abcdef")
+    def _own(self, token: str, shape: str) -> int:
+        """Where the sums of the token's own features are; the token has no key."""
+        if token.isalpha():
+            value, n = token, len(token)
+        else:
+            start, end = value_of(token, 0, len(token))
+            value = token[start:end] or token
+            n = len(value)
+            if n < len(token):
+                shape = _shape(value)
+        if n < 20 and value.isalpha():  # up to 19 letters are over 95 % hex where all are
+            cased = None if value.isascii() else (any(map(str.islower, value)), any(map(str.isupper, value)))
+            key = shape, n, cased, not value.strip("abcdef")
+        else:
+            key = tuple(_own_features(value, False))
         if key not in self.own:
-            self.own[key] = numbers(_own_features(token, False))
+            self.own[key] = len(self.own)
+            self.own_sums.append(self._sum(_own_features(value, False)))
         return self.own[key]
 
+    def _shaped(self, shape: str) -> int:
+        """Where the weights of a shape, last or next, are."""
+        if shape not in self.shapes:
+            self.shapes[shape] = len(self.shapes)
+            self.shape_weights.append(self.field.weights[numbers([f"last_shape={shape}", f"next_shape={shape}"])])
+        return self.shapes[shape]
+
     def _learn(self, tokens: set[str]) -> None:
         size = len(self.at)
         while size + len(tokens) > len(self.table):
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
             self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
             self.breaks = np.concatenate((self.breaks, np.zeros_like(self.breaks)))
-        plain, found = [], []
+        crc = zlib.crc32
+        plain: list[int] = []
+        own: list[int] = []
+        shapes: list[int] = []
+        words: list[int] = []
         for k, token in enumerate(tokens, size):
             self.at[token] = k
-            self.breaks[k] = token[:1] in _BREAKS and token != ""
             if "=" in token or ":" in token or not token:
                 self._learn_one(k, token)
                 continue
-            word = _word(token)
-            plain.append(k)
+            if token[0] in _BREAKS:
+                self.breaks[k] = True
+            word = _letters(token)
             shape = _shape(token)
-            found += self._own(token)
-            found += numbers([f"last_shape={shape}", f"last={word}", f"before={word}", f"next_shape={shape}", f"next={word}",
-                              *_keyed("", token)])
-            self.flags[k] = False, bool(_MARK_RE.search(token)), not word, False
+            plain.append(k)
+            own.append(self._own(token, shape))
+            shapes.append(self._shaped(shape))
+            tail = b"|" + token.encode() if len(token) < 3 else b"|"
+            words += crc(word, _LAST), crc(word, _BEFORE), crc(word, _NEXT), crc(tail, crc(word, _KEYED))
+            # letters without capitals but the first hold no mark
+            if not word or not (token.isalpha() and token[1:].islower()):
+                self.flags[k] = False, bool(_MARK_RE.search(token)), not word, False
         if plain:
-            w = self.field.weights[np.array(found).reshape(len(plain), -1)]
             at = np.array(plain)
-            self.table[at, 0] = w[:, :-6].sum(axis=1)
+            w = self.field.weights[np.array(words).reshape(-1, 4) % FEATURE_SPACE]
+            ends = np.stack(self.shape_weights)[shapes]
+            self.table[at, 0] = np.stack(self.own_sums)[own]
             # without a word the key's features hang on the token before, too
-            self.table[at, 2] = w[:, -6] + w[:, -5] + np.where(self.flags[at, 2][:, None], 0, w[:, -1])
-            self.table[at, 3] = w[:, -4]
-            self.table[at, 4] = w[:, -3] + w[:, -2]
+            self.table[at, 2] = ends[:, 0] + w[:, 0] + np.where(self.flags[at, 2][:, None], 0, w[:, 3])
+            self.table[at, 3] = w[:, 1]
+            self.table[at, 4] = ends[:, 1] + w[:, 2]
 
     def _learn_one(self, k: int, token: str) -> None:
         row, pieces = np.zeros((self.PARTS, 3)), split_key(token)
@@ -372,24 +472,27 @@ class Scorer:
             self.pairs[key] = self._sum(_keyed(before, last))
         return self.pairs[key]
 
-    def scores(self, text: str, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Score of every token for O, B, I, and the last ones of the chains."""
+    def scores(self, texts: list[str], found: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of the tokens of all texts, one text after another, for O, B,
+        I; the last ones of the chains; and where the tokens of each text begin."""
         if len(self.at) > self.most:
             self._clear()
-        if new := set(found).difference(self.at):
+        if new := set().union(*found).difference(self.at):
             self._learn(new)
-        every = np.array(list(map(self.at.__getitem__, found)), dtype=np.int64)
+        # two empty tokens after every text keep its neighbours from the next one's
+        line = [w for words in found for w in (*words, "", "")]
+        every = np.array(list(map(self.at.__getitem__, line)), dtype=np.int64)
+        upto = np.cumsum([len(words) + 2 for words in found])
         cuts = self.breaks[every]
         ids = every[~cuts]
-        if not len(ids):
-            return np.empty((0, 3)), np.empty(0, dtype=np.int64)
+        begin = np.append(0, upto - np.cumsum(cuts)[upto - 1])  # of the texts in ``ids``
         last = np.concatenate(([0], ids[:-1]))
         before = np.concatenate(([0], last[:-1]))
         after = np.append(ids[1:], 0)
         t, (cut, mark, _, _) = self.table, self.flags[ids].T
         first = t[ids, 0] + t[last, 2] + t[before, 3] + np.where(cut[:, None], t[ids, 5], t[after, 4])
         bare = np.flatnonzero(self.flags[last, 2])
-        words = [w for w in found if w[0] not in _BREAKS] if len(bare) or cut.any() else []
+        words = [w for w in line if not w or w[0] not in _BREAKS] if len(bare) or cut.any() else []
         around = ["", "", *words]
         for k in bare.tolist():
             first[k] += self._pair(around[k], around[k + 1])
@@ -403,40 +506,56 @@ class Scorer:
                 if self.flags[ids[k], 3]:
                     second[j] += self._pair(around[k + 1], split_key(words[k])[0])
             score[place[at] + 1] = second
-        score += self._sum(["bias", *file_features(text, int(mark.sum()))])
-        # tokens before each break
+        rows = np.append(place, len(score))[begin]
+        marks = np.append(0, np.cumsum(mark))[begin]
+        common = [self._file(text, n) for text, n in zip(texts, np.diff(marks).tolist(), strict=True)]
+        score += np.repeat(np.array(common).reshape(-1, 3), np.diff(rows), axis=0)
+        # tokens before each break, and the last ones of the texts, in front of the empty ones
         breaks = np.flatnonzero(cuts)
-        upto = breaks - np.arange(len(breaks))
-        ends = (place + cut)[upto[upto > 0] - 1]
-        return score, ends
+        ended = np.concatenate((breaks - np.arange(len(breaks)), begin[1:] - 2))
+        ends = (place + cut)[ended[ended > 0] - 1]
+        empty = np.concatenate((rows[1:] - 2, rows[1:] - 1))
+        kept = np.ones(len(score), dtype=bool)
+        kept[empty] = False
+        number = np.cumsum(kept) - 1
+        return score[kept], number[ends[kept[ends]]], rows - 2 * np.arange(len(rows))
+
+    def _file(self, text: str, marks: int) -> np.ndarray:
+        key = tuple(file_features(text, marks))
+        if key not in self.files:
+            self.files[key] = self._sum(["bias", *key])
+        return self.files[key]
 
     def tagged(self, text: str) -> list[tuple[int, int]]:
         """Start and end of every tagged stretch of tokens."""
-        found = _RAW_RE.findall(text)
-        score, ends = self.scores(text, found)
-        if not len(score):
-            return []
-        open_ = np.flatnonzero(~self.field.outside(score, ends))
+        return self.tagged_all([text])[0]
+
+    def tagged_all(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        """The same for many texts at once."""
+        score, ends, begin = self.scores(texts, [_RAW_RE.findall(text) for text in texts])
+        made: list[list[tuple[int, int]]] = [[] for _ in texts]
+        open_ = np.flatnonzero(~self.field.outside(score, ends)) if len(score) else []
         if not len(open_):
-            return []
+            return made
         # stretches: neighbours without the end of a chain between them
         new = np.ones(len(open_), dtype=bool)
         new[1:] = (np.diff(open_) > 1) | np.isin(open_[:-1], ends)
-        stretches: list[tuple[int, int]] = []
+        stretches: dict[int, list[tuple[int, int]]] = {}
         for at in np.split(open_, np.flatnonzero(new)[1:]):
             tags = self.field.path(score[at])
+            of = int(np.searchsorted(begin, at[0], side="right")) - 1
             k = 0
             while k < len(tags):
                 e = k + 1
                 if tags[k] != O:
                     while e < len(tags) and tags[e] == I:
                         e += 1
-                    stretches.append((int(at[k]), int(at[e - 1])))
+                    stretches.setdefault(of, []).append((int(at[k] - begin[of]), int(at[e - 1] - begin[of])))
                 k = e
-        if not stretches:
-            return []
-        places = [p for m in _RAW_RE.finditer(text) if m[0][0] not in _BREAKS for p in _places(m)]
-        return [(places[a][0], places[b][1]) for a, b in stretches]
+        for of, found in stretches.items():
+            places = [p for m in _RAW_RE.finditer(texts[of]) if m[0][0] not in _BREAKS for p in _places(m)]
+            made[of] = [(places[a][0], places[b][1]) for a, b in found]
+        return made
 
 
 _KEPT: dict[bytes, Scorer] = {}
@@ -553,8 +672,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with ``COPIES`` copies of other values, and at most ``sample_chains`` chains
     of them.  None without any hit.  One pass tells the documents with a hit."""
     key, text = F.col(quoted(id_col)), F.col(quoted(text_col))
-    hit = F.col("text").rlike(f"(?i:{ASSIGN.rsplit('(', 1)[0]})[A-Za-z0-9+/_.=-]{{{MIN_ASSIGN},}}"
-                              f"|AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}|[0-9a-f]{{{MIN_HEX},}}")
+    # a text without the word of a pattern is not searched for the pattern
+    low, body = F.lower("text"), F.col("text")
+    keyed = reduce(or_, (low.contains(k.decode()) for k in _KEYS))
+    hit = (keyed & body.rlike(f"(?i:{ASSIGN.rsplit('(', 1)[0]})[A-Za-z0-9+/_.=-]{{{MIN_ASSIGN},}}")
+           | body.contains("AKIA") & body.rlike(f"AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}")
+           | body.rlike(f"[0-9a-f]{{{MIN_HEX},}}"))
     known = docs.select(key.alias("id"), text.alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
 
     flagged = settled(known.select("id", hit.alias("hit")))
@@ -575,8 +698,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 copies = [(body, values)] + [resampled(body, values, k) for k in range(COPIES if values else 0)]
                 # also without words, so that the weights rest on shapes as well
                 rows = [(c[at: at + _CHAIN_LIMIT], part)
-                        for k, (made, places) in enumerate(copies) for blind in (False, True)
-                        for c in chains(made, blind, training_tokens(made, places)) for tags in [tags_of(c, places)]
+                        for k, (made, places) in enumerate(copies)
+                        for found, common in [seen_chains(made, training_tokens(made, places), places if k else None)]
+                        for blind in (False, True) for chain in found for c in [numbered(chain, common, blind)]
+                        for tags in [tags_of(c, places)]
                         for at in range(0, len(c), _CHAIN_LIMIT)
                         if B in (part := tags[at: at + _CHAIN_LIMIT]) or not k]
                 feats = [[f for _, _, fs in c for f in fs] for c, _ in rows]
@@ -608,9 +733,9 @@ def uncovered(start: int, end: int, spans: list[Span]) -> Iterator[tuple[int, in
         yield start, end
 
 
-def scan(raw: bytes | None, field: Field | None, scorer: Scorer | None = None) -> list[Span]:
-    """All spans of a text by start, then kind; ``scorer``: one of ``field`` that
-    is kept from text to text."""
+def scan(raw: bytes | None, field: Field | None, tagged: list[tuple[int, int]] | None = None) -> list[Span]:
+    """All spans of a text by start, then kind; ``tagged``: what a scorer of
+    ``field`` has found in it."""
     if not raw:
         return []
     text = raw.decode()
@@ -618,7 +743,7 @@ def scan(raw: bytes | None, field: Field | None, scorer: Scorer | None = None) -
     if field is None:
         return found
     extra: list[Span] = []
-    for first, last in (scorer or Scorer(field)).tagged(text):
+    for first, last in Scorer(field).tagged(text) if tagged is None else tagged:
         for part in uncovered(first, last, found):
             start, end = value_of(text, *part)
             if any(c.isalnum() for c in text[start:end]):
@@ -626,6 +751,19 @@ def scan(raw: bytes | None, field: Field | None, scorer: Scorer | None = None) -
     return sorted(found + extra)
 
 
+def grouped(texts: list[bytes | None], limit: int = GROUP_BYTES) -> Iterator[list[bytes | None]]:
+    """Texts in groups of about ``limit`` bytes."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or b"")
+        if size >= limit:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def listed(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -670,8 +808,9 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         def run(texts: list[bytes | None], _) -> dict:
             out: dict[str, list] = {f.name: [] for f in fields}
-            for raw in texts:
-                spans = scan(raw, field, scorer)
+            for raw, tagged in ((r, t) for group in grouped(texts) for r, t in zip(
+                    group, scorer.tagged_all([(r or b"").decode() for r in group]) if scorer else [None] * len(group), strict=True)):
+                spans = scan(raw, field, tagged)
                 for k, name in enumerate(("n_assign", "n_access", "n_hex", "n_crf")):
                     out[name].append(sum(s[1] == k for s in spans))
                 base = listed([s for s in spans if s[1] < 3])

@@ -106,3 +106,39 @@ def test_sums_over_distinct_tokens_give_the_best_path_of_whole_lines():
                 elif t == S.B:
                     want.append(c[k][:2])
         assert scorer.tagged(text) == want
+
+
+def test_texts_scored_together_are_tagged_as_each_alone():
+    """One pass over the arrays of a group; no neighbour is taken from the next text."""
+    rng = np.random.default_rng(9)
+    w = S.Field(rng.normal(size=(S.FEATURE_SPACE, 3)) / 2, rng.normal(size=(3, 3)))
+    draw = random.Random(9)
+    kinds = ["pwd=x1", "_=", "a:", "12", "it's", "\n", "\n\n", "é", "Éa", "日本", "İx", "ªº", "abcdef" * 3, "abcdef" * 4, "AAAAAAAA", "...", "x."]
+    for _ in range(30):
+        texts = [" ".join(draw.choices(kinds, k=draw.choice([0, 0, 1, 2, 30]))) for _ in range(draw.choice([1, 2, 8]))]
+        found = S.Scorer(w).tagged_all(texts)
+        assert found == [S.Scorer(w).tagged(t) for t in texts]
+        for text, got in zip(texts, found, strict=True):
+            want = []
+            for c in S.chains(text):
+                for k, t in enumerate(w.decode([f for _, _, f in c])):
+                    if t == S.I:
+                        want[-1] = (want[-1][0], c[k][1])
+                    elif t == S.B:
+                        want.append(c[k][:2])
+            assert got == want
+    groups = list(S.grouped([b"ab", None, b"c", b"", b"defg"], 3))
+    assert groups == [[b"ab", None, b"c"], [b"", b"defg"]]
+
+
+def test_chains_near_the_values_are_those_of_the_whole_text():
+    draw = random.Random(10)
+    kinds = ["pwd=x1", "a_=b:c", "12", "it's", "\n", "é=ß", "word", "other", "x" * 500]
+    for _ in range(60):
+        text = " ".join(draw.choices(kinds, k=60))
+        values = [(s, s + draw.randrange(1, 12)) for s in draw.choices(range(len(text)), k=3)]
+        pick = S.training_tokens(text, values)
+        every, common = S.seen_chains(text, pick)
+        some, again = S.seen_chains(text, pick, values)
+        reached = [c for c in every if S.B in S.tags_of(S.numbered(c, common), values)]
+        assert again == common and [c for c in some if S.B in S.tags_of(S.numbered(c, common), values)] == reached
