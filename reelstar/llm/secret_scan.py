@@ -59,6 +59,7 @@ FEATURE_SPACE = 1 << 16
 #: Features seen less often in training get no weight (rare neighbouring words).
 MIN_SEEN = 10
 _CHAIN_LIMIT = 64  # tokens of a training chain; longer ones are cut into several
+_CHAIN_ROWS = 512  # training chains that leave a worker together
 #: Of the tokens without digit or mark, one in so many is trained on.
 PLAIN = 16
 #: Alphabets and lengths of the values that take the place of found ones.
@@ -83,10 +84,12 @@ _MARK_RE = re.compile(r"""[0-9=_+/\\:"'-]|[A-Z]{8}""")
 _BLANK_RE = re.compile(r"[\x20\x09-\x0D]")
 _BREAKS = "\n\x0b\x0c\r"
 _RAW_RE = re.compile(r"[%s]+|%s" % (_BREAKS, _TOKEN_RE.pattern))
-#: Distinct tokens whose scores a worker remembers (about 300 bytes each).
-MEMO_TOKENS = 500_000
-#: Texts are scored in groups of about this many bytes.
-GROUP_BYTES = 1 << 20
+#: Distinct tokens whose scores a worker remembers (about 400 bytes each).
+MEMO_TOKENS = 1 << 17
+#: Texts are scored in groups of about this many bytes, and their results
+#: leave the worker in parts of about so many.
+GROUP_BYTES = 1 << 18
+PART_BYTES = 1 << 22
 
 Span = tuple[int, int, int]  # start, index of the kind, end
 
@@ -225,12 +228,12 @@ def marked_runs(text: str) -> list[tuple[int, int]]:
     return runs
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 14)
 def _own_numbers(token: str, blind: bool) -> list[int]:
     return numbers(_own_features(token, blind))
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 14)
 def _side_numbers(last: str, after: str, blind: bool) -> list[int]:
     return numbers([*_last(last, blind), *_next(after, blind)])
 
@@ -361,7 +364,7 @@ _LAST, _BEFORE, _NEXT, _KEYED = (zlib.crc32(x) for x in (b"last=", b"before=", b
 
 class Scorer:
     """Tags whole texts by a field; remembers the parts of the scores of
-    distinct tokens."""
+    distinct tokens, over ``most`` of them only of those that came again."""
 
     PARTS = 7  # own, of the part after the key, as last, before, next, and next and last inside of it
 
@@ -371,16 +374,38 @@ class Scorer:
 
     def _clear(self) -> None:
         self.at: dict[str, int] = {}
-        self.pairs: dict[tuple[str, str], np.ndarray] = {}
         self.table = np.zeros((1024, self.PARTS, 3))
         self.flags = np.zeros((1024, 4), dtype=bool)  # cut after a key, a mark, no word, no word in the key
+        self.breaks = np.zeros(1024, dtype=bool)
+        self.again = np.zeros(1024, dtype=bool)  # came in a group after the one it was learned in
+        self._clear_sums()
+        self._learn({""})
+
+    def _clear_sums(self) -> None:
+        self.pairs: dict[tuple[str, str], np.ndarray] = {}
         self.own: dict[tuple, int] = {}
         self.own_sums: list[np.ndarray] = []
         self.files: dict[tuple, np.ndarray] = {}
         self.shapes: dict[str, int] = {}
         self.shape_weights: list[np.ndarray] = []
-        self.breaks = np.zeros(1024, dtype=bool)
-        self._learn({""})
+
+    def _forget(self) -> None:
+        """Tokens that came once go; all of them if many came again."""
+        kept = self.again[:len(self.at)].copy()
+        kept[0] = True  # the empty token
+        n = int(kept.sum())
+        if n > self.most // 2:
+            self._clear()
+            return
+        self.at = {token: k for k, token in enumerate(itertools.compress(self.at, kept.tolist()))}
+        rows = max(1024, 2 * n)
+        for name in ("table", "flags", "breaks", "again"):
+            old = getattr(self, name)
+            new = np.zeros((rows, *old.shape[1:]), dtype=old.dtype)
+            if name != "again":
+                new[:n] = old[:len(kept)][kept]
+            setattr(self, name, new)
+        self._clear_sums()
 
     def _sum(self, names: list[str]) -> np.ndarray:
         return self.field.weights[numbers(names)].sum(axis=0)
@@ -418,6 +443,7 @@ class Scorer:
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
             self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
             self.breaks = np.concatenate((self.breaks, np.zeros_like(self.breaks)))
+            self.again = np.concatenate((self.again, np.zeros_like(self.again)))
         crc = zlib.crc32
         plain: list[int] = []
         own: list[int] = []
@@ -476,12 +502,16 @@ class Scorer:
         """Scores of the tokens of all texts, one text after another, for O, B,
         I; the last ones of the chains; and where the tokens of each text begin."""
         if len(self.at) > self.most:
-            self._clear()
+            self._forget()
+        elif max(map(len, (self.pairs, self.own, self.shapes))) > self.most // 4:
+            self._clear_sums()
+        known = len(self.at)
         if new := set().union(*found).difference(self.at):
             self._learn(new)
         # two empty tokens after every text keep its neighbours from the next one's
         line = [w for words in found for w in (*words, "", "")]
-        every = np.array(list(map(self.at.__getitem__, line)), dtype=np.int64)
+        every = np.fromiter(map(self.at.__getitem__, line), dtype=np.int64, count=len(line))
+        self.again[every[every < known]] = True
         upto = np.cumsum([len(words) + 2 for words in found])
         cuts = self.breaks[every]
         ids = every[~cuts]
@@ -695,22 +725,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for raw in texts_of(batch.column(0)):
                 body = raw.decode()
                 values = [v for _, v in base_spans(body, raw)]
-                copies = [(body, values)] + [resampled(body, values, k) for k in range(COPIES if values else 0)]
+                # one copy at a time, and its chains in parts, however long the text is
+                copies = ((body, values) if not k else resampled(body, values, k - 1) for k in range(1 + COPIES * bool(values)))
                 # also without words, so that the weights rest on shapes as well
-                rows = [(c[at: at + _CHAIN_LIMIT], part)
-                        for k, (made, places) in enumerate(copies)
-                        for found, common in [seen_chains(made, training_tokens(made, places), places if k else None)]
-                        for blind in (False, True) for chain in found for c in [numbered(chain, common, blind)]
-                        for tags in [tags_of(c, places)]
-                        for at in range(0, len(c), _CHAIN_LIMIT)
-                        if B in (part := tags[at: at + _CHAIN_LIMIT]) or not k]
-                feats = [[f for _, _, fs in c for f in fs] for c, _ in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([zlib.crc32(np.array(f).tobytes()) >> 2 * (B in t) for f, (_, t) in zip(feats, rows, strict=True)],
-                              type=pa.int64()),
-                     pa.array(feats, type=pa.list_(pa.int32())),
-                     pa.array([t for _, t in rows], type=pa.list_(pa.int32()))],
-                    names=["h", "features", "tags"])
+                every = ((c[at: at + _CHAIN_LIMIT], part)
+                         for k, (made, places) in enumerate(copies)
+                         for found, common in [seen_chains(made, training_tokens(made, places), places if k else None)]
+                         for blind in (False, True) for chain in found for c in [numbered(chain, common, blind)]
+                         for tags in [tags_of(c, places)]
+                         for at in range(0, len(c), _CHAIN_LIMIT)
+                         if B in (part := tags[at: at + _CHAIN_LIMIT]) or not k)
+                while rows := list(itertools.islice(every, _CHAIN_ROWS)):
+                    feats = [[f for _, _, fs in c for f in fs] for c, _ in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([zlib.crc32(np.array(f).tobytes()) >> 2 * (B in t) for f, (_, t) in zip(feats, rows, strict=True)],
+                                  type=pa.int64()),
+                         pa.array(feats, type=pa.list_(pa.int32())),
+                         pa.array([t for _, t in rows], type=pa.list_(pa.int32()))],
+                        names=["h", "features", "tags"])
 
     # the chosen ids are at most 2 * sample_docs rows
     taken = known.join(F.broadcast(chosen), "id", "left_semi").select("text").mapInArrow(
@@ -823,6 +855,6 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return run
 
     fields = FIELDS + [T.StructField(text_col, T.StringType())] * redact
-    out = map_texts(docs, make, fields, text_col, keep)
+    out = map_texts(docs, make, fields, text_col, keep, PART_BYTES)
     order = [c for c in docs.columns if c in out.columns]
     return out.select(*[quoted(c) for c in order], *[quoted(c) for c in out.columns if c not in order])

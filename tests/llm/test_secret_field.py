@@ -5,9 +5,11 @@ import random
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from reelstar.llm import common
 from reelstar.llm import secret_scan as S
 
 KEYS = ("pwd=", "auth=", "auth: ", "bearer ", "credential=", '{"pwd": "')
@@ -142,3 +144,39 @@ def test_chains_near_the_values_are_those_of_the_whole_text():
         some, again = S.seen_chains(text, pick, values)
         reached = [c for c in every if S.B in S.tags_of(S.numbered(c, common), values)]
         assert again == common and [c for c in some if S.B in S.tags_of(S.numbered(c, common), values)] == reached
+
+
+def test_a_scorer_remembers_few_tokens_and_tags_alike():
+    """Memory of the pipeline's check: tokens seen once are not kept, those that
+    come again are, and what is forgotten changes no tag."""
+    w = S.Field(np.random.default_rng(3).normal(size=(S.FEATURE_SPACE, 3)), np.zeros((3, 3)))
+    draw = random.Random(3)
+    few, all_ = S.Scorer(w, 60), S.Scorer(w)
+    common_ = ["pwd=x1", "the", "of", "_=", "12", "a_=b:c", "=:", "\n"]
+    forgot = 0
+    for k in range(60):
+        texts = [" ".join([*common_, *(f"{draw.choice('aB_:=')}{k}w{j}" for j in range(12))]) for _ in range(2)]
+        size = len(few.at)
+        assert few.tagged_all(texts) == all_.tagged_all(texts)
+        assert len(few.at) <= 60 + 2 * 20
+        forgot += len(few.at) < size
+        assert list(few.at.values()) == list(range(len(few.at)))
+        if forgot:
+            assert all(few.again[few.at[x]] or len(few.at) < size for x in ("the", "12"))
+    assert forgot > 5 and few.at["the"] < 20
+    # every token new: the whole memory stays small
+    scorer = S.Scorer(S.Field(np.zeros((S.FEATURE_SPACE, 3)), np.zeros((3, 3))))
+    for k in range(45):
+        scorer.tagged_all([" ".join(f"w{k}x{j}" for j in range(6_000))])
+    assert len(scorer.at) < 150_000 and scorer.table.nbytes < 50e6
+
+
+def test_texts_are_handed_over_in_parts():
+    texts = ["a" * 10, None, "", "b" * 25, "c", "d" * 9, "é" * 6, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["k", "t"])
+    parts = [p.to_pydict()["k"] for p in common.parts_of(batch, "t", 20)]
+    assert parts == [[0, 1, 2, 3], [4, 5, 6], [7]]
+    assert [p.num_rows for p in common.parts_of(batch, "t", 1)] == [1, 3, 1, 1, 1, 1]
+    assert [p.to_pydict()["k"] for p in common.parts_of(batch.slice(3, 3), "t", 10)] == [[3], [4, 5]]
+    assert list(common.parts_of(batch.slice(0, 0), "t", 5)) == []
+    assert [p.num_rows for p in common.parts_of(batch.slice(1, 2), "t", 5)] == [2]
