@@ -20,13 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, texts_of
-from .word_ids import WordIds
+from .common import parts_of, quoted, texts_of
+from .word_ids import ids_of
 
 WINDOW = 2048
 END_ID = 1
 #: Leftovers that are placed together (a few words of memory each).
 BLOCK = 100_000
+#: Bytes of text whose ids are made together.
+PART_BYTES = 1 << 22
 _PART_SHIFT = 40
 
 
@@ -153,9 +155,8 @@ def pack(
         for batch in batches:
             kind = batch.schema.field(0).type
             full: list[tuple] = []
-            texts = texts_of(batch.column(1))
-            made = (x for k in range(0, len(texts), 256) for x in encode(texts[k: k + 256]))
-            for i, found in zip(batch.column(0).to_pylist(), made, strict=True):
+            parts = ((p.column(0).to_pylist(), encode(texts_of(p.column(1)))) for p in parts_of(batch, 1, PART_BYTES))
+            for i, found in ((i, x) for keys, made in parts for i, x in zip(keys, made, strict=True)):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start: start + window]
@@ -188,4 +189,4 @@ def _own(full: list[tuple], first: int, window: int) -> tuple[list[int], list[in
 
 def word_tokenizer(path: str) -> Callable[[], Callable[[list[bytes | None]], list[np.ndarray]]]:
     """Ids by the tokenizer file at ``path`` (which every executor can read)."""
-    return lambda: WordIds(path).encode
+    return lambda: ids_of(path).encode

@@ -16,6 +16,7 @@ from reelstar.llm import quality_rules as Q
 from reelstar.llm import queries
 from reelstar.llm import secret_scan as S
 from reelstar.llm import simhash_dedup as H
+from reelstar.llm import word_ids
 from reelstar.llm.components import connected_components
 from reelstar.llm.line_dedup import line_dedup
 from reelstar.llm.word_ids import WordIds
@@ -107,6 +108,32 @@ def test_word_ids_equal_the_tokenizer(word_bpe):
     assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in odd]
 
 
+def test_word_ids_of_short_forms_and_cut_texts(word_bpe, monkeypatch):
+    rng = np.random.default_rng(2)
+    letters = ["'", "'", *"strevmldaS7.,-é \n\t\x00\x1f", "'ll", "'RE", "日", "<|endoftext|>"]
+    chance = np.array([4.0] * (len(letters) - 2) + [0.1, 0.1])
+    texts = ["".join(rng.choice(letters, rng.integers(0, 80), p=chance / chance.sum())) for _ in range(2000)]
+    texts += ["'", "''", "'l", "'ll", "'s's", "don't'", "\n'", "12'34's5", "x'", " ", "\n\n", "é'é's"]
+    t = Tokenizer.from_file(word_bpe)
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    given = [x.encode() for x in texts]
+    for group, memo in ((word_ids.GROUP, word_ids.MEMO_BYTES), (100, 2_000), (7, 0)):
+        monkeypatch.setattr(word_ids, "GROUP", group)
+        w = WordIds(word_bpe, memo=memo)
+        assert [x.tolist() for x in w.encode(given)] == want
+        assert [x.tolist() for x in w.encode([None, *given[:9], b""])] == [[], *want[:9], []]
+        assert w.encode([]) == []
+
+
+def test_words_are_learnt_once_per_worker(word_bpe, monkeypatch):
+    learnt, learn = [], WordIds._learn
+    monkeypatch.setattr(WordIds, "_learn", lambda self, words: (learnt.extend(words), learn(self, words)))
+    texts = ["Qzwords that xqtasks share, once.".encode(), None]
+    first, second = (P.word_tokenizer(word_bpe)()(texts) for _ in range(2))
+    assert [x.tolist() for x in first] == [x.tolist() for x in second]
+    assert Counter(learnt).most_common(1)[0][1] == 1
+
+
 # --- line dedup ------------------------------------------------------------
 
 def brute_lines(rows):
