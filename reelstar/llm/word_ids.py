@@ -24,7 +24,7 @@ import pyarrow as pa
 from .common import slices
 
 #: Bytes of words and their ids that a worker remembers.
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 64 << 20
 #: What a word takes beside its bytes.
 ENTRY_BYTES = 120
 #: Bytes of text encoded together.
